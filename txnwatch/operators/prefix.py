@@ -34,33 +34,35 @@ def running_total(rows: DataFrame, order: str, value: str, out: str, cell: int)
     )
 
 
-def order_statistics(
-    rows: DataFrame, value: str, fractions: dict[str, float], cell: int = 1_000_000
-) -> DataFrame:
-    """One row: for each name the element at 0-based position ``floor(n * fraction)``.
+def order_statistics(rows: DataFrame, value: str, fractions: dict[str, float], cell: int = 1_000_000) -> DataFrame:
+    """One row: ``n, sum, min, max`` of a long column and, for each name, the
+    element at 0-based position ``floor(n * fraction)`` of the sorted values.
 
     The answer is exact. Values are counted first, so equal values meet once;
-    then the cell that holds each wanted position is found from the per-cell
-    counts, and the value from the counts inside that cell.
+    the per-cell counts then say which cell holds each wanted position.
     """
-    counts = rows.groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
     ranked = running_total(counts, "_value", "_n", "_upto", cell)
-    total = rows.agg(F.count(value).alias("_total"))
-    wanted = total.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("_name"), F.floor(F.col("_total") * F.lit(q)).alias("_position"))
-                    for name, q in fractions.items()
-                ]
-            )
+    names = F.array(
+        *[F.struct(F.lit(name).alias("_name"), F.lit(q).alias("_fraction")) for name, q in fractions.items()]
+    )
+    wanted = (
+        counts.agg(
+            F.sum("_n").alias("n"),
+            F.sum(F.col("_value") * F.col("_n")).alias("sum"),
+            F.min("_value").alias("min"),
+            F.max("_value").alias("max"),
         )
+        .select("*", F.inline(names))
+        .withColumn("_position", F.floor(F.col("n") * F.col("_fraction")))
     )
     hit = (F.col("_position") < F.col("_upto")) & (F.col("_position") >= F.col("_upto") - F.col("_n"))
     # ``wanted`` has exactly one row per fraction
     found = ranked.join(F.broadcast(wanted), hit)
     return found.agg(
-        *[F.max(F.when(F.col("_name") == name, F.col("_value"))).alias(name) for name in fractions]
+        F.coalesce(F.max("n"), F.lit(0)).alias("n"),
+        *[F.max(name).alias(name) for name in ("sum", "min", "max")],
+        *[F.max(F.when(F.col("_name") == name, F.col("_value"))).alias(name) for name in fractions],
     )
 
 
