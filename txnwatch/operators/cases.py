@@ -216,9 +216,13 @@ def recent(alerts: DataFrame, limit: int = S.RECENT_ALERTS, arrival: str = "aler
     return alerts.orderBy(*newest_first(arrival)).limit(max(0, min(limit, S.RECENT_ALERTS)))
 
 
+def with_rank(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """Append ``position`` 1.. to a list already cut to a page or to ``RECENT_ALERTS`` rows."""
+    return rows.withColumn("position", F.row_number().over(Window.orderBy(*order)).cast("long"))
+
+
 def with_position(alerts: DataFrame, arrival: str = "alert_timestamp") -> DataFrame:
-    """Position 1.. in an already cut list (at most ``RECENT_ALERTS`` rows)."""
-    return alerts.withColumn("position", F.row_number().over(Window.orderBy(*newest_first(arrival))))
+    return with_rank(alerts, newest_first(arrival))
 
 
 def severity_order(arrival: str = "alert_timestamp") -> list[Column]:

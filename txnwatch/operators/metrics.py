@@ -159,11 +159,6 @@ def service_status(
     )
 
 
-def _history(points: DataFrame, *columns: str) -> Column:
-    """Points in time order; the caller has cut them to the trailing window."""
-    return F.array_sort(F.collect_list(F.struct("point_ms", *columns)))
-
-
 def snapshot(
     tps: DataFrame, rates: DataFrame, services: DataFrame, as_of: datetime, window_ms: int = HOUR_MS
 ) -> DataFrame:
@@ -177,7 +172,7 @@ def snapshot(
             F.max_by("tps", "point_ms").alias("current"),
             F.avg("tps").alias("average"),
             F.max("tps").alias("max"),
-            _history(tps, "tps", "total_transactions").alias("history"),
+            F.array_sort(F.collect_list(F.struct("point_ms", "tps", "total_transactions"))).alias("history"),
         ).alias("tps")
     )
     rate_part = trailing(rates, as_of, window_ms).agg(

@@ -94,10 +94,14 @@ def case_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_commands(events(spark, sf_dir), F.concat(F.lit("case-"), F.col("event_id") % 200))
 
 
+def as_alert_commands(raw: DataFrame) -> DataFrame:
+    target = F.concat(F.lit("txn-"), F.col("event_id") - F.col("event_id") % 7)
+    return as_commands(raw, texts.alert_id(target, F.lit(S.FOREIGN_COUNTRY)))
+
+
 def alert_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commands on foreign-country alerts; about four in five name no alert."""
-    target = F.concat(F.lit("txn-"), F.col("event_id") - F.col("event_id") % 7)
-    return as_commands(events(spark, sf_dir), texts.alert_id(target, F.lit(S.FOREIGN_COUNTRY)))
+    return as_alert_commands(events(spark, sf_dir))
 
 
 def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:

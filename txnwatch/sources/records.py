@@ -165,7 +165,7 @@ def encode_alerts(alerts: DataFrame) -> DataFrame:
     )
 
 
-def encode_status_events(events: DataFrame) -> DataFrame:
+def encode_status_events(events: DataFrame, keep=()) -> DataFrame:
     """``alertId`` and ``status`` always; the other fields only when they hold a value."""
     body = F.struct(
         F.col("alert_id").alias("alertId"),
@@ -175,5 +175,5 @@ def encode_status_events(events: DataFrame) -> DataFrame:
         F.col("action_note").alias("actionNote"),
     )
     return events.select(
-        F.col("alert_id").alias("key"), F.to_json(body, {"ignoreNullFields": "true"}).alias("value")
+        F.col("alert_id").alias("key"), F.to_json(body, {"ignoreNullFields": "true"}).alias("value"), *keep
     )
