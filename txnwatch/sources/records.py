@@ -55,11 +55,20 @@ def decode(
     if mode not in ("permissive", "failfast"):
         raise ValueError("mode is 'permissive' or 'failfast'")
     text = F.col("value").cast("string")
-    return records.withColumn("record", _parse(text, layout, mode)).withColumn(
+    return _once(records, "record", _parse(text, layout, mode)).withColumn(
         "problem", _problem(text, "record", layout.fieldNames(), mode, reject_unknown)
     )
 
 
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Append a costly column so that it is computed once per row.
+
+    As a plain projection the optimizer would copy the parse into every filter
+    and field that uses it; it does not move expressions through a generator.
+    """
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _passed_on(records: DataFrame) -> list[str]:
     return [name for name in records.columns if name not in ("key", "value", "headers")]
 
@@ -118,7 +127,7 @@ def decode_alerts(records: DataFrame, mode: str = "permissive") -> tuple[DataFra
 def decode_status_events(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(events, rejected). ``change`` keeps which keys were present; the type tag is added."""
     kept = _passed_on(records)
-    parsed = records.withColumn("change", F.from_json(F.col("value").cast("string"), "map<string,string>"))
+    parsed = _once(records, "change", F.from_json(F.col("value").cast("string"), "map<string,string>"))
     has_keys = F.coalesce(
         F.map_contains_key("change", "alertId") & F.map_contains_key("change", "status"), F.lit(False)
     )
