@@ -87,8 +87,8 @@ def _passes(rules: DataFrame, bytes_per_pass: int) -> list[DataFrame]:
     size = F.octet_length(F.concat_ws("|", "rule_name", "description", F.array_join("operands", ","))) + 64
     upto = F.sum(size).over(Window.orderBy("rule_id").rowsBetween(Window.unboundedPreceding, -1))
     numbered = rules.withColumn("_pass", F.floor(F.coalesce(upto, F.lit(0)) / bytes_per_pass))
-    last = numbered.agg(F.max("_pass")).first()[0] or 0
-    return [numbered.filter(F.col("_pass") == i).drop("_pass") for i in range(last + 1)]
+    used = sorted(row[0] for row in numbered.select("_pass").distinct().collect())
+    return [numbered.filter(F.col("_pass") == i).drop("_pass") for i in used or [0]]
 
 
 def join_rules(transactions: DataFrame, rules: DataFrame, bytes_per_pass: int = BYTES_PER_PASS) -> DataFrame:

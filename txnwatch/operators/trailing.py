@@ -113,41 +113,48 @@ def trailing_distinct(
     def edge(at: Column, kind: int, delta: int) -> Column:
         return F.struct(at.alias("at"), F.lit(kind).alias("kind"), F.lit(delta).alias("delta"))
 
-    marked = homes.select(*keys, "slab", "carried", time, starts.alias("starts"), ends.alias("ends"))
+    marked = homes.select(*keys, "slab", "carried", value, time, starts.alias("starts"), ends.alias("ends"))
     edges = F.array_compact(
         F.array(
             F.when(F.col("starts"), edge(t, _ENTER, 1)),
-            F.when(~F.col("carried"), edge(t, _READ, 0)),
+            edge(t, _READ, 0),
             F.when(F.col("ends"), edge(t + span, _LEAVE, -1)),
         )
     )
-    running = (
-        Window.partitionBy(*keys, "slab").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    fired = (
-        marked.select(*keys, "slab", F.inline(edges))
+    group = Window.partitionBy(*keys, "slab")
+    running = group.orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    reads = (
+        marked.select(*keys, "slab", "carried", value, F.inline(edges))
         .withColumn("n", F.sum("delta").over(running))
-        .filter((F.col("kind") == _READ) & (F.col("n") >= at_least))
-        .select(*keys, "slab", F.col("at").alias(time))
-        .distinct()
+        .withColumn("known", F.collect_set(value).over(group))
+        .filter(F.col("kind") == _READ)
     )
 
     # the values themselves, only for rows that fired: when was each value last seen?
-    probes = fired.join(homes.select(*keys, "slab", value).distinct(), [*keys, "slab"]).select(
-        *keys, "slab", value, F.col(time).alias("at"), F.lit(None).cast("long").alias("seen")
+    fires = ~F.col("carried") & (F.col("n") >= at_least)
+
+    def sighting(what: Column, seen: Column) -> Column:
+        return F.struct(what.alias("_value"), seen.alias("_seen"))
+
+    never = F.lit(None).cast("long")
+    probes = F.when(fires, F.transform("known", lambda v: sighting(v, never)))
+    nothing = F.array().cast(f"array<struct<_value:{points.schema[value].dataType.simpleString()},_seen:bigint>>")
+    rows = reads.select(
+        *keys,
+        "slab",
+        "at",
+        F.inline(F.concat(F.array(sighting(F.col(value), F.col("at"))), F.coalesce(probes, nothing))),
     )
-    sightings = homes.select(*keys, "slab", value, F.col(time).alias("at"), F.col(time).alias("seen"))
-    probe_last = F.col("seen").isNull().cast("int")
     until_now = (
-        Window.partitionBy(*keys, "slab", value)
-        .orderBy("at", probe_last)
+        Window.partitionBy(*keys, "slab", "_value")
+        .orderBy("at", F.col("_seen").isNull())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
+    # a point has one home slab, so grouping by slab as well needs no further shuffle
     return (
-        sightings.unionByName(probes)
-        .withColumn("last_seen", F.last("seen", ignorenulls=True).over(until_now))
-        .filter(F.col("seen").isNull() & (F.col("last_seen") >= F.col("at") - span))
-        .groupBy(*keys, F.col("at").alias(time))
-        .agg(F.sort_array(F.collect_set(value)).alias("values"))
-        .withColumn("n", F.size("values").cast("long"))
+        rows.withColumn("_last", F.last("_seen", ignorenulls=True).over(until_now))
+        .filter(F.col("_seen").isNull() & (F.col("_last") >= F.col("at") - span))
+        .groupBy(*keys, "slab", F.col("at").alias(time))
+        .agg(F.sort_array(F.collect_set("_value")).alias("values"))
+        .select(*keys, time, "values", F.size("values").cast("long").alias("n"))
     )
