@@ -18,7 +18,7 @@ def lookup(values: dict, key: Column) -> Column:
 
 def won(amount: Column) -> Column:
     """``1,250,000원``."""
-    return F.format_string("%,d원", amount)
+    return F.concat(F.format_number(amount, 0), F.lit("원"))
 
 
 def display_won(amount: Column) -> Column:

@@ -66,8 +66,9 @@ def alert_chronological() -> Column:
 
 def with_violations(rows: DataFrame, checks: dict[str, Column], out: str = "violations") -> DataFrame:
     """Append the codes whose condition does not hold, in the order given."""
-    return rows.withColumn(
-        out, F.array_compact(F.array(*[F.when(~_true(ok), F.lit(code)) for code, ok in checks.items()]))
+    codes = F.concat_ws(",", *[F.when(~_true(ok), F.lit(code)) for code, ok in checks.items()])
+    return rows.withColumn(out, codes).withColumn(
+        out, F.when(F.col(out) == "", F.array().cast("array<string>")).otherwise(F.split(out, ","))
     )
 
 

@@ -127,23 +127,29 @@ def stateless_alerts(
 ) -> DataFrame:
     """One alert per transaction and rule that fires, in one pass over the input."""
     rules = list(rules)
-    fired = [
-        F.when(
-            rule.predicate(),
-            F.struct(
-                F.lit(rule.rule_type).alias("rule_type"),
-                F.lit(rule.name).alias("rule_name"),
-                rule.reason().alias("reason"),
-                F.lit(rule.severity).alias("severity"),
-            ),
-        )
-        for rule in rules
-    ]
+    hits = [F.when(rule.predicate(), F.lit(i)) for i, rule in enumerate(rules)]
     # the plain disjunction is what reaches the scan; the array decides per rule
     any_fires = functools.reduce(operator.or_, [rule.predicate() for rule in rules])
-    exploded = transactions.filter(any_fires).withColumn("_rule", F.explode(F.array_compact(F.array(*fired))))
-    rule = {name: F.col(f"_rule.{name}") for name in ("rule_type", "rule_name", "reason", "severity")}
-    return exploded.select(*_alert_columns(**rule, alert_ts=alert_ts, keep=keep))
+    exploded = transactions.filter(any_fires).withColumn("_rule", F.explode(F.array(*hits)))
+    exploded = exploded.filter(F.col("_rule").isNotNull())
+
+    # only the rule's number is exploded, so texts nobody asks for are never built
+    def per_rule(value: Callable[[StatelessRule], Column]) -> Column:
+        chosen = value(rules[-1])
+        for i in reversed(range(len(rules) - 1)):
+            chosen = F.when(F.col("_rule") == i, value(rules[i])).otherwise(chosen)
+        return chosen
+
+    return exploded.select(
+        *_alert_columns(
+            per_rule(lambda rule: F.lit(rule.rule_type)),
+            per_rule(lambda rule: F.lit(rule.name)),
+            per_rule(lambda rule: rule.reason()),
+            per_rule(lambda rule: F.lit(rule.severity)),
+            alert_ts,
+            keep,
+        )
+    )
 
 
 def window_alerts(

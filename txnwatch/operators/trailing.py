@@ -45,13 +45,11 @@ def trailing_count(
     slab = floor_to(t, width)
     following = slab + F.lit(width)
     crosses = leave >= following
-    edges = F.array_compact(
-        F.array(
-            _edge(slab, t, _READ, 1),
-            F.when(~crosses, _edge(slab, leave, _LEAVE, -1)),
-            F.when(crosses, _edge(following, following, _ENTER, 1)),
-            F.when(crosses, _edge(following, leave, _LEAVE, -1)),
-        )
+    home = F.when(crosses, following).otherwise(slab)
+    edges = F.array(
+        _edge(slab, t, _READ, 1),
+        _edge(home, leave, _LEAVE, -1),
+        F.when(crosses, _edge(following, following, _ENTER, 1)),
     )
     running = (
         Window.partitionBy(*keys, "slab").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
@@ -61,6 +59,7 @@ def trailing_count(
         .dropna()
         .distinct()
         .select(*keys, F.inline(edges))
+        .filter(F.col("slab").isNotNull())
         .withColumn("n", F.sum("delta").over(running))
         .filter(F.col("kind") == _READ)
         .select(*keys, F.col("at").alias(time), F.col("n").cast("long").alias("n"))
@@ -74,16 +73,14 @@ def with_carry(
     width = slab_width(window_ms, slab_ms)
     slab = floor_to(F.col(time), width)
     following = slab + F.lit(width)
-    homes = F.array_compact(
-        F.array(
-            F.struct(slab.alias("slab"), F.lit(False).alias("carried")),
-            F.when(
-                F.col(time) + F.lit(window_ms) >= following,
-                F.struct(following.alias("slab"), F.lit(True).alias("carried")),
-            ),
-        )
+    homes = F.array(
+        F.struct(slab.alias("slab"), F.lit(False).alias("carried")),
+        F.when(
+            F.col(time) + F.lit(window_ms) >= following,
+            F.struct(following.alias("slab"), F.lit(True).alias("carried")),
+        ),
     )
-    return points.select("*", F.inline(homes))
+    return points.select("*", F.inline(homes)).filter(F.col("slab").isNotNull())
 
 
 def trailing_distinct(
@@ -114,17 +111,16 @@ def trailing_distinct(
         return F.struct(at.alias("at"), F.lit(kind).alias("kind"), F.lit(delta).alias("delta"))
 
     marked = homes.select(*keys, "slab", "carried", value, time, starts.alias("starts"), ends.alias("ends"))
-    edges = F.array_compact(
-        F.array(
-            F.when(F.col("starts"), edge(t, _ENTER, 1)),
-            edge(t, _READ, 0),
-            F.when(F.col("ends"), edge(t + span, _LEAVE, -1)),
-        )
+    edges = F.array(
+        F.when(F.col("starts"), edge(t, _ENTER, 1)),
+        edge(t, _READ, 0),
+        F.when(F.col("ends"), edge(t + span, _LEAVE, -1)),
     )
     group = Window.partitionBy(*keys, "slab")
     running = group.orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
     reads = (
         marked.select(*keys, "slab", "carried", value, F.inline(edges))
+        .filter(F.col("kind").isNotNull())
         .withColumn("n", F.sum("delta").over(running))
         .withColumn("known", F.collect_set(value).over(group))
         .filter(F.col("kind") == _READ)

@@ -87,15 +87,9 @@ def _flat_alerts(alerts: DataFrame) -> DataFrame:
 
 # --- records --------------------------------------------------------------------
 def decode_quarantine(spark, sf):
-    good, bad = records.decode_transactions(views.raw_records(spark, sf))
-    good = good.select(
-        "offset", F.lit(None).cast("string").alias("problem"), "transaction_id", "user_id", "event_ms",
-        "time_ok", "schema_ok", "is_valid",
+    return records.decoded_transactions(views.raw_records(spark, sf)).select(
+        "offset", "problem", "transaction_id", "user_id", "event_ms", "time_ok", "schema_ok", "is_valid"
     )
-    none = {"transaction_id": "string", "user_id": "string", "event_ms": "bigint"}
-    none |= {"time_ok": "boolean", "schema_ok": "boolean", "is_valid": "boolean"}
-    bad = bad.select("offset", "problem", *[F.lit(None).cast(t).alias(c) for c, t in none.items()])
-    return good.unionByName(bad)
 
 
 def txn_validity(spark, sf):

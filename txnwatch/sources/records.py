@@ -26,18 +26,14 @@ def _parse(text: Column, layout: T.StructType, mode: str) -> Column:
 
 
 def _problem(text: Column, parsed: str, fields, mode: str, reject_unknown: bool) -> Column:
-    missing = F.array_compact(
-        F.array(*[F.when(F.col(f"{parsed}.{name}").isNull(), F.lit(name)) for name in fields])
-    )
+    missing = F.concat_ws(",", *[F.when(F.col(f"{parsed}.{name}").isNull(), F.lit(name)) for name in fields])
     known = F.array(*[F.lit(name) for name in fields])
     extra = F.array_except(F.json_object_keys(text), known)
     problem = F.when(text.isNull(), F.lit("NULL_PAYLOAD")).when(F.length(text) == 0, F.lit("EMPTY_PAYLOAD"))
     if mode == "permissive":
         problem = problem.when(F.col(f"{parsed}.{_CORRUPT}").isNotNull(), F.lit("BAD_JSON"))
     problem = problem.when(F.col(parsed).isNull(), F.lit("BAD_JSON"))
-    problem = problem.when(
-        F.size(missing) > 0, F.concat(F.lit("MISSING_FIELD: "), F.array_join(missing, ","))
-    )
+    problem = problem.when(missing != "", F.concat(F.lit("MISSING_FIELD: "), missing))
     if reject_unknown:
         problem = problem.when(
             F.size(extra) > 0, F.concat(F.lit("UNKNOWN_FIELD: "), F.array_join(F.sort_array(extra), ","))
@@ -73,6 +69,33 @@ def _passed_on(records: DataFrame) -> list[str]:
     return [name for name in records.columns if name not in ("key", "value", "headers")]
 
 
+def decoded_transactions(
+    records: DataFrame, ingest_ts: str = "ingest_ts", mode: str = "permissive", reject_unknown: bool = True
+) -> DataFrame:
+    """Every record with its transaction columns and ``problem``, in one pass.
+
+    ``time_ok``, ``schema_ok`` and ``is_valid`` describe usable records. An
+    unreadable time falls back to ``ingest_ts``.
+    """
+    decoded = decode(records, S.TRANSACTION_JSON, mode, reject_unknown)
+    usable = F.col("problem").isNull()
+    fields = [F.when(usable, F.col(f"record.{wire}")).alias(name) for wire, name in S.TRANSACTION_FIELDS.items()]
+    own = times.parse_instant(F.col("timestamp"))
+    event_ts = F.when(usable, F.coalesce("_own", F.col(ingest_ts)))
+    return (
+        decoded.select(*_passed_on(records), "value", "problem", *fields)
+        .withColumn("_own", own)
+        .select(
+            *_passed_on(records), "value", "problem", *S.TRANSACTION_FIELDS.values(),
+            event_ts.alias("event_ts"),
+            F.unix_millis(event_ts).alias("event_ms"),
+            F.when(usable, F.col("_own").isNotNull()).alias("time_ok"),
+            F.when(usable, quality.schema_ok()).alias("schema_ok"),
+            F.when(usable, quality.transaction_valid()).alias("is_valid"),
+        )
+    )
+
+
 def decode_transactions(
     records: DataFrame,
     ingest_ts: str = "ingest_ts",
@@ -82,26 +105,13 @@ def decode_transactions(
 ) -> tuple[DataFrame, DataFrame]:
     """(transactions, quarantine) from records with a binary or text ``value``.
 
-    Transactions carry ``schema_ok``, ``is_valid`` and ``time_ok``; invalid ones
-    are kept unless ``drop_invalid``. An unreadable time falls back to ``ingest_ts``.
+    Invalid transactions are kept and flagged unless ``drop_invalid``.
     """
-    decoded = decode(records, S.TRANSACTION_JSON, mode, reject_unknown)
-    kept = _passed_on(records)
-    fields = [F.col(f"record.{wire}").alias(name) for wire, name in S.TRANSACTION_FIELDS.items()]
-    good = decoded.filter(F.col("problem").isNull()).select(*kept, *fields)
-    own = times.parse_instant(F.col("timestamp"))
-    event_ts = times.event_time(F.col("timestamp"), F.col(ingest_ts))
-    good = good.select(
-        "*",
-        event_ts.alias("event_ts"),
-        F.unix_millis(event_ts).alias("event_ms"),
-        own.isNotNull().alias("time_ok"),
-        quality.schema_ok().alias("schema_ok"),
-        quality.transaction_valid().alias("is_valid"),
-    )
+    decoded = decoded_transactions(records, ingest_ts, mode, reject_unknown)
+    good = decoded.filter(F.col("problem").isNull()).drop("value", "problem")
     if drop_invalid:
         good = good.filter("is_valid")
-    return good, quarantine(decoded, kept)
+    return good, quarantine(decoded, _passed_on(records))
 
 
 def quarantine(decoded: DataFrame, kept) -> DataFrame:
