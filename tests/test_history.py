@@ -65,6 +65,14 @@ def test_pages_cover_everything_once(spark):
     assert (nothing.total_pages, nothing.has_next) == (0, False)
 
 
+def test_deep_pages_equal_plain_pages(spark):
+    frame = rows_of(spark, [{"alert_timestamp": START + timedelta(seconds=(i * 7) % 30)} for i in range(60)])
+    for page in (1, 3, 8, 9):
+        search = history.Search(page=page, size=7, as_of=NOW)
+        plain, deep = (history.search_page(frame, search, after).collect() for after in (10**6, 0))
+        assert [r.alert_id for r in plain] == [r.alert_id for r in deep], page
+
+
 def test_page_is_cut_before_it_is_sorted(spark):
     frame = rows_of(spark, [{"amount": 100 - i} for i in range(10)])
     page = history.search_page(frame, history.Search(size=3, as_of=NOW))

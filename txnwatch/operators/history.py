@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from txnwatch import schemas as S
 from txnwatch.functions import texts, times
+from txnwatch.operators import prefix
 
 _USER_ID = re.compile(r"[a-zA-Z0-9-]+")
+# rows a task may hold to skip to a page
+DEEP_AFTER = 10_000
 SORTABLE = ("user_id", "amount", "rule_name", "severity", "alert_timestamp", "status")
 
 
@@ -125,14 +128,40 @@ def matching(history: DataFrame, search: Search) -> DataFrame:
     return history.filter(functools.reduce(operator.and_, conditions(search, history.columns)))
 
 
-def search_page(history: DataFrame, search: Search) -> DataFrame:
-    """One page, newest first; equal times are ordered by id so pages never overlap."""
-    return (
-        matching(history, search)
-        .orderBy(F.col("alert_timestamp").desc(), "alert_id")
-        .offset(search.page * search.size)
-        .limit(search.size)
-    )
+def _newest_first() -> list[Column]:
+    return [F.col("alert_timestamp").desc(), F.col("alert_id").asc()]
+
+
+def search_page(history: DataFrame, search: Search, deep_after: int = DEEP_AFTER) -> DataFrame:
+    """One page, newest first; equal times are ordered by id so pages never overlap.
+
+    A page far down would make every task and the driver hold all rows before
+    it. Beyond ``deep_after`` rows the times the page covers are looked up first
+    (one small row comes back), and only those rows are sorted.
+    """
+    rows, skip = matching(history, search), search.page * search.size
+    if skip > deep_after:
+        covered = _times_at(rows, skip, search.size)
+        if covered is None:
+            return rows.limit(0)
+        newest, oldest, before = covered
+        rows = rows.filter(F.unix_millis("alert_timestamp").between(oldest, newest))
+        skip -= before
+    return rows.orderBy(*_newest_first()).offset(skip).limit(search.size)
+
+
+def _times_at(rows: DataFrame, skip: int, size: int) -> tuple[int, int, int] | None:
+    """(newest ms, oldest ms, rows newer than these) of positions ``skip`` to ``skip + size - 1``."""
+    age = (-F.unix_millis("alert_timestamp")).alias("age")
+    counts = rows.groupBy(age).agg(F.count("*").alias("n"))
+    placed = prefix.running_total(counts, "age", "n", "upto", cell=3_600_000)
+    covers = (F.col("upto") > skip) & (F.col("upto") - F.col("n") < skip + size)
+    found = placed.filter(covers).agg(
+        F.max(-F.col("age")).alias("newest"),
+        F.min(-F.col("age")).alias("oldest"),
+        F.min(F.col("upto") - F.col("n")).alias("before"),
+    ).first()
+    return None if found.newest is None else (found.newest, found.oldest, found.before)
 
 
 def page_meta(history: DataFrame, search: Search) -> DataFrame:
@@ -162,4 +191,4 @@ def sort_page(page: DataFrame, column: str, descending: bool = False) -> DataFra
 
 
 def latest(history: DataFrame, n: int = 10) -> DataFrame:
-    return history.orderBy(F.col("alert_timestamp").desc(), "alert_id").limit(max(0, n))
+    return history.orderBy(*_newest_first()).limit(max(0, n))

@@ -227,6 +227,11 @@ def history_search_user(spark, sf):
     return _page(history.search_page(views.alert_history(spark, sf), USER_SEARCH))
 
 
+def history_search_deep(spark, sf):
+    """The same page, found the way a page far down is found."""
+    return _page(history.search_page(views.alert_history(spark, sf), SEARCH, deep_after=0))
+
+
 def history_page_meta(spark, sf):
     meta = history.page_meta(views.alert_history(spark, sf), SEARCH)
     return meta.select(
@@ -570,7 +575,7 @@ def registry() -> dict[str, Query]:
     named = [
         decode_quarantine, txn_validity, transaction_records, alert_records, decoded_alerts, all_alerts,
         alert_validity, dynamic_rule_matches, rule_validation, rule_dry_run, flatten_history, history_violations,
-        history_search_page, history_search_user, history_page_meta, history_page_sorted, latest_history,
+        history_search_page, history_search_user, history_search_deep, history_page_meta, history_page_sorted, latest_history,
         history_append, archive_split, retention, recent_alerts, recent_filtered, recent_first_filter,
         severity_sorted, point_lookup, status_fold, status_events, status_event_records, case_state,
         apply_status_changes, new_alerts_only, status_counts, hourly_counts, hourly_counts_last_day, rule_stats,

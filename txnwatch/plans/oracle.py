@@ -445,6 +445,7 @@ def oracles() -> dict[str, str]:
     for unit in ("day", "week", "month"):
         found[f"period_rollup_{unit}"] = _rollup(unit)
     found["stream_detect"] = found["stream_detect_split"] = found["all_alerts"]
+    found["history_search_deep"] = found["history_search_page"]
     found["stream_recent"] = found["recent_alerts"]
     found["stream_cases"] = found["status_events"]
     return found
