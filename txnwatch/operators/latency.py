@@ -21,8 +21,7 @@ def latencies(alerts: DataFrame, transactions: DataFrame, arrival: str = "event_
     """
     last = (
         transactions.groupBy("transaction_id")
-        .agg(F.max(F.struct(arrival, "event_ts")).alias("_last"))
-        .select("transaction_id", F.col("_last.event_ts").alias("event_ts"))
+        .agg(F.max_by("event_ts", arrival).alias("event_ts"))
     )
     took = F.unix_micros("alert_timestamp") - F.unix_micros("event_ts")
     return (

@@ -13,24 +13,29 @@ from pyspark.sql import functions as F
 from txnwatch.functions.times import floor_to
 
 
-def running_total(rows: DataFrame, order: str, value: str, out: str, cell: int) -> DataFrame:
+def running_total(
+    rows: DataFrame, order: str, value: str, out: str, cell: int, coarser: Sequence[int] = ()
+) -> DataFrame:
     """``out`` = sum of ``value`` over all rows up to and including this one.
 
     ``order`` is a long, unique per row. Only the per-cell sums (one row per
-    ``cell``-wide stretch of ``order``) meet in a single task.
+    ``cell``-wide stretch of ``order``) meet in a single task; where even those
+    may be many, ``coarser`` names wider cells to sum them in first.
     """
-    rows = rows.withColumn("_cell", floor_to(F.col(order), cell))
-    before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy("_cell")
-        .agg(F.sum(value).alias("_sum"))
-        .select("_cell", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    )
-    inside = Window.partitionBy("_cell").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    here, offset, total = f"_cell{cell}", f"_offset{cell}", f"_sum{cell}"
+    rows = rows.withColumn(here, floor_to(F.col(order), cell))
+    sums = rows.groupBy(here).agg(F.sum(value).alias(total))
+    if coarser:
+        upto = running_total(sums, here, total, offset, coarser[0], coarser[1:])
+        offsets = upto.select(here, (F.col(offset) - F.col(total)).alias(offset))
+    else:
+        before = Window.orderBy(here).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sums.select(here, F.coalesce(F.sum(total).over(before), F.lit(0)).alias(offset))
+    inside = Window.partitionBy(here).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        rows.join(offsets, "_cell")
-        .withColumn(out, F.col("_offset") + F.sum(value).over(inside))
-        .drop("_cell", "_offset")
+        rows.join(offsets, here)
+        .withColumn(out, F.col(offset) + F.sum(value).over(inside))
+        .drop(here, offset)
     )
 
 
@@ -42,7 +47,7 @@ def order_statistics(rows: DataFrame, value: str, fractions: dict[str, float], c
     the per-cell counts then say which cell holds each wanted position.
     """
     counts = rows.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
-    ranked = running_total(counts, "_value", "_n", "_upto", cell)
+    ranked = running_total(counts, "_value", "_n", "_upto", cell, coarser=(1000 * cell,))
     names = F.array(
         *[F.struct(F.lit(name).alias("_name"), F.lit(q).alias("_fraction")) for name, q in fractions.items()]
     )
