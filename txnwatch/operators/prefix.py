@@ -23,7 +23,8 @@ def running_total(
     may be many, ``coarser`` names wider cells to sum them in first.
     """
     here, offset, total = f"_cell{cell}", f"_offset{cell}", f"_sum{cell}"
-    rows = rows.withColumn(here, floor_to(F.col(order), cell))
+    # never NULL, so no null filter gets into one use of ``rows`` and not the other: they share a shuffle
+    rows = rows.withColumn(here, F.coalesce(floor_to(F.col(order), cell), F.lit(0)))
     sums = rows.groupBy(here).agg(F.sum(value).alias(total))
     if coarser:
         upto = running_total(sums, here, total, offset, coarser[0], coarser[1:])
