@@ -14,18 +14,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnwatch.functions.times import floor_to
 
 MIN_SLAB_MS = 600_000
+HOUR_MS = 3_600_000
 
 # order of edges that share a time: a window includes both of its ends
 _ENTER, _READ, _LEAVE = 0, 1, 2
 
 
 def slab_width(window_ms: int, slab_ms: int | None = None) -> int:
-    """A slab is at least one window wide, so a window touches two slabs at most."""
-    return max(window_ms, slab_ms or MIN_SLAB_MS)
+    """A slab is at least one window wide, so a window touches two slabs at most.
+
+    By default a few windows wide, so that few points are carried, but not so
+    wide that the distinct milliseconds of one slab become many.
+    """
+    return max(window_ms, slab_ms or max(MIN_SLAB_MS, min(4 * window_ms, HOUR_MS)))
 
 
 def _edge(slab: Column, at: Column, kind: int, delta: int) -> Column:
@@ -110,47 +116,61 @@ def trailing_distinct(
     def edge(at: Column, kind: int, delta: int) -> Column:
         return F.struct(at.alias("at"), F.lit(kind).alias("kind"), F.lit(delta).alias("delta"))
 
-    marked = homes.select(*keys, "slab", "carried", value, time, starts.alias("starts"), ends.alias("ends"))
+    # most groups hold too few values to fire at all; leave them out early
+    group = Window.partitionBy(*keys, "slab")
+    marked = (
+        homes.select(
+            *keys, "slab", "carried", value, time, starts.alias("starts"), ends.alias("ends"),
+            earlier.isNull().cast("int").alias("first_of_value"),
+        )
+        .withColumn("n_values", F.sum("first_of_value").over(group))
+        .filter(F.col("n_values") >= at_least)
+    )
     edges = F.array(
         F.when(F.col("starts"), edge(t, _ENTER, 1)),
         edge(t, _READ, 0),
         F.when(F.col("ends"), edge(t + span, _LEAVE, -1)),
     )
-    group = Window.partitionBy(*keys, "slab")
     running = group.orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    # which values are inside changes only where one enters or leaves: an epoch
+    changes = F.col("kind") != _READ
     reads = (
         marked.select(*keys, "slab", "carried", value, F.inline(edges))
         .filter(F.col("kind").isNotNull())
         .withColumn("n", F.sum("delta").over(running))
-        .withColumn("known", F.collect_set(value).over(group))
-        .filter(F.col("kind") == _READ)
+        .withColumn("epoch", F.sum(changes.cast("int")).over(running))
+        .withColumn("known", F.collect_set(F.when(F.col("kind") == _ENTER, F.col(value))).over(group))
+        .filter(~changes)
+        .withColumn("before", F.lag("epoch").over(group.orderBy("at", "kind")))
     )
 
-    # the values themselves, only for rows that fired: when was each value last seen?
-    fires = ~F.col("carried") & (F.col("n") >= at_least)
-
-    def sighting(what: Column, seen: Column) -> Column:
-        return F.struct(what.alias("_value"), seen.alias("_seen"))
-
-    never = F.lit(None).cast("long")
-    probes = F.when(fires, F.transform("known", lambda v: sighting(v, never)))
-    nothing = F.array().cast(f"array<struct<_value:{points.schema[value].dataType.simpleString()},_seen:bigint>>")
+    # once per epoch that fires, ask for each known value when it was last seen
+    asks = (F.col("n") >= at_least) & ~F.col("epoch").eqNullSafe(F.col("before"))
+    nothing = F.array().cast(T.ArrayType(points.schema[value].dataType))
+    asked = F.concat(F.array(F.col(value)), F.coalesce(F.when(asks, F.col("known")), nothing))
     rows = reads.select(
         *keys,
         "slab",
+        "epoch",
         "at",
-        F.inline(F.concat(F.array(sighting(F.col(value), F.col("at"))), F.coalesce(probes, nothing))),
+        (~F.col("carried") & (F.col("n") >= at_least)).alias("fires"),
+        F.posexplode(asked).alias("position", "candidate"),
     )
+    sighted = F.col("position") == 0
     until_now = (
-        Window.partitionBy(*keys, "slab", "_value")
-        .orderBy("at", F.col("_seen").isNull())
+        Window.partitionBy(*keys, "slab", "candidate")
+        .orderBy("at", ~sighted)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
+    last_seen = F.last(F.when(sighted, F.col("at")), ignorenulls=True).over(until_now)
+    inside = F.when(~sighted & (F.col("last_seen") >= F.col("at") - span), F.col("candidate"))
+    same_epoch = Window.partitionBy(*keys, "slab", "epoch")
     # a point has one home slab, so grouping by slab as well needs no further shuffle
     return (
-        rows.withColumn("_last", F.last("_seen", ignorenulls=True).over(until_now))
-        .filter(F.col("_seen").isNull() & (F.col("_last") >= F.col("at") - span))
+        rows.withColumn("last_seen", last_seen)
+        .withColumn("values", F.collect_set(inside).over(same_epoch))
+        .filter(sighted & F.col("fires"))
         .groupBy(*keys, "slab", F.col("at").alias(time))
-        .agg(F.sort_array(F.collect_set("_value")).alias("values"))
-        .select(*keys, time, "values", F.size("values").cast("long").alias("n"))
+        .agg(F.first("values").alias("values"))
+        .select(*keys, time, F.sort_array("values").alias("values"), F.size("values").cast("long").alias("n"))
     )
