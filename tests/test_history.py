@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from builders import START, history as rows_of
 from builders import transactions
+from txnwatch.functions import times
 from txnwatch.operators import analytics, history, latency, metrics, quality, rules
 from txnwatch.sources import tables
 
@@ -113,7 +114,7 @@ def test_history_checks(spark):
         ({"status": "DONE"}, "STATUS_UNKNOWN"), ({"user_id": None}, "MISSING_FIELD"),
     ]
     frame = rows_of(spark, [change for change, _ in bad] + [{}, {"reason": "x" * 10}, {"action_note": "x" * 2000}])
-    checked = quality.with_violations(frame, quality.history_checks(F.lit(NOW)))
+    checked = quality.with_violations(frame, quality.history_checks(times.at(NOW)))
     got = [r.violations for r in checked.orderBy("alert_id").collect()]
     assert got == [[code] for _, code in bad] + [[], [], []]
     good, rejected = quality.split(checked)
@@ -204,7 +205,7 @@ def test_tps_and_service_checks(spark):
          ("alert-service", "DOWN", NOW - timedelta(seconds=11), None, None, None, "x" * 257), ("alert-service", "?", NOW, None, None, None, None)],
         layout,
     )
-    got = [r.violations for r in quality.with_violations(services, quality.service_checks(F.lit(NOW))).collect()]
+    got = [r.violations for r in quality.with_violations(services, quality.service_checks(times.at(NOW))).collect()]
     assert got == [[], ["SH-001", "SH-004", "SH-005"], ["SH-003", "SH-006", "SH-007"], ["SH-002"]]
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,13 @@ from pyspark.sql import functions as F
 _INSTANT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})$"
 
 
+def at(moment: datetime) -> Column:
+    """Literal instant. A value without a time zone is UTC, whatever zone the driver runs in."""
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
+    return F.lit(f"{moment.isoformat(sep=' ')}+00:00").cast("timestamp")
+
+
 def parse_instant(text: Column) -> Column:
     """Timestamp of an ISO-8601 instant, NULL for any other text."""
     return F.when(text.rlike(_INSTANT), F.try_to_timestamp(text))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnwatch import schemas as S
+from txnwatch.functions import times
 
 PERIODS = ("day", "week", "month")
 
@@ -25,7 +26,7 @@ def _whole(column: str) -> Column:
 
 def status_counts(history: DataFrame, since: datetime) -> DataFrame:
     return (
-        history.filter(F.col("alert_timestamp") >= F.lit(since))
+        history.filter(F.col("alert_timestamp") >= times.at(since))
         .groupBy("status")
         .agg(F.count("*").alias("n"))
     )
@@ -39,9 +40,9 @@ def hourly_counts(history: DataFrame, day: date | None = None, as_of: datetime |
     ts = F.col("alert_timestamp")
     if day is not None:
         start = datetime(day.year, day.month, day.day)
-        chosen = (ts >= F.lit(start)) & (ts < F.lit(start + timedelta(days=1)))
+        chosen = (ts >= times.at(start)) & (ts < times.at(start + timedelta(days=1)))
     else:
-        end = F.current_timestamp() if as_of is None else F.lit(as_of)
+        end = F.current_timestamp() if as_of is None else times.at(as_of)
         chosen = (ts > end - F.expr("INTERVAL 24 HOURS")) & (ts <= end)
     counts = history.filter(chosen).groupBy(F.hour(ts).cast("long").alias("hour")).agg(F.count("*").alias("n"))
     hours = history.sparkSession.range(24).withColumnRenamed("id", "hour")
@@ -51,9 +52,9 @@ def hourly_counts(history: DataFrame, day: date | None = None, as_of: datetime |
 def rule_stats(history: DataFrame, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
     """Per rule: count, share of all, completed count and completion rate."""
     if start is not None:
-        history = history.filter(F.col("alert_timestamp") >= F.lit(start))
+        history = history.filter(F.col("alert_timestamp") >= times.at(start))
     if end is not None:
-        history = history.filter(F.col("alert_timestamp") <= F.lit(end))
+        history = history.filter(F.col("alert_timestamp") <= times.at(end))
     completed = F.count_if(F.col("status") == "COMPLETED")
     return (
         history.groupBy("rule_name")

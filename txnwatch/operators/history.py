@@ -108,11 +108,11 @@ def conditions(search: Search, columns) -> list[Column]:
     tests: list[Column] = []
     by_date = "alert_date" in columns
     if s.start is not None:
-        tests.append(F.col("alert_timestamp") >= F.lit(s.start))
+        tests.append(F.col("alert_timestamp") >= times.at(s.start))
         if by_date:  # the partition column needs a predicate of its own
             tests.append(F.col("alert_date") >= F.lit(s.start.date()))
     if s.end is not None:
-        tests.append(F.col("alert_timestamp") <= F.lit(s.end))
+        tests.append(F.col("alert_timestamp") <= times.at(s.end))
         if by_date:
             tests.append(F.col("alert_date") <= F.lit(s.end.date()))
     if s.rule_name is not None:

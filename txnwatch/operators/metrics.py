@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnwatch import schemas as S
+from txnwatch.functions import times
 from txnwatch.functions.times import floor_to
 from txnwatch.operators import prefix
 
@@ -23,7 +24,7 @@ HOUR_MS = 3_600_000
 
 
 def _ms(when: datetime | Column) -> Column:
-    return F.unix_millis(when if isinstance(when, Column) else F.lit(when).cast("timestamp"))
+    return F.unix_millis(when if isinstance(when, Column) else times.at(when))
 
 
 def _grid(points: DataFrame, step_ms: int) -> DataFrame:
@@ -133,14 +134,14 @@ def back_fill(points: DataFrame, since: datetime | Column, as_of: datetime | Col
 
 def retained(rows: DataFrame, time: str, as_of: datetime, hours: int) -> DataFrame:
     """Rows not older than the retention: 1 hour for transactions, 24 hours for alerts."""
-    return rows.filter(F.col(time) >= F.lit(as_of) - F.make_dt_interval(hours=F.lit(hours)))
+    return rows.filter(F.col(time) >= times.at(as_of) - F.make_dt_interval(hours=F.lit(hours)))
 
 
 def service_status(
     heartbeats: DataFrame, as_of: datetime, timeout_ms: int = 5_000, stale_seconds: int = 10
 ) -> DataFrame:
     """Latest heartbeat per service; DOWN when it failed, took too long, is stale, or never came."""
-    now = F.lit(as_of).cast("timestamp")
+    now = times.at(as_of)
     last = (
         heartbeats.filter(F.col("checked_at") <= now)
         .groupBy("service_name")
@@ -204,7 +205,7 @@ def snapshot(
         .join(rate_part.select(one, "alerts"), "_one")
         .select(
             F.lit("METRICS_UPDATE").alias("type"),
-            F.lit(as_of).cast("timestamp").alias("timestamp"),
+            times.at(as_of).alias("timestamp"),
             F.struct("services", "tps", "alerts").alias("data"),
         )
     )

@@ -24,6 +24,11 @@ def _true(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
+def is_uuid(text: Column) -> Column:
+    """Whether an id has the random-UUID form (an id in another form is still accepted)."""
+    return _true(text.rlike(TRANSACTION_UUID))
+
+
 def schema_ok(row: str = "") -> Column:
     return _true(F.col(f"{row}schema_version") == S.SCHEMA_VERSION)
 

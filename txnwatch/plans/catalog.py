@@ -86,18 +86,23 @@ def _flat_alerts(alerts: DataFrame) -> DataFrame:
 
 
 # --- records --------------------------------------------------------------------
-def decode_quarantine(spark, sf):
-    return records.decoded_transactions(views.raw_records(spark, sf)).select(
+def _decoded_columns(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "offset", "problem", "transaction_id", "user_id", "event_ms", "time_ok", "schema_ok", "is_valid"
     )
 
 
+def decode_quarantine(spark, sf):
+    return _decoded_columns(records.decoded_transactions(views.raw_records(spark, sf)))
+
+
 def txn_validity(spark, sf):
     return views.transactions(spark, sf).select(
         "transaction_id",
         quality.schema_ok().alias("schema_ok"),
         quality.transaction_valid().alias("is_valid"),
         F.col("user_id").rlike(quality.USER_ID).alias("user_ok"),
+        quality.is_uuid(F.col("transaction_id")).alias("uuid_ok"),
         texts.display_won(F.col("amount")).alias("amount_text"),
         times.display_time(F.col("timestamp")).alias("time_text"),
     )
@@ -175,7 +180,7 @@ def rule_dry_run(spark, sf):
 
 # --- history --------------------------------------------------------------------
 def flatten_history(spark, sf):
-    rows, _ = history.flatten(views.alerts(spark, sf), created_at=F.lit(AS_OF).cast("timestamp"))
+    rows, _ = history.flatten(views.alerts(spark, sf), created_at=times.at(AS_OF))
     return rows.select(
         "alert_id", "schema_version", "transaction_id", "user_id", "amount", "currency", "country_code",
         "rule_name", "reason", "severity", _ms("alert_timestamp").alias("alert_ms"), "status", "assigned_to",
@@ -201,7 +206,7 @@ def rough_history(spark, sf) -> DataFrame:
 
 
 def history_violations(spark, sf):
-    checks = quality.history_checks(F.lit(datetime(2024, 1, 28)))
+    checks = quality.history_checks(times.at(datetime(2024, 1, 28)))
     return quality.with_violations(rough_history(spark, sf), checks).select(
         "alert_id", F.array_join("violations", ",").alias("violations")
     )
@@ -255,7 +260,7 @@ def history_append(spark, sf):
     path = shared_dir(spark, "history")
     rows = views.alert_history(spark, sf)
     tables.append_history(rows, path)
-    tables.append_history(rows.filter(F.col("alert_timestamp") >= F.lit(SEEN_UNTIL)), path)
+    tables.append_history(rows.filter(F.col("alert_timestamp") >= times.at(SEEN_UNTIL)), path)
     stored = tables.read_history(spark, path)
     return stored.groupBy(F.col("alert_date").cast("string").alias("alert_date")).agg(
         F.count("*").alias("n"), F.sum("amount").alias("total_amount"), F.min("alert_id").alias("first_id")
@@ -366,7 +371,7 @@ def apply_status_changes(spark, sf):
 
 def new_alerts_only(spark, sf):
     rows = views.alert_history(spark, sf)
-    seen = rows.filter(F.col("alert_timestamp") < F.lit(SEEN_UNTIL))
+    seen = rows.filter(F.col("alert_timestamp") < times.at(SEEN_UNTIL))
     return cases.new_only(rows.unionByName(rows), seen).select("alert_id", "rule_name", "user_id")
 
 
@@ -425,7 +430,7 @@ def latency_histogram(spark, sf):
 
 def latency_unmatched(spark, sf):
     """Alerts on transactions that a shortened transaction log no longer holds."""
-    kept = views.transactions(spark, sf).filter(F.col("event_ts") >= F.lit(datetime(2024, 1, 3)))
+    kept = views.transactions(spark, sf).filter(F.col("event_ts") >= times.at(datetime(2024, 1, 3)))
     return latency.unmatched(views.timed_alerts(spark, sf), kept).select("alert_id", "transaction_id")
 
 
@@ -547,6 +552,18 @@ def _stream_alerts(spark, sf):
     )
 
 
+def stream_alert_rate(spark, sf):
+    """Alerts per hour, sampled every half hour, as the windows close."""
+    return _finish(
+        jobs.counts_per_step(_stream_alerts(spark, sf), step="1 hour", slide="30 minutes")
+    ).select("point_ms", "n")
+
+
+def stream_decode(spark, sf):
+    raw = views.as_raw_records(views.as_transactions(_stream(spark, sf)))
+    return _decoded_columns(_finish(records.decoded_transactions(raw)))
+
+
 def stream_dedup(spark, sf):
     """Every alert arrives twice and leaves once."""
     alerts = _stream_alerts(spark, sf)
@@ -582,7 +599,7 @@ def registry() -> dict[str, Query]:
         rule_coverage, txn_profile, report_csv, latency_stats, latency_histogram, latency_unmatched, tps_series,
         alert_rate_series, alert_rate_visible, alert_warnings, metrics_summary, metric_backfill, metric_checks,
         service_status, metrics_snapshot, stream_detect, stream_detect_split, stream_tps, stream_dedup,
-        stream_recent, stream_cases,
+        stream_recent, stream_cases, stream_decode, stream_alert_rate,
     ]
     found = {run.__name__: run for run in named}
     found["high_value_alerts"] = _stateless(rules.high_value())

@@ -271,7 +271,7 @@ def oracles() -> dict[str, str]:
                      AND regexp_full_match(user_id, 'user-(10|[1-9])') END AS is_valid FROM r""",
         "txn_validity": f"""WITH {TXNS} SELECT transaction_id, TRUE AS schema_ok,
             amount BETWEEN 1000 AND 1500000 AND regexp_full_match(user_id, 'user-(10|[1-9])') AS is_valid,
-            regexp_full_match(user_id, 'user-(10|[1-9])') AS user_ok, concat(format('{{:,}}', amount), '원') AS amount_text,
+            regexp_full_match(user_id, 'user-(10|[1-9])') AS user_ok, FALSE AS uuid_ok, concat(format('{{:,}}', amount), '원') AS amount_text,
             strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS time_text FROM txns""",
         "transaction_records": f"WITH {TXNS} SELECT user_id AS key, {_TXN_JSON} AS value FROM txns",
         "alert_records": f"""WITH {ALERTS} SELECT user_id AS key,
@@ -440,6 +440,9 @@ def oracles() -> dict[str, str]:
               (SELECT string_agg(CAST(alerts_per_minute AS VARCHAR), ',' ORDER BY point_ms) FROM r) AS alerts_history""",
         "stream_tps": f"""WITH {TXNS}, h AS (SELECT event_ms - event_ms % 3600000 AS point_ms, count(*) AS n FROM txns GROUP BY 1)
             SELECT point_ms, n FROM h WHERE point_ms + 3600000 <= (SELECT max(event_ms) - 5000 FROM txns)""",
+        "stream_alert_rate": f"""WITH {ALERTS}, s AS (SELECT event_ms - event_ms % 1800000 AS half FROM alerts),
+            h AS (SELECT half - d * 1800000 AS point_ms, count(*) AS n FROM s, (VALUES (0), (1)) v(d) GROUP BY 1)
+            SELECT point_ms, n FROM h WHERE point_ms + 3600000 <= (SELECT max(event_ms) - 5000 FROM alerts)""",
         "stream_dedup": f"WITH {ALERTS} SELECT alert_id, user_id, rule_name FROM alerts",
     }
     for unit in ("day", "week", "month"):
@@ -447,5 +450,6 @@ def oracles() -> dict[str, str]:
     found["stream_detect"] = found["stream_detect_split"] = found["all_alerts"]
     found["history_search_deep"] = found["history_search_page"]
     found["stream_recent"] = found["recent_alerts"]
+    found["stream_decode"] = found["decode_quarantine"]
     found["stream_cases"] = found["status_events"]
     return found

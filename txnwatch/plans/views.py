@@ -122,6 +122,10 @@ def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_raw_records(transactions(spark, sf_dir))
+
+
+def as_raw_records(rows: DataFrame) -> DataFrame:
     """Transaction records as they come off the wire, some of them damaged."""
     event = F.col("event_id")
     body = F.to_json(
@@ -136,7 +140,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     damaged = F.when(event % 97 == 0, F.substring(body, 1, 40)).otherwise(body)
-    return transactions(spark, sf_dir).select(
+    return rows.select(
         event.alias("offset"), F.encode(damaged, "UTF-8").alias("value"), F.col("event_ts").alias("ingest_ts")
     )
 

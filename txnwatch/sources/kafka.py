@@ -10,22 +10,22 @@ from txnwatch import schemas as S
 
 
 def read_topic(
-    spark: SparkSession, servers: str, topic: str = S.TRANSACTIONS_TOPIC, max_offsets: int | None = None
+    spark: SparkSession, servers: str, topic: str = S.TRANSACTIONS_TOPIC, max_offsets: int = 1_000_000
 ) -> DataFrame:
     """Records of a topic from the earliest offset; ``timestamp`` becomes ``ingest_ts``.
 
     ``max_offsets`` bounds one micro-batch, and with it the rows one user's
     state function sees at a time.
     """
-    reader = (
+    return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
+        .option("maxOffsetsPerTrigger", max_offsets)
+        .load()
+        .select("key", "value", "partition", "offset", F.col("timestamp").alias("ingest_ts"))
     )
-    if max_offsets:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
-    return reader.load().select("key", "value", "partition", "offset", F.col("timestamp").alias("ingest_ts"))
 
 
 def write_topic(

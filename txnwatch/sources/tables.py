@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnwatch import schemas as S
+from txnwatch.functions import times
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -26,12 +27,14 @@ def _is_file(spark: SparkSession, path: str) -> bool:
     return files.getFileStatus(target).isFile()
 
 
-def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
-    """A Parquet table (a folder of files, or one file) as a stream of its files."""
+def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int = 64) -> DataFrame:
+    """A Parquet table (a folder of files, or one file) as a stream of its files.
+
+    ``files_per_batch`` bounds a micro-batch, and with it the rows one key's
+    state function sees at a time.
+    """
     path = f"{folder.rstrip('/')}/{name}.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_batch)
     if _is_file(spark, path):
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     return reader.parquet(path)
@@ -72,7 +75,7 @@ def archive_split(
     history: DataFrame, as_of: datetime, days: int = S.ARCHIVE_DAYS, time: str = "alert_timestamp"
 ) -> tuple[DataFrame, DataFrame]:
     """(kept, archived): alerts older than ``days`` go to the archive."""
-    edge = F.lit(as_of) - F.make_dt_interval(days=F.lit(days))
+    edge = times.at(as_of) - F.make_dt_interval(days=F.lit(days))
     by_month = history.withColumn("alert_month", F.date_format(time, "yyyy-MM"))
     return by_month.filter(F.col(time) >= edge), by_month.filter(F.col(time) < edge)
 
