@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +29,19 @@ def build_session(app: str = "txnwatch", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]):
+    """Settings that hold for what is started inside, put back afterwards."""
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder name below the cluster's shared checkpoint folder.
 
@@ -45,13 +59,5 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/txnwatch-{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df, name: str):
-    """Write ``df`` below the shared folder and read it back, so that a lost
-    executor re-reads files instead of recomputing the plan."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def local_cpus() -> int:
     return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 1))

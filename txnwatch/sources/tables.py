@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from txnwatch import schemas as S
 from txnwatch.functions import times
+from txnwatch.session import session_settings
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -57,7 +58,7 @@ def append_history(rows: DataFrame, path: str) -> None:
     new = rows.dropDuplicates(["alert_id"])
     if _exists(spark, path):
         new = new.join(read_history(spark, path).select("alert_id"), "alert_id", "left_anti")
-    (
+    writer = (
         new.withColumn("alert_date", F.to_date("alert_timestamp"))
         .hint("rebalance", "alert_date")
         .sortWithinPartitions("alert_date", F.col("alert_timestamp").desc())
@@ -67,8 +68,10 @@ def append_history(rows: DataFrame, path: str) -> None:
         .option("parquet.bloom.filter.enabled#alert_id", "true")
         .option("parquet.bloom.filter.adaptive.enabled", "true")
         .partitionBy("alert_date")
-        .parquet(path)
     )
+    # the default timestamp layout has no minimum and maximum to prune by
+    with session_settings(spark, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}):
+        writer.parquet(path)
 
 
 def archive_split(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,26 +12,13 @@ from txnwatch import schemas as S
 from txnwatch.functions.times import iso_instant
 from txnwatch.functions import texts
 from txnwatch.operators import cases, rules, trailing
+from txnwatch.session import session_settings
 from txnwatch.sources import tables
 from txnwatch.streaming.state import CaseFold, TrailingCounter
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-@contextmanager
-def _settings(spark: SparkSession, **settings: str):
-    """Session settings for the queries started inside."""
-    named = {"spark.sql.streaming." + key.replace("__", "."): value for key, value in settings.items()}
-    before = {key: spark.conf.get(key) for key in named}
-    for key, value in named.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
-
-
 # --- detection ----------------------------------------------------------------
 def high_frequency(
     transactions: DataFrame,
@@ -152,10 +138,10 @@ def to_table(
     writer = writer.option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     settings = {
-        "stateStore__providerClass": _ROCKSDB,
-        "noDataMicroBatches__enabled": str(idle_batches).lower(),
+        "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
+        "spark.sql.streaming.noDataMicroBatches.enabled": str(idle_batches).lower(),
     }
-    with _settings(stream.sparkSession, **settings):
+    with session_settings(stream.sparkSession, settings):
         return writer.trigger(**trigger).start()
 
 
