@@ -93,6 +93,12 @@ def test_multi_country(spark):
     assert run((0, "KR"), (300_000, "US"), (600_001, "JP")) == []
 
 
+def test_tumbling_windows(spark):
+    rows = transactions(spark, [{"id": f"t{i}", "ms": ms} for i, ms in enumerate([0, 1, 2, 3, 4, 59_999, 60_000, 60_001])])
+    alerts = rules.tumbling_alerts(rows, alert_ts=F.col("event_ts"))
+    assert fired(alerts) == ["t5"] and alerts.first().reason.endswith("user-1, 6회")
+
+
 def test_detect_unions_all_rules(spark):
     rows = transactions(spark, [{"ms": i, "amount": 1_500_000, "country": "US"} for i in range(6)])
     counts = {r.rule_name: r["count"] for r in rules.detect(rows).groupBy("rule_name").count().collect()}

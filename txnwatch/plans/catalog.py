@@ -151,6 +151,11 @@ def all_alerts(spark, sf):
     )
 
 
+def high_frequency_tumbling(spark, sf):
+    rows = views.transactions(spark, sf)
+    return _flat_alerts(rules.tumbling_alerts(rows, 3, DAY_MS, alert_ts=F.col("event_ts")))
+
+
 def alert_validity(spark, sf):
     return views.alerts(spark, sf).select(
         "alert_id", quality.alert_valid().alias("is_valid"), quality.alert_chronological().alias("in_order")
@@ -552,6 +557,11 @@ def _stream_alerts(spark, sf):
     )
 
 
+def stream_tumbling(spark, sf):
+    rows = views.as_transactions(_stream(spark, sf)).withWatermark("event_ts", S.WATERMARK_DELAY)
+    return _flat_alerts(_finish(rules.tumbling_alerts(rows, 3, DAY_MS, alert_ts=F.col("event_ts"))))
+
+
 def stream_alert_rate(spark, sf):
     """Alerts per hour, sampled every half hour, as the windows close."""
     return _finish(
@@ -600,6 +610,7 @@ def registry() -> dict[str, Query]:
         alert_rate_series, alert_rate_visible, alert_warnings, metrics_summary, metric_backfill, metric_checks,
         service_status, metrics_snapshot, stream_detect, stream_detect_split, stream_tps, stream_dedup,
         stream_recent, stream_cases, stream_decode, stream_alert_rate,
+        high_frequency_tumbling, stream_tumbling,
     ]
     found = {run.__name__: run for run in named}
     found["high_value_alerts"] = _stateless(rules.high_value())

@@ -201,6 +201,17 @@ frequent AS (
 )"""
 
 
+def _tumbling(closed: str) -> str:
+    return f"""WITH {TXNS}, c AS (
+          SELECT *, count(*) OVER d AS n, row_number() OVER (PARTITION BY user_id, event_ms // {DAY_MS}
+                 ORDER BY event_ms DESC, transaction_id DESC) AS r
+          FROM txns WINDOW d AS (PARTITION BY user_id, event_ms // {DAY_MS})),
+        frequent AS (SELECT *, md5(concat(transaction_id, '|HIGH_FREQUENCY')) AS alert_id, 'STATEFUL_RULE' AS rule_type,
+          'HIGH_FREQUENCY' AS rule_name, 'HIGH' AS severity,
+          concat('빈번한 거래 (24시간 내 3회 초과): ', user_id, ', ', n, '회') AS reason FROM c WHERE n > 3 AND r = 1 AND {closed})
+        SELECT {FLAT} FROM frequent"""
+
+
 def _all_alerts() -> str:
     frequent = _frequency(DAY_MS, 5, "24시간")[len(TXNS):]
     return f"WITH {ALERTS}{frequent} SELECT {FLAT} FROM alerts UNION ALL SELECT {FLAT} FROM frequent"
@@ -294,6 +305,10 @@ def oracles() -> dict[str, str]:
                       concat('다중 국가 거래 (24시간 내 ', len(countries), '개 국가): ', array_to_string(countries, ', '))
                         AS reason FROM seen WHERE len(countries) >= 3)
             SELECT {FLAT} FROM hit""",
+        "high_frequency_tumbling": _tumbling("TRUE"),
+        "stream_tumbling": _tumbling(
+            f"(event_ms // {DAY_MS} + 1) * {DAY_MS} <= (SELECT max(event_ms) - 5000 FROM txns)"
+        ),
         "all_alerts": _all_alerts(),
         "alert_validity": f"""WITH {ALERTS} SELECT alert_id, amount BETWEEN 1000 AND 1500000
               AND regexp_full_match(user_id, 'user-(10|[1-9])') AS is_valid, TRUE AS in_order FROM alerts""",
