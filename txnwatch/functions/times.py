@@ -23,14 +23,6 @@ def parse_instant(text: Column) -> Column:
     return F.when(text.rlike(_INSTANT), F.try_to_timestamp(text))
 
 
-def event_time(text: Column, fallback: Column) -> Column:
-    """Event time of a record: its own instant, else the ingest time.
-
-    Ingest time rather than the wall clock keeps replays equal.
-    """
-    return F.coalesce(parse_instant(text), fallback)
-
-
 def iso_instant(ts: Column) -> Column:
     """ISO-8601 UTC text with milliseconds."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")

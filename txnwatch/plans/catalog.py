@@ -326,6 +326,22 @@ def severity_sorted(spark, sf):
     )
 
 
+def alert_display(spark, sf):
+    """Names and day bounds as a list shows them, from loosely written input."""
+    rows = views.alert_history(spark, sf)
+    short = F.when(F.col("status") == "COMPLETED", "done").otherwise(F.lower("status"))
+    alias = F.when(F.col("rule_name") == S.HIGH_VALUE, "HIGH_AMOUNT").otherwise(F.col("rule_name"))
+    return rows.select(
+        "alert_id",
+        texts.parse_enum(short, S.STATUSES).alias("status"),
+        texts.status_name(texts.parse_enum(short, S.STATUSES)).alias("status_name"),
+        texts.normalize_rule_name(alias).alias("rule_name"),
+        texts.severity_priority(F.lower("severity")).cast("bigint").alias("priority"),
+        F.unix_millis(times.day_start(F.col("alert_timestamp"))).alias("day_start_ms"),
+        F.unix_millis(times.day_end(F.col("alert_timestamp"))).alias("day_end_ms"),
+    )
+
+
 def point_lookup(spark, sf):
     rows = views.alert_history(spark, sf)
     return _listed(cases.find(rows, "2e583b9f89eebf6e344fe232716e1a09"))
@@ -610,7 +626,7 @@ def registry() -> dict[str, Query]:
         alert_rate_series, alert_rate_visible, alert_warnings, metrics_summary, metric_backfill, metric_checks,
         service_status, metrics_snapshot, stream_detect, stream_detect_split, stream_tps, stream_dedup,
         stream_recent, stream_cases, stream_decode, stream_alert_rate,
-        high_frequency_tumbling, stream_tumbling,
+        high_frequency_tumbling, stream_tumbling, alert_display,
     ]
     found = {run.__name__: run for run in named}
     found["high_value_alerts"] = _stateless(rules.high_value())

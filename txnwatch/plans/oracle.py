@@ -357,6 +357,11 @@ def oracles() -> dict[str, str]:
             CASE status WHEN 'UNREAD' THEN '미확인' WHEN 'IN_PROGRESS' THEN '확인중' ELSE '완료' END AS status_name,
             row_number() OVER (ORDER BY CASE severity WHEN 'HIGH' THEN 3 ELSE 2 END DESC, alert_timestamp DESC,
               alert_id DESC) AS position FROM recent""",
+        "alert_display": f"""WITH {HISTORY} SELECT alert_id, CASE WHEN status <> 'COMPLETED' THEN status END AS status,
+            CASE status WHEN 'UNREAD' THEN '미확인' WHEN 'IN_PROGRESS' THEN '확인중' END AS status_name, rule_name,
+            CAST(CASE severity WHEN 'HIGH' THEN 3 ELSE 2 END AS BIGINT) AS priority,
+            epoch_ms(date_trunc('day', alert_timestamp)::TIMESTAMP) AS day_start_ms,
+            epoch_ms(date_trunc('day', alert_timestamp)::TIMESTAMP) + 86399999 AS day_end_ms FROM history""",
         "point_lookup": f"""WITH {HISTORY} SELECT {LISTED} FROM history
             WHERE alert_id = '2e583b9f89eebf6e344fe232716e1a09'""",
         "status_fold": f"""WITH {ON_CASES}, s AS (

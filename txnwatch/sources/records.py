@@ -75,7 +75,8 @@ def decoded_transactions(
     """Every record with its transaction columns and ``problem``, in one pass.
 
     ``time_ok``, ``schema_ok`` and ``is_valid`` describe usable records. An
-    unreadable time falls back to ``ingest_ts``.
+    unreadable time falls back to ``ingest_ts``: unlike the wall clock it is the
+    same in a replay.
     """
     decoded = decode(records, S.TRANSACTION_JSON, mode, reject_unknown)
     usable = F.col("problem").isNull()

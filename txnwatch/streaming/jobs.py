@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnwatch import schemas as S
-from txnwatch.functions.times import iso_instant
 from txnwatch.functions import texts
 from txnwatch.operators import cases, rules, trailing
 from txnwatch.session import session_settings
