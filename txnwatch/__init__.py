@@ -1,3 +1,10 @@
-"""Transaction monitoring and alert analytics as Spark DataFrame functions."""
+"""Transaction monitoring and alert analytics on Spark."""
 
-__version__ = "0.1.0"
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel whole with the job: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+__version__ = "0.2.0"
