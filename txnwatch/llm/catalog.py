@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import cuckoo, mixing, quality_rules
+from txnwatch.llm import cuckoo, mixing, quality_rules, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,17 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.membership(_documents(spark, sf))
+
+
+def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    return warc.archived(pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok"
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return cuckoo.membership(_documents(spark, sf))
 
@@ -34,7 +45,7 @@ def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES: tuple[Query, ...] = (op6_exact_dedup, op9_quality_rules, op10_mix_sources)
+QUERIES: tuple[Query, ...] = (op2_simhash, op3_warc, op6_exact_dedup, op9_quality_rules, op10_mix_sources)
 
 
 def registry() -> dict[str, Query]:
@@ -42,6 +53,14 @@ def registry() -> dict[str, Query]:
 
 
 SQL: dict[str, str] = {
+    "op3_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha256(b) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to, TRUE AS digest_ok
+FROM f
+""",
     "op6_exact_dedup": """
 WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS h FROM documents),
 r AS (SELECT doc_id, h, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
