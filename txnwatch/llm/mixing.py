@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from txnwatch.llm.common import ROW, WORD, packed, whole_text, written
 
 CAP = 3
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 2_000
 TOLERANCE = 1e-9
 MAX_STEPS = 60
 
