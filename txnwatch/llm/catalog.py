@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import cuckoo, mixing, quality_rules, simhash, warc
+from txnwatch.llm import crf, cuckoo, mixing, quality_rules, ranking, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def _labels(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/labels.parquet")
+
+
 def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.membership(_documents(spark, sf))
 
@@ -31,6 +35,14 @@ def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return cuckoo.membership(_documents(spark, sf))
 
 
+def op7_quality_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    return ranking.score(_documents(spark, sf), _labels(spark, sf))
+
+
+def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return crf.score(_documents(spark, sf), _labels(spark, sf))
+
+
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     rows = quality_rules.judge(_documents(spark, sf), keep=("doc_id",))
     return rows.select(
@@ -45,7 +57,7 @@ def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES: tuple[Query, ...] = (op2_simhash, op3_warc, op6_exact_dedup, op9_quality_rules, op10_mix_sources)
+QUERIES: tuple[Query, ...] = (op2_simhash, op3_warc, op6_exact_dedup, op7_quality_ranking, op8_toxicity, op9_quality_rules, op10_mix_sources)
 
 
 def registry() -> dict[str, Query]:

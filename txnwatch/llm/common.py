@@ -54,3 +54,24 @@ def written(rows: DataFrame, name: str) -> DataFrame:
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
     """Whether a document is kept from learning: CRC-32 of its id as text, modulo ``parts``."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
+
+
+def bounded_sample(
+    rows: DataFrame, kind: str, per_kind: int, max_bytes: int, max_kinds: int = 500
+) -> list:
+    """At most ``per_kind`` rows of each value of ``kind``, spread by a hash of ``doc_id``; for fitting only.
+
+    Texts above ``max_bytes`` are left out of the sample, so its size on the driver has a bound.
+    Every run takes the same rows. ``rows`` needs ``doc_id``, ``text`` and ``kind``.
+    """
+    rows = rows.filter(F.octet_length("text") <= max_bytes).withColumn("_hash", F.xxhash64("doc_id", "text"))
+    counts = {r[0]: r[1] for r in rows.groupBy(kind).agg(F.count("*")).limit(max_kinds + 1).collect()}
+    if len(counts) > max_kinds:
+        raise ValueError(f"more than {max_kinds} values of {kind}")
+    found = []
+    for value in sorted(counts, key=str):
+        # twice the share that is wanted, then the first of them by hash
+        share = min(1.0, 2.0 * per_kind / counts[value])
+        some = rows.filter(F.col(kind) == value).filter(F.pmod("_hash", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+        found += some.orderBy("_hash", "doc_id").limit(per_kind).collect()
+    return found
