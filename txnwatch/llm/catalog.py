@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import crf, cuckoo, mixing, quality_rules, ranking, simhash, warc
+from txnwatch.llm import crf, cuckoo, langid, mixing, quality_rules, ranking, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_language(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.identify(_documents(spark, sf))
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return cuckoo.membership(_documents(spark, sf))
 
@@ -57,7 +61,7 @@ def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES: tuple[Query, ...] = (op2_simhash, op3_warc, op6_exact_dedup, op7_quality_ranking, op8_toxicity, op9_quality_rules, op10_mix_sources)
+QUERIES: tuple[Query, ...] = (op2_simhash, op3_warc, op5_language, op6_exact_dedup, op7_quality_ranking, op8_toxicity, op9_quality_rules, op10_mix_sources)
 
 
 def registry() -> dict[str, Query]:
