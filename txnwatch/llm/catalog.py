@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import crf, cuckoo, langid, mixing, quality_rules, ranking, simhash, warc
+from txnwatch.llm import crf, cuckoo, langid, mixing, pii, quality_rules, ranking, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def _labels(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/labels.parquet")
 
 
+def op1_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.find(_documents(spark, sf))
+
+
 def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.membership(_documents(spark, sf))
 
@@ -61,7 +65,7 @@ def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES: tuple[Query, ...] = (op2_simhash, op3_warc, op5_language, op6_exact_dedup, op7_quality_ranking, op8_toxicity, op9_quality_rules, op10_mix_sources)
+QUERIES: tuple[Query, ...] = (op1_personal_data, op2_simhash, op3_warc, op5_language, op6_exact_dedup, op7_quality_ranking, op8_toxicity, op9_quality_rules, op10_mix_sources)
 
 
 def registry() -> dict[str, Query]:
