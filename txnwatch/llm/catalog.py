@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import crf, cuckoo, langid, mixing, pii, quality_rules, ranking, simhash, warc
+from txnwatch.llm import bpe, crf, cuckoo, langid, mixing, pii, quality_rules, ranking, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,17 @@ def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def vocabulary_path() -> str:
+    """The public byte-level tokenizer file of the machine this runs on."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.encode_and_decode(_documents(spark, sf), vocabulary_path())
+
+
 def op5_language(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(_documents(spark, sf))
 
@@ -65,7 +76,7 @@ def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES: tuple[Query, ...] = (op1_personal_data, op2_simhash, op3_warc, op5_language, op6_exact_dedup, op7_quality_ranking, op8_toxicity, op9_quality_rules, op10_mix_sources)
+QUERIES: tuple[Query, ...] = (op1_personal_data, op2_simhash, op3_warc, op4_bpe, op5_language, op6_exact_dedup, op7_quality_ranking, op8_toxicity, op9_quality_rules, op10_mix_sources)
 
 
 def registry() -> dict[str, Query]:
