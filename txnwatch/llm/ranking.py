@@ -140,5 +140,5 @@ def _threshold(scored: DataFrame) -> float:
     """Between the two scores around the quantile at the share of bad documents."""
     scored = scored.select("_label", F.round(F.col("s") * SCALE).cast("long").alias("v"))
     n, bad = scored.agg(F.count("*"), F.count_if(F.col("_label") == 0)).first()
-    near = order_statistics(scored, "v", {"below": (bad - 0.5) / n, "above": (bad + 0.5) / n}).first()
+    near = order_statistics(scored, "v", {"below": (bad - 0.5) / n, "above": (bad + 0.5) / n}, cell=SCALE // 100).first()
     return (near["below"] + near["above"]) / 2 / SCALE
