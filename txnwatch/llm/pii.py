@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnwatch.llm.common import text_list, written
 
@@ -182,7 +183,12 @@ def votes(text: str, kind: str, a: int, b: int, base: bool) -> tuple[str, int]:
     return ballot, sum(1 << i for i, bit in enumerate(bits) if bit)
 
 
-SPAN = "struct<kind:string,start:int,end:int,base:boolean,votes:string,features:int>"
+SPAN = T.StructType(
+    [
+        T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
+        T.StructField("base", T.BooleanType()), T.StructField("votes", T.StringType()), T.StructField("features", T.IntegerType()),
+    ]
+)
 ARROW_SPAN = pa.list_(
     pa.struct(
         [("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_()), ("votes", pa.string()), ("features", pa.int32())]
@@ -200,7 +206,7 @@ def scan(text: str) -> list[dict]:
     return out
 
 
-@F.arrow_udf(f"array<{SPAN}>")
+@F.arrow_udf(T.ArrayType(SPAN))
 def scanned(texts: pa.Array) -> pa.Array:
     return pa.array([scan(t) for t in text_list(texts)], ARROW_SPAN)
 

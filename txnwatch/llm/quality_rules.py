@@ -23,13 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql import types as T
 
 from txnwatch.llm.common import ROW, SPACES, byte_list, packed, unpacked, written
 
 SYMBOLS = b"#*$%&|<>"
 CONTINUATION = bytes(range(0x80, 0xC0))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
-MEASURES = "struct<" + ",".join(f"{name}:bigint" for name in COUNTS) + ">"
+MEASURES = T.StructType([T.StructField(name, T.LongType()) for name in COUNTS])
 LONG_TEXT = 100_000
 """Words from which the windows are compared as numbers, which takes less memory than tuples."""
 

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnwatch.llm.common import byte_list, held_out, written
 from txnwatch.llm.quality_rules import CONTINUATION, SYMBOLS, measure_text
@@ -66,7 +67,7 @@ def text_features(text: bytes) -> list[float]:
     ]
 
 
-@F.arrow_udf("array<double>")
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
 def features(texts: pa.Array) -> pa.Array:
     return pa.array([text_features(t) for t in byte_list(texts)], pa.list_(pa.float64()))
 

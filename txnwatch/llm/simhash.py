@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql import types as T
 
 from txnwatch.llm.common import ROW, byte_list, packed, unpacked, written
 from txnwatch.llm.components import components
@@ -61,7 +62,7 @@ def fingerprint(text: bytes, width: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big", signed=True)
 
 
-@F.arrow_udf("bigint")
+@F.arrow_udf(T.LongType())
 def fingerprints(texts: pa.Array) -> pa.Array:
     return pa.array([fingerprint(t) for t in byte_list(texts)], pa.int64())
 
