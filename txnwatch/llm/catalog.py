@@ -97,6 +97,49 @@ WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS h FROM documents),
 r AS (SELECT doc_id, h, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
              row_number() OVER (PARTITION BY h ORDER BY doc_id DESC) AS place FROM d)
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, h AS text_sha256 FROM r
+""",
+    # the sketch's cells are integers, so SQL counts the same ones
+    "op9_quality_rules": r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+w AS (SELECT rid, unnest(range(1, len(words) - 1)) AS i, words FROM d WHERE len(words) >= 3),
+g AS (SELECT rid, i, words[i:i + 2] AS three FROM w),
+t AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, three) AS n FROM g),
+r AS (SELECT rid, count(DISTINCT i + k) AS n FROM t, (VALUES (0), (1), (2)) s(k) WHERE n > 1 GROUP BY rid),
+m AS MATERIALIZED (
+  SELECT d.rid, doc_id, lang, source, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN r USING (rid)),
+x AS (
+  SELECT rid, lang, source, 'symbols' AS metric, coalesce(1000 * n_symbols // nullif(n_words, 0), 0)::BIGINT AS v FROM m
+  UNION ALL SELECT rid, lang, source, 'dup_lines', coalesce(1000 * n_dup_lines // nullif(n_lines, 0), 0)::BIGINT FROM m
+  UNION ALL SELECT rid, lang, source, 'repeats', coalesce(1000 * n_repeat_words // nullif(n_words, 0), 0)::BIGINT FROM m
+  UNION ALL SELECT rid, lang, source, 'word_length', coalesce(1000 * word_chars // nullif(n_words, 0), 0)::BIGINT FROM m),
+c AS (SELECT lang, source, metric, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS cell, count(*) AS n
+      FROM x GROUP BY ALL),
+l AS (SELECT 0 AS level, lang, source, metric, cell, n FROM c
+      UNION ALL SELECT 1, lang, NULL, metric, cell, n FROM c UNION ALL SELECT 2, NULL, NULL, metric, cell, n FROM c),
+s AS (SELECT level, lang, source, metric, cell, sum(n) AS n FROM l GROUP BY ALL),
+u AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, metric ORDER BY cell) AS upto,
+             sum(n) OVER (PARTITION BY level, lang, source, metric) AS total FROM s),
+q AS (SELECT level, lang, source, metric, total, min(cell) FILTER (4 * upto >= total) AS low, min(cell) FILTER (4 * upto >= 3 * total) AS high
+      FROM u GROUP BY ALL),
+f AS (SELECT level, lang, source, metric, total, low, high, greatest(3 * (high - low),
+             CASE metric WHEN 'symbols' THEN 200 WHEN 'dup_lines' THEN 500 WHEN 'repeats' THEN 400 ELSE 2500 END) AS reach FROM q),
+b AS (SELECT x.rid, x.metric, x.v, arg_min(high + reach, level) AS most,
+             arg_min(CASE WHEN x.metric = 'word_length' THEN low - reach ELSE -1 END, level) AS least
+      FROM x JOIN f ON x.metric = f.metric AND (f.total >= 100 OR f.level = 2)
+        AND (f.level = 2 OR x.lang IS NOT DISTINCT FROM f.lang) AND (f.level > 0 OR x.source IS NOT DISTINCT FROM f.source)
+      GROUP BY x.rid, x.metric, x.v),
+j AS (SELECT rid, bool_and(v <= most AND v >= least) AS inside FROM b GROUP BY rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND inside AS kept
+FROM m JOIN j USING (rid)
 """,
 }
 
