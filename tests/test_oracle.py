@@ -2,9 +2,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 import compare
+from txnwatch.plans import catalog, oracle
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = catalog.registry(), oracle.oracles()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +16,8 @@ def duck():
 
 def test_every_query_has_its_check():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
