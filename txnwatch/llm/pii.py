@@ -123,8 +123,7 @@ def loose_spans(text: str) -> list[tuple[str, int, int]]:
         if token and any(c.isalpha() for c in token[0]):
             found.append(("secret", *token.span()))
         else:
-            end = m.end()
-            found.append(("id", *m.span()))
+            found += [("id", *run.span()) for run in RUN.finditer(text, m.start(), end)]
     if end:
         found += [("phone", *m.span()) for m in NATIONAL.finditer(text)]
     for title in TITLES:
