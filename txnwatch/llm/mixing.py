@@ -5,10 +5,12 @@ sources, entropy balancing takes the one closest to the start in relative entrop
 dual has one multiplier per source; the optimal rate of a document is the exponential of its
 multipliers (``rate = exp(lambda)`` of its source). Newton steps solve the dual: each one is an
 aggregate of gradient and curvature over cells of equal (source, size), which are counted
-once. Rates become whole copies by error feedback: within blocks of a source, from long
-documents to short ones, each takes the copies that bring the running total closest to the
-running target, so what long documents miss short ones make up for. Blocks have a bounded
-number of rows, whatever share of all rows a source has.
+once. Rates become whole copies by error feedback: from long documents to short ones, each
+takes the copies that bring the running total closest to the running target, so what long
+documents miss short ones make up for. A source's longest documents come first and together:
+those above a thousandth of its words, of which there are fewer than a thousand. Its others
+follow at the rate that what is left calls for, in blocks of a bounded number of rows, whatever
+share of all rows the source has.
 
 Targets share the words of all documents by weight, stop at ``cap`` times a source's words, and
 the excess is shared again by weight until no source is above.
@@ -31,6 +33,8 @@ from txnwatch.llm.common import ROW, WORD, packed, whole_text, written
 
 CAP = 3
 BLOCK_ROWS = 2_000
+LONG_SHARE = 1_000
+"""A document is long if it has more than one in so many words of its source."""
 TOLERANCE = 1e-9
 MAX_STEPS = 60
 
@@ -110,27 +114,71 @@ def multipliers(cells: DataFrame, targets: DataFrame) -> DataFrame:
     return rows.select("source", "lambda")
 
 
-def copies(sizes: np.ndarray, rate: float, cap: float = CAP) -> np.ndarray:
-    """Whole copies for sizes in falling order; the running total follows ``rate``."""
-    low, high = int(rate), min(int(rate) + 1, int(cap))
+def copies(sizes: np.ndarray, rate: float, cap: int = CAP, after: float = 0.0) -> np.ndarray:
+    """Whole copies for sizes in falling order; the running total follows ``rate``.
+
+    A document takes the copies just below or above its rate, whichever leaves less to make up,
+    as long as the rest, and ``after`` words that are rounded later, can still do so within the
+    cap. Where neither does, any number may.
+    """
+    near = (int(rate), min(int(rate) + 1, cap))
     out = np.empty(len(sizes), np.int64)
-    error = 0.0  # taken so far, less what was due
+    error, rest = 0.0, float(sizes.sum()) + after  # error: taken so far, less what was due
     for i, size in enumerate(sizes.tolist()):
-        short = error + (low - rate) * size
-        over = error + (high - rate) * size
-        if abs(over) < abs(short):
-            out[i], error = high, over
-        else:
-            out[i], error = low, short
+        rest -= size
+        least, most = (rate - cap) * rest - 0.5, rate * rest + 0.5  # what the rest can make up
+        best = None
+        for some in (near, range(cap + 1)):
+            for taken in some:
+                left = error + (taken - rate) * size
+                rank = (max(0.0, least - left, left - most), abs(left))
+                if best is None or rank < best[0]:
+                    best = (rank, taken, left)
+            if best[0][0] == 0:
+                break
+        out[i], error = best[1], best[2]
     return out
 
 
+ROUNDED = "doc_id bigint, source string, size bigint, source_size bigint, target double, copies bigint"
+
+
 def _rounded(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable")
-    rows["copies"] = copies(rows["size"].to_numpy(), float(rows["rate"].iloc[0]))
+    rows["copies"] = copies(rows["size"].to_numpy(), float(rows["rate"].iloc[0]), after=float(rows["after"].iloc[0]))
     return rows[["doc_id", "source", "size", "source_size", "target", "copies"]]
 
 
+def rounded(rows: DataFrame) -> DataFrame:
+    """Copies for ``doc_id, source, size, source_size, target, rate``: long documents, then the others."""
+    is_long = F.col("size") * LONG_SHARE > F.col("source_size")
+    tails = rows.filter(~is_long).groupBy(F.col("source").alias("_s")).agg(
+        F.sum("size").alias("tail_size"), F.count("*").alias("tail_docs")
+    )
+    same = F.col("source").eqNullSafe(F.col("_s"))
+    long = written(
+        rows.filter(is_long).join(tails, same, "left")
+        .withColumn("after", F.coalesce("tail_size", F.lit(0)).cast("double"))
+        .select("doc_id", "source", "size", "source_size", "target", "rate", "after")
+        .groupBy("source").applyInPandas(_rounded, ROUNDED),
+        "long",
+    )
+    taken = long.groupBy(F.col("source").alias("_t")).agg(F.sum(F.col("size") * F.col("copies")).alias("taken"))
+    left = tails.join(taken, F.col("_s").eqNullSafe(F.col("_t")), "left").select(
+        "_s", "tail_size", F.coalesce("taken", F.lit(0)).alias("taken"),
+        (F.floor(F.col("tail_docs") / BLOCK_ROWS) + 1).alias("blocks"),
+    )
+    rate = F.coalesce((F.col("target") - F.col("taken")) / F.nullif(F.col("tail_size"), F.lit(0)), F.lit(0.0))
+    short = (
+        rows.filter(~is_long).join(left, same)
+        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+        .select("doc_id", "source", "size", "source_size", "target", "block",
+                F.greatest(F.lit(0.0), F.least(F.lit(float(CAP)), rate)).alias("rate"), F.lit(0.0).alias("after"))
+        .groupBy("source", "block").applyInPandas(_rounded, ROUNDED)
+    )
+    return long.unionByName(short)
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3)) -> DataFrame:
     """One row per document: ``doc_id, source, size, source_size, target, copies``."""
     sizes = written(
@@ -140,28 +188,17 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3)) -> DataFrame:
         "sizes",
     )
     cells = written(sizes.groupBy("source", "size").agg(F.count("*").alias("n")), "cells")
-    totals = cells.groupBy("source").agg(
-        F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("source_docs")
-    )
-    targets = with_targets(totals.select("source", "source_size"), weights)
+    totals = cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
+    targets = with_targets(totals, weights)
     dual = multipliers(cells, targets)
-    plan = (
-        targets.join(totals.select(F.col("source").alias("_s"), "source_docs"), F.col("source").eqNullSafe(F.col("_s")))
-        .join(dual.select(F.col("source").alias("_d"), "lambda"), F.col("source").eqNullSafe(F.col("_d")), "left")
-        .select(
-            F.col("source").alias("_source"), "source_size", "target",
-            F.least(F.lit(float(CAP)), F.coalesce(F.exp("lambda"), F.lit(0.0))).alias("rate"),
-            (F.floor(F.col("source_docs") / BLOCK_ROWS) + 1).alias("blocks"),
-        )
-    )
-    rows = (
-        sizes.join(plan, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
-    )
-    return rows.groupBy("_source", "block").applyInPandas(
-        lambda group: _rounded(group),
-        "doc_id bigint, source string, size bigint, source_size bigint, target double, copies bigint",
+    plan = targets.join(
+        dual.select(F.col("source").alias("_d"), "lambda"), F.col("source").eqNullSafe(F.col("_d")), "left"
+    ).select(
+        F.col("source").alias("_source"), "source_size", "target",
+        F.least(F.lit(float(CAP)), F.coalesce(F.exp("lambda"), F.lit(0.0))).alias("rate"),
     )
+    rows = sizes.join(plan, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    return rounded(rows)
 
 
 def repeat(docs: DataFrame, weights: Sequence[float] = (1, 2, 3)) -> DataFrame:
