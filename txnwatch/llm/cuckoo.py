@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnwatch.llm.common import ROW, packed, unpacked, whole_text
+from txnwatch.llm.common import ROW, packed, unpacked, whole_text, written
 
 SLOTS = 4
 MAX_KICKS = 200
@@ -229,16 +229,18 @@ def groups(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
 
 
 def _copied(docs: DataFrame, shard_rows: int) -> DataFrame:
-    """The groups of more than one row, named so that they clash with nothing."""
-    return groups(docs, shard_rows).filter("group_size > 1").select(
+    """The groups of more than one row, named so that they clash with nothing; written once."""
+    copies = groups(docs, shard_rows).filter("group_size > 1").select(
         F.col("digest").alias("_group"), F.col("keep_id").alias("_keep"),
         F.col("group_size").alias("_size"), F.col("keep_rows").alias("_rows"),
     )
+    return written(copies, "copies")
 
 
 def membership(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``."""
-    joined = digests(docs).join(_copied(docs, shard_rows), F.col("digest") == F.col("_group"), "left").select(
+    copies = _copied(docs, shard_rows)
+    joined = digests(docs).join(copies, F.col("digest") == F.col("_group"), "left").select(
         F.col("doc_id"),
         F.coalesce("_keep", "doc_id").alias("keep_id"),
         F.coalesce("_size", F.lit(1)).alias("group_size"),
@@ -246,6 +248,10 @@ def membership(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
         F.coalesce("_rows", F.lit(1)).alias("_rows"),
     )
     stays = F.col("doc_id") == F.col("keep_id")
+    null_id = lambda name: F.nullif(F.col(name), F.lit(LEAST_ID)).alias(name)
+    named = (null_id("doc_id"), null_id("keep_id"), "group_size", "kept", "text_sha256")
+    if copies.filter("_rows > 1").isEmpty():
+        return joined.withColumn("kept", stays).select(*named)
     plain = joined.filter(~stays | (F.col("_rows") == 1)).withColumn("kept", stays)
     # rows that repeat the largest id: counted, and given back with one of them kept
     again = (
@@ -255,8 +261,7 @@ def membership(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
         .withColumn("kept", F.explode(F.transform(F.sequence(F.lit(1), F.col("_n")), lambda i: i == 1)))
         .drop("_n")
     )
-    null_id = lambda name: F.nullif(F.col(name), F.lit(LEAST_ID)).alias(name)
-    return plain.unionByName(again).select(null_id("doc_id"), null_id("keep_id"), "group_size", "kept", "text_sha256")
+    return plain.unionByName(again).select(*named)
 
 
 def keep_one(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -265,9 +270,12 @@ def keep_one(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
         packed(docs), F.unhex(F.sha2(whole_text(), 256)).alias("_digest"),
         F.coalesce(F.col("doc_id"), F.lit(LEAST_ID)).alias("_id"),
     )
-    joined = rows.join(_copied(docs, shard_rows), F.col("_digest") == F.col("_group"), "left").filter(
+    copies = _copied(docs, shard_rows)
+    joined = rows.join(copies, F.col("_digest") == F.col("_group"), "left").filter(
         F.col("_keep").isNull() | (F.col("_id") == F.col("_keep"))
     )
+    if copies.filter("_rows > 1").isEmpty():
+        return unpacked(joined.select(ROW))
     alone = F.coalesce(F.col("_rows") == 1, F.lit(True))
     again = joined.filter(~alone).groupBy("_digest").agg(F.first(ROW).alias(ROW)).select(ROW)
     return unpacked(joined.filter(alone).select(ROW).unionByName(again))

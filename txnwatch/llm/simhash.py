@@ -149,9 +149,11 @@ def membership(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, that with the smallest id, with its own columns."""
     rows = written(docs.select(packed(docs), F.col("doc_id").alias("_id"), fingerprints("text").alias("_fp")), "prints")
-    found = labels(rows.select(F.col("_id").alias("doc_id"), F.col("_fp").alias("fp")))
+    found = written(labels(rows.select(F.col("_id").alias("doc_id"), F.col("_fp").alias("fp"))), "labels")
     kept = rows.join(found, F.col("_fp") == F.col("fp")).filter(
         F.col("_id").eqNullSafe(F.col("component_id")) & (F.col("_fp") == F.col("keep_fp"))
     )
+    if found.filter("keep_rows > 1").isEmpty():
+        return unpacked(kept.select(ROW))
     again = kept.filter("keep_rows > 1").groupBy("_fp").agg(F.first(ROW).alias(ROW)).select(ROW)
     return unpacked(kept.filter("keep_rows = 1").select(ROW).unionByName(again))
