@@ -1,7 +1,6 @@
 import random
 from datetime import timedelta
 
-import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,15 +11,15 @@ from builders import BASE_MS, START, commands, history, transactions
 from txnwatch import schemas as S
 from txnwatch.operators import cases, rules
 from txnwatch.sources import tables
-from txnwatch.streaming import jobs
+from txnwatch.streaming import jobs, upkeep
 from txnwatch.streaming.state import count_arrivals
 
 
 def arrival_model(batches, window):
-    """The rule as stated: add, drop what is older than this row's window, count the rest."""
+    """The rule as stated, row by row: add, drop what is older than this row's window, count the rest."""
     kept, counts = set(), []
     for batch in batches:
-        for t in sorted(batch):
+        for t in batch:
             kept.add(t)
             kept = {x for x in kept if x >= t - window}
             counts.append((t, len(kept)))
@@ -30,12 +29,11 @@ def arrival_model(batches, window):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 60), min_size=1, max_size=12), min_size=1, max_size=6), st.integers(1, 30))
 def test_count_arrivals_equals_the_rule(batches, window):
-    kept, got = np.array([], dtype="int64"), []
+    kept, got = [], []
     for batch in batches:
-        arriving = np.sort(np.array(batch, dtype="int64"))
-        counts, kept = count_arrivals(kept, arriving, window)
-        got += list(zip(arriving.tolist(), counts.tolist()))
-    assert (got, kept.tolist()) == arrival_model(batches, window)
+        counts, kept = count_arrivals(kept, batch, window)
+        got += list(zip(batch, counts))
+    assert (got, kept) == arrival_model(batches, window)
 
 
 def as_stream(spark, folder, frames):
@@ -57,29 +55,36 @@ def random_batches(seed, n=3):
     return [[rng.randrange(0, 200) + 60 * i for _ in range(25)] for i in range(n)]
 
 
-def test_late_rows_count_against_the_state(spark, tmp_path):
+def arriving(spark, batches):
+    """A frame per batch; ``offset`` numbers the rows in order of arrival."""
+    frames, offset = [], 0
+    for batch in batches:
+        rows = [{"id": f"r{offset + i:04d}", "ms": ms} for i, ms in enumerate(batch)]
+        frames.append(transactions(spark, rows).withColumn("offset", F.substring("transaction_id", 2, 9).cast("long")))
+        offset += len(batch)
+    return frames
+
+
+def test_borders_of_batches_do_not_matter(spark, tmp_path):
+    """Rows fold in order of arrival: one batch and three give the alerts of the rule as stated."""
     batches = random_batches(3)
-    frames = [
-        transactions(spark, [{"id": f"b{b}-{i:02d}", "ms": ms} for i, ms in enumerate(batch)])
-        for b, batch in enumerate(batches)
-    ]
-    stream = as_stream(spark, tmp_path, frames)
-    alerts = jobs.high_frequency(stream, threshold=5, window_ms=50, alert_ts=F.col("event_ts"))
-    got = [r.reason for r in finish(alerts, tmp_path, "alerts").collect()]
     counts, _ = arrival_model(batches, 50)
-    want = [f"{n}회" for _, n in counts if n > 5]
-    assert sorted(r.rsplit(", ", 1)[1] for r in got) == sorted(want) and want
+    want = sorted(f"{n}회" for _, n in counts if n > 5)
+    for name, split in (("three", batches), ("one", [sum(batches, [])])):
+        stream = as_stream(spark, tmp_path / name, arriving(spark, split))
+        alerts = jobs.high_frequency(stream, threshold=5, window_ms=50, order=("offset",), alert_ts=F.col("event_ts"))
+        got = finish(alerts, tmp_path / name, "alerts").collect()
+        assert want and sorted(r.reason.rsplit(", ", 1)[1] for r in got) == want
 
 
-@pytest.mark.parametrize("mode", [{"time_mode": "EventTime"}, {"split_slab_ms": 200}])
-def test_other_modes_equal_batch_on_ordered_input(spark, tmp_path, mode):
+def test_timers_equal_batch_on_ordered_input(spark, tmp_path):
     rng = random.Random(4)
     times = sorted(rng.sample(range(1_000), 90))
     rows = [{"id": f"t{i}", "ms": ms, "user": "user-1" if i % 3 else "user-2"} for i, ms in enumerate(times)]
     frames = [transactions(spark, rows[i : i + 45]) for i in (0, 45)]
     stream = as_stream(spark, tmp_path, frames).withWatermark("event_ts", "5 seconds")
-    alerts = jobs.high_frequency(stream, threshold=5, window_ms=100, alert_ts=F.col("event_ts"), **mode)
-    got = finish(alerts, tmp_path, "alerts", idle_batches="split_slab_ms" not in mode)
+    alerts = jobs.high_frequency(stream, threshold=5, window_ms=100, alert_ts=F.col("event_ts"), time_mode="EventTime")
+    got = finish(alerts, tmp_path, "alerts")
     want = rules.window_alerts(
         transactions(spark, rows), rules.high_frequency(threshold=5, window_ms=100), F.col("event_ts")
     )
@@ -87,19 +92,45 @@ def test_other_modes_equal_batch_on_ordered_input(spark, tmp_path, mode):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_case_fold_over_batches(spark, tmp_path):
-    log = sorted(test_cases.random_log(21, n=90), key=lambda r: (r["ts"], r["seq"]))
-    frames = [commands(spark, log[i : i + 45]) for i in (0, 45)]
-    opening = history(spark, [{}, {}, {}])
-    got = finish(jobs.fold_cases(opening, as_stream(spark, tmp_path, frames)), tmp_path, "cases")
-    _, events = test_cases.replay(log, ["a0000", "a0001", "a0002"])
-    base = START
+@pytest.mark.parametrize("rule", [rules.high_frequency(4, 60_000), rules.multi_country(3, 60_000)])
+def test_detection_by_event_time_in_any_order(spark, tmp_path, rule):
+    """Rows of one window in different batches, hours late, twice over a slab border."""
+    rng = random.Random(6)
+    times = [rng.randrange(0, 1_900_000) for _ in range(150)] + [600_000 + 1_000 * i for i in range(-5, 6)]
+    rows = [
+        {"id": f"t{i}", "ms": ms, "user": f"user-{1 + i % 2}", "country": rng.choice(["KR", "US", "JP", "FR"])}
+        for i, ms in enumerate(times)
+    ]
+    rng.shuffle(rows)
+    stream = as_stream(spark, tmp_path, [transactions(spark, rows[i::4]) for i in range(4)])
+    job = upkeep.detect(stream, f"{tmp_path}/out", f"{tmp_path}/c", windows=[rule], window_ms=60_000, alert_ts=F.col("event_ts"))
+    assert job.awaitTermination(120)
+    want = rules.detect(transactions(spark, rows), windows=[rule], alert_ts=F.col("event_ts"))
+    got = upkeep.current(spark, want.schema, f"{tmp_path}/out")
+    assert want.filter(F.col("rule_name") == rule.name).count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
 
-    def ms(at):
-        return None if at is None else BASE_MS + int((at - base).total_seconds() * 1000)
+def test_counts_keep_late_rows_and_last_windows(spark, tmp_path):
+    batches = [[0, 9_000, 7_200_000], [4_999, 5_000], [1, 7_200_001]]
+    stream = as_stream(spark, tmp_path, arriving(spark, batches))
+    assert upkeep.counts(stream, f"{tmp_path}/n", f"{tmp_path}/c").awaitTermination(90)
+    got = {r.point_ms - BASE_MS: r.n for r in upkeep.total_counts(spark, f"{tmp_path}/n").collect()}
+    assert got == {0: 3, 5_000: 2, 7_200_000: 2}
 
-    rows = {r.seq: (r.alert_id, r.status, r.assigned_to, r.action_note, r.processed_ms) for r in got.collect()}
-    assert rows == {seq: (*e[:4], ms(e[4])) for seq, e in events.items()}
+
+def test_cases_learn_new_alerts(spark, tmp_path):
+    """Alerts and commands arrive mixed, commands before their alert too."""
+    log = sorted(test_cases.random_log(21, n=90), key=lambda r: (r["ts"], r["seq"]))
+    opening = history(spark, [{}, {}, {}])
+    given = as_stream(spark, tmp_path / "commands", [commands(spark, log[i::3]) for i in range(3)])
+    alerts = as_stream(spark, tmp_path / "alerts", [opening.filter("alert_id = 'a0001'"), opening.filter("alert_id <> 'a0001'")])
+    job = upkeep.case_states(alerts, given, f"{tmp_path}/out", f"{tmp_path}/c", buckets=2)
+    assert job.awaitTermination(120)
+    want = cases.status_events(opening, commands(spark, log))
+    got = upkeep.current(spark, want.schema, f"{tmp_path}/out")
+    assert want.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
 def test_recent_table_over_batches(spark, tmp_path):
@@ -108,7 +139,8 @@ def test_recent_table_over_batches(spark, tmp_path):
     parts = [everything.filter(F.pmod(F.crc32("alert_id"), F.lit(3)) == i) for i in range(3)]
     query = jobs.to_recent(as_stream(spark, tmp_path, parts), f"{tmp_path}/recent", f"{tmp_path}/c")
     assert query.awaitTermination(90)
-    got = jobs.read_recent(spark, f"{tmp_path}/recent", query.lastProgress["batchId"])
+    got = jobs.read_recent(spark, f"{tmp_path}/recent", everything.schema)
+    assert jobs.read_recent(spark, f"{tmp_path}/nothing", everything.schema).count() == 0
     want = cases.recent(everything)
     assert {r.alert_id for r in got.collect()} == {r.alert_id for r in want.collect()} and got.count() == 100
 
@@ -118,8 +150,9 @@ def test_history_sink_and_dedup(spark, tmp_path):
     stream = as_stream(spark, tmp_path, [rows, rows])
     assert jobs.to_history(stream, f"{tmp_path}/history", f"{tmp_path}/c").awaitTermination(90)
     assert tables.read_history(spark, f"{tmp_path}/history").count() == 5
-    once = finish(jobs.dedup(stream, "alert_timestamp", "1 hour"), tmp_path, "once")
-    assert once.count() == 5
+    job = upkeep.once(stream, f"{tmp_path}/once", f"{tmp_path}/c2", time="alert_timestamp")
+    assert job.awaitTermination(90)
+    assert upkeep.current(spark, rows.schema, f"{tmp_path}/once").count() == 5
 
 
 def test_rule_changes_apply_without_a_restart(spark, tmp_path):

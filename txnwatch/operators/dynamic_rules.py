@@ -6,8 +6,6 @@ A rule's condition is JSON ``{"type", "field", "operator", "value"}`` on
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,9 +13,6 @@ from txnwatch import schemas as S
 from txnwatch.functions import texts
 from txnwatch.operators import quality, rules as detection
 
-# condition and description text sent to every executor at a time
-BYTES_PER_PASS = 8 * 1024 * 1024
-
 
 def parse(rules: DataFrame) -> DataFrame:
     """Append the parsed condition and ``violations``."""
@@ -31,14 +26,20 @@ def parse(rules: DataFrame) -> DataFrame:
     checks = {
         "BAD_JSON": F.coalesce(F.col("condition.field"), F.col("condition.operator"), value).isNotNull(),
         "BAD_FIELD": F.col("condition.field").isin(*S.RULE_FIELDS),
+        # a condition of another type, or a stateful rule, cannot run as a comparison
+        "BAD_TYPE": F.coalesce(F.col("condition.type") == "simple", F.col("condition.field").isNull())
+        & (F.coalesce("rule_type", F.lit(S.SIMPLE_RULE)) == S.SIMPLE_RULE),
         "BAD_OPERATOR": F.col("condition.operator").isin(*S.RULE_OPERATORS),
         "BAD_VALUE": value.isNotNull()
         & (F.size("operands") > 0)
         & ((F.coalesce("condition.field", F.lit("")) != "amount") | numeric),
         "BAD_SEVERITY": F.col("severity").isin(*S.SEVERITIES),
         "MISSING_NAME": F.length("rule_name") > 0,
+        # alert ids derive from the rule's name
+        "DUPLICATE_NAME": F.col("_same_name") == 1,
     }
-    return quality.with_violations(parsed, checks)
+    parsed = parsed.withColumn("_same_name", F.count("*").over(Window.partitionBy("rule_name")))
+    return quality.with_violations(parsed, checks).drop("_same_name")
 
 
 def usable(rules: DataFrame) -> DataFrame:
@@ -82,23 +83,29 @@ def matches() -> Column:
     )
 
 
-def _passes(rules: DataFrame, bytes_per_pass: int) -> list[DataFrame]:
-    """The rules in groups of bounded size, however many rules there are."""
-    size = F.octet_length(F.concat_ws("|", "rule_name", "description", F.array_join("operands", ","))) + 64
-    upto = F.sum(size).over(Window.orderBy("rule_id").rowsBetween(Window.unboundedPreceding, -1))
-    numbered = rules.withColumn("_pass", F.floor(F.coalesce(upto, F.lit(0)) / bytes_per_pass))
-    used = sorted(row[0] for row in numbered.select("_pass").distinct().collect())
-    return [numbered.filter(F.col("_pass") == i).drop("_pass") for i in used or [0]]
+def _facts() -> Column:
+    """What equality conditions can ask of a transaction, as (field, text)."""
+    fields = {"amount": "amount", "countryCode": "country_code", "userId": "user_id"}
+    return F.array(
+        *[F.struct(F.lit(name).alias("_field"), F.col(column).cast("string").alias("_text")) for name, column in fields.items()]
+    )
 
 
-def join_rules(transactions: DataFrame, rules: DataFrame, bytes_per_pass: int = BYTES_PER_PASS) -> DataFrame:
+def join_rules(transactions: DataFrame, rules: DataFrame) -> DataFrame:
     """Transactions with each usable rule they meet.
 
-    The condition compares different columns for different rules, so the rules
-    go to the transactions, a bounded amount per pass.
+    ``=`` and ``IN`` are equality joins on (field, value), whatever the number of rules and
+    values; only ``>``, ``<`` and ``!=`` compare rows with rules. Which side is sent to the
+    other is left to Spark, which knows their sizes.
     """
-    parts = [transactions.join(F.broadcast(part), matches()) for part in _passes(rules, bytes_per_pass)]
-    return functools.reduce(DataFrame.unionByName, parts)
+    equal = F.col("operator").isin("=", "IN")
+    operands = F.when(F.col("field") == "amount", F.col("numbers").cast("array<string>")).otherwise(F.col("operands"))
+    listed = rules.filter(equal).withColumn("_operand", F.explode(F.array_distinct(operands)))
+    row = F.struct(*[F.col(name) for name in transactions.columns]).alias("_txn")
+    asked = transactions.select(row, F.inline(_facts()))
+    by_value = asked.join(listed, (F.col("_field") == F.col("field")) & (F.col("_text") == F.col("_operand")))
+    by_order = transactions.join(rules.filter(~equal), matches())
+    return by_order.unionByName(by_value.select("_txn.*", *rules.columns))
 
 
 def _actual() -> Column:
@@ -113,10 +120,9 @@ def dynamic_alerts(
     transactions: DataFrame,
     rules: DataFrame,
     alert_ts: Column | None = None,
-    bytes_per_pass: int = BYTES_PER_PASS,
 ) -> DataFrame:
     """An alert for every transaction and active rule that match."""
-    matched = join_rules(transactions, usable(rules), bytes_per_pass)
+    matched = join_rules(transactions, usable(rules))
     reason = F.concat(F.col("description"), F.lit(": "), _actual())
     return matched.select(
         *detection._alert_columns(
@@ -127,8 +133,10 @@ def dynamic_alerts(
 
 def dry_run(transactions: DataFrame, rule: DataFrame) -> DataFrame:
     """Every sample transaction with whether one rule (active or not) matches, and why."""
-    one = usable(rule.withColumn("is_active", F.lit(True)).limit(1))
-    joined = transactions.join(F.broadcast(one), matches(), "left")
+    if len(rule.limit(2).collect()) > 1:
+        raise ValueError("a dry run takes one rule")
+    one = usable(rule.withColumn("is_active", F.lit(True)))
+    joined = transactions.join(F.broadcast(one), matches(), "left")  # one row
     hit = F.col("rule_id").isNotNull()
     return joined.select(
         "transaction_id",

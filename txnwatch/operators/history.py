@@ -16,8 +16,6 @@ from txnwatch.functions import texts, times
 from txnwatch.operators import prefix
 
 _USER_ID = re.compile(r"[a-zA-Z0-9-]+")
-# rows a task may hold to skip to a page
-DEEP_AFTER = 10_000
 SORTABLE = ("user_id", "amount", "rule_name", "severity", "alert_timestamp", "status")
 
 
@@ -132,22 +130,27 @@ def _newest_first() -> list[Column]:
     return [F.col("alert_timestamp").desc(), F.col("alert_id").asc()]
 
 
-def search_page(history: DataFrame, search: Search, deep_after: int = DEEP_AFTER) -> DataFrame:
+def search_page(history: DataFrame, search: Search) -> DataFrame:
     """One page, newest first; equal times are ordered by id so pages never overlap.
 
-    A page far down would make every task and the driver hold all rows before
-    it. Beyond ``deep_after`` rows the times the page covers are looked up first
-    (one small row comes back), and only those rows are sorted.
+    Every task and the driver hold the rows before the page; ``far_page`` is for pages far down.
+    """
+    return matching(history, search).orderBy(*_newest_first()).offset(search.page * search.size).limit(search.size)
+
+
+def far_page(history: DataFrame, search: Search) -> DataFrame:
+    """The same page by way of the times it covers.
+
+    They are looked up first (one small row comes back), and only rows of these times are
+    sorted, so the work does not grow with the number of the page.
     """
     rows, skip = matching(history, search), search.page * search.size
-    if skip > deep_after:
-        covered = _times_at(rows, skip, search.size)
-        if covered is None:
-            return rows.limit(0)
-        newest, oldest, before = covered
-        rows = rows.filter(F.unix_millis("alert_timestamp").between(oldest, newest))
-        skip -= before
-    return rows.orderBy(*_newest_first()).offset(skip).limit(search.size)
+    covered = _times_at(rows, skip, search.size)
+    if covered is None:
+        return rows.limit(0)
+    newest, oldest, before = covered
+    rows = rows.filter(F.unix_millis("alert_timestamp").between(oldest, newest))
+    return rows.orderBy(*_newest_first()).offset(skip - before).limit(search.size)
 
 
 def _times_at(rows: DataFrame, skip: int, size: int) -> tuple[int, int, int] | None:

@@ -174,11 +174,10 @@ def tumbling_alerts(
     threshold: int = S.FREQUENCY_THRESHOLD,
     window_ms: int = S.FREQUENCY_WINDOW_MS,
     alert_ts: Column | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """The frequency rule on fixed windows: one alert per user and window with more
     than ``threshold`` transactions, on the last transaction of the window.
-
-    On a stream with a watermark a window is judged once it closes.
     """
     others = [name for name in S.TRANSACTION_FIELDS.values() if name not in ("user_id", "transaction_id")]
     last = F.max(F.struct("event_ms", "transaction_id", "event_ts", *others)).alias("_last")
@@ -186,7 +185,7 @@ def tumbling_alerts(
     busy = windows.agg(F.count("*").alias("n"), last).filter(F.col("n") > threshold).select("user_id", "n", "_last.*")
     reason = texts.high_frequency_reason(F.col("user_id"), F.col("n"), threshold, window_ms)
     return busy.select(
-        *_alert_columns(F.lit(S.STATEFUL_RULE), F.lit(S.HIGH_FREQUENCY), reason, F.lit("HIGH"), alert_ts, keep=())
+        *_alert_columns(F.lit(S.STATEFUL_RULE), F.lit(S.HIGH_FREQUENCY), reason, F.lit("HIGH"), alert_ts, keep)
     )
 
 

@@ -27,7 +27,7 @@ from txnwatch.operators import (
 from txnwatch.plans import views
 from txnwatch.session import shared_dir
 from txnwatch.sources import records, tables
-from txnwatch.streaming import jobs
+from txnwatch.streaming import jobs, upkeep
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,8 +40,8 @@ DAY_MS = 86_400_000
 HOUR_MS = 3_600_000
 
 RULE_ROWS = [
-    ("r1", "VERY_HIGH_VALUE", "초고액 거래 (200만원 초과)", "SIMPLE_RULE", "CRITICAL", True,
-     '{"type":"simple","field":"amount","operator":">","value":2000000}'),
+    ("r1", "ABOVE_900K", "90만원을 넘는 거래", "SIMPLE_RULE", "CRITICAL", True,
+     '{"type":"simple","field":"amount","operator":">","value":900000}'),
     ("r2", "WATCHED_COUNTRY", "감시 국가 거래", "SIMPLE_RULE", "MEDIUM", True,
      '{"type":"simple","field":"countryCode","operator":"IN","value":["US","CN"]}'),
     ("r3", "WATCHED_USER", "감시 사용자", "SIMPLE_RULE", "LOW", False,
@@ -57,6 +57,10 @@ RULE_ROWS = [
     ("r8", "BAD_JSON", "잘못된 조건", "SIMPLE_RULE", "LOW", True, '{"type":"simple","field":'),
     ("r9", "BAD_VALUE", "잘못된 값", "SIMPLE_RULE", "LOW", True,
      '{"type":"simple","field":"amount","operator":">","value":"many"}'),
+    ("r10", "TWICE", "같은 이름", "SIMPLE_RULE", "LOW", True, '{"type":"simple","field":"amount","operator":"=","value":1}'),
+    ("r11", "TWICE", "같은 이름", "SIMPLE_RULE", "LOW", True, '{"type":"simple","field":"amount","operator":"=","value":2}'),
+    ("r12", "WITH_STATE", "상태 규칙", "STATEFUL_RULE", "LOW", True, '{"type":"simple","field":"amount","operator":"=","value":3}'),
+    ("r13", "OTHER_TYPE", "다른 종류", "SIMPLE_RULE", "LOW", True, '{"type":"window","field":"amount","operator":"=","value":4}'),
 ]
 
 
@@ -237,9 +241,16 @@ def history_search_user(spark, sf):
     return _page(history.search_page(views.alert_history(spark, sf), USER_SEARCH))
 
 
+def history_search_stored(spark, sf):
+    """The same page, read from the stored history: the dates of the search prune its folders."""
+    path = shared_dir(spark, "history")
+    tables.append_history(views.alert_history(spark, sf), path)
+    return _page(history.search_page(tables.read_history(spark, path), SEARCH))
+
+
 def history_search_deep(spark, sf):
     """The same page, found the way a page far down is found."""
-    return _page(history.search_page(views.alert_history(spark, sf), SEARCH, deep_after=0))
+    return _page(history.far_page(views.alert_history(spark, sf), SEARCH))
 
 
 def history_page_meta(spark, sf):
@@ -363,7 +374,11 @@ def _status_events(spark, sf):
 
 
 def status_events(spark, sf):
-    return _status_events(spark, sf).select(
+    return _status_columns(_status_events(spark, sf))
+
+
+def _status_columns(events: DataFrame) -> DataFrame:
+    return events.select(
         "alert_id", "seq", "cmd", "status", "assigned_to", "action_note", _ms("processed_at").alias("processed_ms")
     )
 
@@ -537,98 +552,142 @@ def metrics_snapshot(spark, sf):
 
 
 # --- streaming twins --------------------------------------------------------------
-def _stream(spark, sf):
+# Every twin also runs over files whose times overlap, one file per micro-batch ("_late").
+LATE_FILES = 5
+
+
+def _stream(spark, sf, late=False):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return tables.stream_table(spark, sf, "events")
+    if not late:
+        return tables.stream_table(spark, sf, "events")
+    folder = shared_dir(spark, "late")
+    for i in range(LATE_FILES):
+        some = spark.read.parquet(f"{sf}/events.parquet").filter(F.pmod("event_id", F.lit(LATE_FILES)) == i)
+        some.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    return tables.stream_table(spark, folder, "events", files_per_batch=1)
+
+
+def _folders(spark):
+    return shared_dir(spark, "stream"), shared_dir(spark, "stream-checkpoint")
 
 
 def _finish(stream: DataFrame, **options) -> DataFrame:
     spark = stream.sparkSession
-    path = shared_dir(spark, "stream")
-    jobs.to_table(stream, path, shared_dir(spark, "stream-checkpoint"), **options).awaitTermination()
+    path, checkpoint = _folders(spark)
+    jobs.to_table(stream, path, checkpoint, **options).awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def stream_detect(spark, sf):
-    txns = views.as_transactions(_stream(spark, sf))
-    return _flat_alerts(_finish(jobs.detect(txns, alert_ts=F.col("event_ts"), window_ms=DAY_MS)))
+def _detected(spark, sf, late, windows, slab_ms=None):
+    txns = views.as_transactions(_stream(spark, sf, late))
+    path, checkpoint = _folders(spark)
+    upkeep.detect(
+        txns, path, checkpoint, windows=windows, window_ms=DAY_MS, slab_ms=slab_ms, alert_ts=F.col("event_ts")
+    ).awaitTermination()
+    layout = rules.detect(views.transactions(spark, sf), alert_ts=F.col("event_ts")).schema
+    return _flat_alerts(upkeep.current(spark, layout, path))
+
+
+def stream_detect(spark, sf, late=False):
+    return _detected(spark, sf, late, [rules.high_frequency(window_ms=DAY_MS)])
+
 
+def stream_detect_split(spark, sf, late=False):
+    """The same alerts from parts of another width."""
+    return _detected(spark, sf, late, [rules.high_frequency(window_ms=DAY_MS)], slab_ms=3 * DAY_MS)
 
-def stream_detect_split(spark, sf):
-    """The same alerts with each user's state split over time slabs."""
-    txns = views.as_transactions(_stream(spark, sf))
-    alerts = jobs.detect(txns, alert_ts=F.col("event_ts"), window_ms=DAY_MS, split_slab_ms=DAY_MS)
-    return _flat_alerts(_finish(alerts, idle_batches=False))
 
+def stream_multi_country(spark, sf, late=False):
+    found = _detected(spark, sf, late, [rules.multi_country(window_ms=DAY_MS)])
+    return found.filter(F.col("rule_name") == S.MULTI_COUNTRY)
 
-def stream_tps(spark, sf):
-    counts = jobs.counts_per_step(views.as_transactions(_stream(spark, sf)), step="1 hour")
-    return _finish(counts).select("point_ms", "n")
 
+def _counted(stream, **options):
+    path, checkpoint = _folders(stream.sparkSession)
+    upkeep.counts(stream, path, checkpoint, **options).awaitTermination()
+    return upkeep.total_counts(stream.sparkSession, path).select("point_ms", "n")
 
-def _stream_alerts(spark, sf):
-    txns = views.as_transactions(_stream(spark, sf))
+
+def stream_tps(spark, sf, late=False):
+    return _counted(views.as_transactions(_stream(spark, sf, late)), step="1 hour")
+
+
+def _stream_alerts(spark, sf, late):
+    txns = views.as_transactions(_stream(spark, sf, late))
     return rules.stateless_alerts(txns, alert_ts=F.col("event_ts"), keep=("event_ts",)).select(
         "alert_id", F.col("original_transaction.user_id").alias("user_id"), "rule_name", "event_ts"
     )
 
 
-def stream_tumbling(spark, sf):
-    rows = views.as_transactions(_stream(spark, sf)).withWatermark("event_ts", S.WATERMARK_DELAY)
-    return _flat_alerts(_finish(rules.tumbling_alerts(rows, 3, DAY_MS, alert_ts=F.col("event_ts"))))
+def stream_alert_rate(spark, sf, late=False):
+    """Alerts per hour, sampled every half hour."""
+    return _counted(_stream_alerts(spark, sf, late), step="1 hour", slide="30 minutes")
 
 
-def stream_alert_rate(spark, sf):
-    """Alerts per hour, sampled every half hour, as the windows close."""
-    return _finish(
-        jobs.counts_per_step(_stream_alerts(spark, sf), step="1 hour", slide="30 minutes")
-    ).select("point_ms", "n")
+def stream_tumbling(spark, sf, late=False):
+    txns = views.as_transactions(_stream(spark, sf, late))
+    path, checkpoint = _folders(spark)
+    upkeep.tumbling(txns, path, checkpoint, 3, DAY_MS, alert_ts=F.col("event_ts")).awaitTermination()
+    layout = rules.tumbling_alerts(views.transactions(spark, sf), 3, DAY_MS, alert_ts=F.col("event_ts")).schema
+    return _flat_alerts(upkeep.current(spark, layout, path))
 
 
-def stream_decode(spark, sf):
-    raw = views.as_raw_records(views.as_transactions(_stream(spark, sf)))
+def stream_decode(spark, sf, late=False):
+    raw = views.as_raw_records(views.as_transactions(_stream(spark, sf, late)))
     return _decoded_columns(_finish(records.decoded_transactions(raw)))
 
 
-def stream_dedup(spark, sf):
+def stream_dedup(spark, sf, late=False):
     """Every alert arrives twice and leaves once."""
-    alerts = _stream_alerts(spark, sf)
+    alerts = _stream_alerts(spark, sf, late)
     twice = alerts.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
-    return _finish(jobs.dedup(twice, "event_ts")).select("alert_id", "user_id", "rule_name")
+    path, checkpoint = _folders(spark)
+    upkeep.once(twice, path, checkpoint, time="event_ts").awaitTermination()
+    return upkeep.current(spark, twice.schema, path).select("alert_id", "user_id", "rule_name")
 
 
-def stream_recent(spark, sf):
-    path = shared_dir(spark, "recent")
-    query = jobs.to_recent(
-        _stream_alerts(spark, sf), path, shared_dir(spark, "recent-checkpoint"), arrival="event_ts"
-    )
-    query.awaitTermination()
-    rows = jobs.read_recent(spark, path, query.lastProgress["batchId"])
-    return cases.with_position(rows, "event_ts").select(
-        "alert_id", "user_id", "rule_name", "position"
-    )
+def stream_recent(spark, sf, late=False):
+    alerts = _stream_alerts(spark, sf, late)
+    path, checkpoint = _folders(spark)
+    jobs.to_recent(alerts, path, checkpoint, arrival="event_ts").awaitTermination()
+    rows = jobs.read_recent(spark, path, alerts.schema)
+    return cases.with_position(rows, "event_ts").select("alert_id", "user_id", "rule_name", "position")
+
+
+def stream_cases(spark, sf, late=False):
+    """Alerts and commands both arrive; nothing is known at the start."""
+    alerts = views.as_alert_history(views.as_transactions(_stream(spark, sf, late)))
+    commands = views.as_alert_commands(_stream(spark, sf, late))
+    path, checkpoint = _folders(spark)
+    upkeep.case_states(alerts, commands, path, checkpoint, buckets=4).awaitTermination()
+    layout = _status_events(spark, sf).schema
+    return _status_columns(upkeep.current(spark, layout, path))
+
+
+STREAMS = (
+    stream_detect, stream_detect_split, stream_multi_country, stream_tps, stream_dedup, stream_recent,
+    stream_cases, stream_decode, stream_alert_rate, stream_tumbling,
+)
 
 
-def stream_cases(spark, sf):
-    commands = views.as_alert_commands(_stream(spark, sf))
-    return _finish(jobs.fold_cases(views.alert_history(spark, sf), commands))
+def _late(run):
+    return lambda spark, sf: run(spark, sf, late=True)
 
 
 def registry() -> dict[str, Query]:
     named = [
         decode_quarantine, txn_validity, transaction_records, alert_records, decoded_alerts, all_alerts,
         alert_validity, dynamic_rule_matches, rule_validation, rule_dry_run, flatten_history, history_violations,
-        history_search_page, history_search_user, history_search_deep, history_page_meta, history_page_sorted, latest_history,
+        history_search_page, history_search_user, history_search_deep, history_search_stored, history_page_meta, history_page_sorted, latest_history,
         history_append, archive_split, retention, recent_alerts, recent_filtered, recent_first_filter,
         severity_sorted, point_lookup, status_fold, status_events, status_event_records, case_state,
         apply_status_changes, new_alerts_only, status_counts, hourly_counts, hourly_counts_last_day, rule_stats,
         rule_coverage, txn_profile, report_csv, latency_stats, latency_histogram, latency_unmatched, tps_series,
         alert_rate_series, alert_rate_visible, alert_warnings, metrics_summary, metric_backfill, metric_checks,
-        service_status, metrics_snapshot, stream_detect, stream_detect_split, stream_tps, stream_dedup,
-        stream_recent, stream_cases, stream_decode, stream_alert_rate,
-        high_frequency_tumbling, stream_tumbling, alert_display,
+        service_status, metrics_snapshot, high_frequency_tumbling, alert_display, *STREAMS,
     ]
     found = {run.__name__: run for run in named}
+    found |= {f"{run.__name__}_late": _late(run) for run in STREAMS}
     found["high_value_alerts"] = _stateless(rules.high_value())
     found["foreign_country_alerts"] = _stateless(rules.foreign_country())
     found["high_frequency_alerts"] = _windowed(rules.high_frequency(window_ms=DAY_MS))

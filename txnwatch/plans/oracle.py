@@ -258,8 +258,8 @@ SELECT alert_id, concat_ws(',',
     CASE WHEN rule_name IS NULL THEN 'MISSING_FIELD' END) AS violations FROM rough"""
 
 _MATCHES = f"""{TXNS}, matched AS (
-  SELECT *, 'r1' AS rule_id, 'VERY_HIGH_VALUE' AS rule_name, 'CRITICAL' AS severity,
-         concat('초고액 거래 (200만원 초과): ', format('{{:,}}', amount), '원') AS reason FROM txns WHERE amount > 2000000
+  SELECT *, 'r1' AS rule_id, 'ABOVE_900K' AS rule_name, 'CRITICAL' AS severity,
+         concat('90만원을 넘는 거래: ', format('{{:,}}', amount), '원') AS reason FROM txns WHERE amount > 900000
   UNION ALL SELECT *, 'r2', 'WATCHED_COUNTRY', 'MEDIUM', concat('감시 국가 거래: ', country_code)
     FROM txns WHERE country_code IN ('US', 'CN')
   UNION ALL SELECT *, 'r4', 'SMALL_VALUE', 'LOW', concat('소액 거래: ', format('{{:,}}', amount), '원')
@@ -306,9 +306,7 @@ def oracles() -> dict[str, str]:
                         AS reason FROM seen WHERE len(countries) >= 3)
             SELECT {FLAT} FROM hit""",
         "high_frequency_tumbling": _tumbling("TRUE"),
-        "stream_tumbling": _tumbling(
-            f"(event_ms // {DAY_MS} + 1) * {DAY_MS} <= (SELECT max(event_ms) - 5000 FROM txns)"
-        ),
+        "stream_tumbling": _tumbling("TRUE"),
         "all_alerts": _all_alerts(),
         "alert_validity": f"""WITH {ALERTS} SELECT alert_id, amount BETWEEN 1000 AND 1500000
               AND regexp_full_match(user_id, 'user-(10|[1-9])') AS is_valid, TRUE AS in_order FROM alerts""",
@@ -318,7 +316,8 @@ def oracles() -> dict[str, str]:
         "rule_validation": f"""WITH {_MATCHES}, c AS (SELECT rule_id, count(*) AS n FROM matched GROUP BY 1)
             SELECT rule_id, violations, coalesce(n, 0) AS n FROM (VALUES ('r1', ''), ('r2', ''), ('r3', ''), ('r4', ''),
               ('r5', ''), ('r6', 'BAD_OPERATOR'), ('r7', 'BAD_FIELD'),
-              ('r8', 'BAD_JSON,BAD_FIELD,BAD_OPERATOR,BAD_VALUE'), ('r9', 'BAD_VALUE')) v(rule_id, violations)
+              ('r8', 'BAD_JSON,BAD_FIELD,BAD_OPERATOR,BAD_VALUE'), ('r9', 'BAD_VALUE'), ('r10', 'DUPLICATE_NAME'),
+              ('r11', 'DUPLICATE_NAME'), ('r12', 'BAD_TYPE'), ('r13', 'BAD_TYPE')) v(rule_id, violations)
             LEFT JOIN c USING (rule_id)""",
         "rule_dry_run": f"""WITH {TXNS} SELECT transaction_id, user_id = 'user-7' AS matched,
             CASE WHEN user_id = 'user-7' THEN '매칭됨 - 감시 사용자: user-7' ELSE '매칭 안됨' END AS result FROM txns""",
@@ -459,17 +458,19 @@ def oracles() -> dict[str, str]:
               (SELECT arg_max(by_rule, point_ms) FROM r) AS alerts_by_rule,
               (SELECT string_agg(CAST(alerts_per_minute AS VARCHAR), ',' ORDER BY point_ms) FROM r) AS alerts_history""",
         "stream_tps": f"""WITH {TXNS}, h AS (SELECT event_ms - event_ms % 3600000 AS point_ms, count(*) AS n FROM txns GROUP BY 1)
-            SELECT point_ms, n FROM h WHERE point_ms + 3600000 <= (SELECT max(event_ms) - 5000 FROM txns)""",
+            SELECT point_ms, n FROM h""",
         "stream_alert_rate": f"""WITH {ALERTS}, s AS (SELECT event_ms - event_ms % 1800000 AS half FROM alerts),
             h AS (SELECT half - d * 1800000 AS point_ms, count(*) AS n FROM s, (VALUES (0), (1)) v(d) GROUP BY 1)
-            SELECT point_ms, n FROM h WHERE point_ms + 3600000 <= (SELECT max(event_ms) - 5000 FROM alerts)""",
+            SELECT point_ms, n FROM h""",
         "stream_dedup": f"WITH {ALERTS} SELECT alert_id, user_id, rule_name FROM alerts",
     }
     for unit in ("day", "week", "month"):
         found[f"period_rollup_{unit}"] = _rollup(unit)
     found["stream_detect"] = found["stream_detect_split"] = found["all_alerts"]
-    found["history_search_deep"] = found["history_search_page"]
+    found["history_search_deep"] = found["history_search_stored"] = found["history_search_page"]
     found["stream_recent"] = found["recent_alerts"]
     found["stream_decode"] = found["decode_quarantine"]
     found["stream_cases"] = found["status_events"]
+    found["stream_multi_country"] = found["multi_country_alerts"]
+    found |= {f"{name}_late": sql for name, sql in found.items() if name.startswith("stream_")}
     return found

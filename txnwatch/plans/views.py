@@ -50,12 +50,14 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_alert_history(transactions(spark, sf_dir))
+
+
+def as_alert_history(rows: DataFrame) -> DataFrame:
     """Flat alert rows with a case state taken from the event number."""
     digit = F.col("event_id") % 10
     ts = F.col("event_ts")
-    return rules.stateless_alerts(
-        transactions(spark, sf_dir), alert_ts=ts, keep=("event_id", "event_ts")
-    ).select(
+    return rules.stateless_alerts(rows, alert_ts=ts, keep=("event_id", "event_ts")).select(
         "alert_id",
         "schema_version",
         F.col("original_transaction.transaction_id").alias("transaction_id"),

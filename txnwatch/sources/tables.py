@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,30 +14,16 @@ from txnwatch.functions import times
 from txnwatch.session import session_settings
 
 
-def _file_system(spark: SparkSession, path: str):
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    files, target = _file_system(spark, path)
-    return files.exists(target)
-
-
-def _is_file(spark: SparkSession, path: str) -> bool:
-    files, target = _file_system(spark, path)
-    return files.getFileStatus(target).isFile()
-
-
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int = 64) -> DataFrame:
     """A Parquet table (a folder of files, or one file) as a stream of its files.
 
-    ``files_per_batch`` bounds a micro-batch, and with it the rows one key's
-    state function sees at a time.
+    ``files_per_batch`` bounds a micro-batch. The jobs in ``streaming.upkeep`` give the same
+    result for any bound.
     """
     path = f"{folder.rstrip('/')}/{name}.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_batch)
-    if _is_file(spark, path):
+    table = spark.read.parquet(path)
+    reader = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_batch)
+    if [file.rsplit("/", 1)[1] for file in table.inputFiles()] == [f"{name}.parquet"]:
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     return reader.parquet(path)
 
@@ -47,17 +34,34 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(layout).parquet(path)
 
 
+def _stored_history(spark: SparkSession, path: str) -> DataFrame | None:
+    """The history, or nothing where none is stored yet."""
+    try:
+        return read_history(spark, path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def append_history(rows: DataFrame, path: str) -> None:
     """Add rows whose id is not stored yet; appending the same rows again adds nothing.
 
+    Only the days around those of the new rows are compared: the same alert, detected again,
+    has the same time, or one at most a day off where alerts carry the time of detection.
     The rebalance hint splits a busy day over several files and keeps quiet days
     in one; rows are sorted by time inside a file so that its statistics prune,
     and bloom filters on user and id let equality searches skip row groups.
     """
     spark = rows.sparkSession
     new = rows.dropDuplicates(["alert_id"])
-    if _exists(spark, path):
-        new = new.join(read_history(spark, path).select("alert_id"), "alert_id", "left_anti")
+    stored = _stored_history(spark, path)
+    if stored is not None:
+        # one row per day of the batch
+        days = [r[0] for r in rows.select(F.to_date("alert_timestamp").alias("d")).distinct().collect() if r[0]]
+        around = {day + timedelta(days=i) for day in days for i in (-1, 0, 1)}
+        recent = stored.filter(F.col("alert_date").isin(sorted(around)) | F.col("alert_date").isNull())
+        new = new.join(recent.select("alert_id"), "alert_id", "left_anti")
     writer = (
         new.withColumn("alert_date", F.to_date("alert_timestamp"))
         .hint("rebalance", "alert_date")

@@ -1,19 +1,21 @@
-"""Streaming jobs: the batch operators on unbounded input, with state where a rule needs it."""
+"""Streaming jobs with state in order of arrival, and sinks. Answers by event time: ``upkeep``."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnwatch import schemas as S
 from txnwatch.functions import texts
-from txnwatch.operators import cases, rules, trailing
+from txnwatch.operators import cases, rules
 from txnwatch.session import session_settings
 from txnwatch.sources import tables
-from txnwatch.streaming.state import CaseFold, TrailingCounter
+from txnwatch.streaming.state import TrailingCounter
+from txnwatch.streaming.upkeep import each_batch
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -25,30 +27,27 @@ def high_frequency(
     window_ms: int = S.FREQUENCY_WINDOW_MS,
     time_mode: str = "None",
     ttl_ms: int | None = None,
-    split_slab_ms: int | None = None,
+    order: Sequence[str] = ("event_ms", "transaction_id"),
     alert_ts: Column | None = None,
 ) -> DataFrame:
-    """Alerts of the trailing-window rule on a stream, one state per user.
-
-    ``time_mode="None"`` evaluates late rows against the state as it is.
-    ``"EventTime"`` (needs a watermark) cleans up idle users with timers but
-    drops rows behind the watermark; ``"ProcessingTime"`` with ``ttl_ms`` cleans
-    up by idle time. A micro-batch bounds the rows one state call sees: cap it at
-    the source.
-
-    ``split_slab_ms`` keeps one state per user and time slab instead, so a user
-    with a large part of the traffic spreads over tasks. Rows that arrive in
-    time order give the same alerts; a late row then counts no rows of a later
-    slab. Old slabs leave by ``ttl_ms`` (one day by default).
+    """Alerts of the trailing-window rule in order of arrival, one state per user.
+
+    Rows are folded one by one in the order of the ``order`` columns. Give the source's own
+    (``partition`` and ``offset`` of a topic), and the borders of micro-batches don't matter: a
+    user's rows arrive in the order of their offsets. The default orders a batch by time.
+
+    ``time_mode="None"`` evaluates late rows against the state as it is. ``"EventTime"`` (needs
+    a watermark) cleans up idle users with timers but drops rows behind the watermark;
+    ``"ProcessingTime"`` with ``ttl_ms`` cleans up by idle time. A micro-batch bounds the rows
+    one state call sees: cap it at the source. For users with a large part of the traffic, and
+    for answers by event time, use ``upkeep.detect``.
     """
     columns = ["event_ts", "event_ms", *S.TRANSACTION_FIELDS.values()]
-    rows = transactions.select(*columns)
-    keys = ["user_id"]
-    if split_slab_ms:
-        rows = trailing.with_carry(rows, window_ms, slab_ms=split_slab_ms)
-        keys, time_mode, ttl_ms = ["user_id", "slab"], "ProcessingTime", ttl_ms or 86_400_000
+    rows = transactions.select(*columns, F.struct(*order).alias("_order"))
     output = T.StructType([rows.schema[c] for c in columns] + [T.StructField("n", T.LongType())])
-    counted = rows.groupBy(*keys).transformWithStateInPandas(
+    counted = rows.select(*columns, *[F.col(f"_order.{c}").alias(f"_o{i}") for i, c in enumerate(order)]).groupBy(
+        "user_id"
+    ).transformWithStateInPandas(
         TrailingCounter(window_ms, threshold, columns, ttl_ms, time_mode == "EventTime"),
         output,
         "Append",
@@ -62,62 +61,6 @@ def high_frequency(
     )
 
 
-def detect(
-    transactions: DataFrame,
-    stateless: Iterable[rules.StatelessRule] = rules.STATELESS_RULES,
-    alert_ts: Column | None = None,
-    **frequency,
-) -> DataFrame:
-    """All rules on one stream; both branches go to one sink."""
-    watermarked = transactions.withWatermark("event_ts", S.WATERMARK_DELAY)
-    return rules.stateless_alerts(watermarked, stateless, alert_ts).unionByName(
-        high_frequency(watermarked, alert_ts=alert_ts, **frequency)
-    )
-
-
-# --- series and dedup -----------------------------------------------------------
-def counts_per_step(rows: DataFrame, time: str = "event_ts", step: str = "5 seconds", slide: str | None = None):
-    """Rows per window, emitted once the watermark closes the window."""
-    windows = F.window(time, step, slide) if slide else F.window(time, step)
-    return (
-        rows.withWatermark(time, S.WATERMARK_DELAY)
-        .groupBy(windows.alias("w"))
-        .agg(F.count("*").alias("n"))
-        .select(F.unix_millis("w.start").alias("point_ms"), F.unix_millis("w.end").alias("end_ms"), "n")
-    )
-
-
-def dedup(alerts: DataFrame, time: str = "alert_ts", within: str = S.WATERMARK_DELAY) -> DataFrame:
-    """Each alert id once; ids are remembered for ``within`` of event time."""
-    return alerts.withWatermark(time, within).dropDuplicatesWithinWatermark(["alert_id"])
-
-
-# --- case commands --------------------------------------------------------------
-def fold_cases(alerts: DataFrame, commands: DataFrame, require_assignee: bool = False) -> DataFrame:
-    """State after each accepted command, as the commands arrive; ``alerts`` gives the opening state."""
-    done = (F.col("cmd") == "ACTION") & F.coalesce("complete", F.lit(False))
-    arriving = commands.filter(cases.accepted(require_assignee)).select(
-        "alert_id",
-        "seq",
-        F.unix_millis("ts").alias("ts_ms"),
-        "cmd",
-        F.when(F.col("cmd") == "STATUS", F.col("status")).when(done, "COMPLETED").alias("set_status"),
-        "assigned_to",
-        "action_note",
-    )
-    opening = alerts.select(
-        "alert_id", "status", "assigned_to", "action_note", F.unix_millis("processed_at").alias("processed_ms")
-    )
-    output = T.StructType(
-        [arriving.schema[c] for c in ("alert_id", "seq", "cmd")]
-        + [T.StructField(c, T.StringType()) for c in ("status", "assigned_to", "action_note")]
-        + [T.StructField("processed_ms", T.LongType())]
-    )
-    return arriving.groupBy("alert_id").transformWithStateInPandas(
-        CaseFold(), output, "Append", "None", initialState=opening.groupBy("alert_id")
-    )
-
-
 # --- sinks ----------------------------------------------------------------------
 def to_table(
     stream: DataFrame,
@@ -144,21 +87,16 @@ def to_table(
         return writer.trigger(**trigger).start()
 
 
-def to_history(stream: DataFrame, path: str, checkpoint: str):
+def to_history(stream: DataFrame, path: str, checkpoint: str, **trigger):
     """Append flat alert rows to the history; a replayed batch adds nothing."""
 
     def append(batch: DataFrame, _batch_id: int) -> None:
         tables.append_history(batch, path)
 
-    return (
-        stream.writeStream.foreachBatch(append)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return each_batch(stream, append, checkpoint, **trigger)
 
 
-def to_recent(stream: DataFrame, path: str, checkpoint: str, arrival: str = "alert_timestamp"):
+def to_recent(stream: DataFrame, path: str, checkpoint: str, arrival: str = "alert_timestamp", **trigger):
     """Keep the newest alerts (at most ``RECENT_ALERTS`` rows) as a table in two alternating slots.
 
     Batch n reads the slot of batch n-1 and overwrites its own, so a replayed
@@ -168,28 +106,33 @@ def to_recent(stream: DataFrame, path: str, checkpoint: str, arrival: str = "ale
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        previous, own = f"{path}/{(batch_id - 1) % 2}", f"{path}/{batch_id % 2}"
         merged = batch
         if batch_id > 0:
-            merged = merged.unionByName(spark.read.schema(layout).parquet(previous))
-        cases.recent(merged.dropDuplicates(["alert_id"]), arrival=arrival).coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(own)
-
-    return (
-        stream.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+            merged = merged.unionByName(spark.read.schema(layout).parquet(f"{path}/slot={(batch_id - 1) % 2}"))
+        newest = cases.recent(merged.dropDuplicates(["alert_id"]), arrival=arrival).withColumn("_batch", F.lit(batch_id))
+        newest.coalesce(1).write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+
+    return each_batch(stream, merge, checkpoint, **trigger)
 
 
-def read_recent(spark: SparkSession, path: str, last_batch: int) -> DataFrame:
-    return spark.read.parquet(f"{path}/{last_batch % 2}")
+def read_recent(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest complete slot; ``schema`` is that of the stream."""
+    layout = T.StructType([*schema.fields, T.StructField("_batch", T.IntegerType())])
+    try:
+        slots = spark.read.schema(layout).parquet(path).drop("slot")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)  # no batch has run yet
+    last = slots.agg(F.max("_batch").alias("_last"))
+    return slots.join(F.broadcast(last), F.col("_batch") == F.col("_last")).drop("_batch", "_last")
 
 
-def dynamic_rules_to_table(stream: DataFrame, rules_path: str, path: str, checkpoint: str):
-    """Match each micro-batch against the rule table as it is at that moment."""
+def dynamic_rules_to_table(stream: DataFrame, rules_path: str, path: str, checkpoint: str, **trigger):
+    """Match each micro-batch against the rule table as it is at that moment.
+
+    With a short ``interval`` a changed rule acts on the next batch, without a restart.
+    """
     from txnwatch.operators import dynamic_rules
 
     def match(batch: DataFrame, batch_id: int) -> None:
@@ -199,9 +142,4 @@ def dynamic_rules_to_table(stream: DataFrame, rules_path: str, path: str, checkp
             "partitionOverwriteMode", "dynamic"
         ).parquet(path)
 
-    return (
-        stream.writeStream.foreachBatch(match)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return each_batch(stream, match, checkpoint, **trigger)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,38 +11,29 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 _TIMES = T.StructType([T.StructField("times", T.ArrayType(T.LongType()))])
-_CASE = T.StructType(
-    [
-        T.StructField("status", T.StringType()),
-        T.StructField("assigned_to", T.StringType()),
-        T.StructField("action_note", T.StringType()),
-        T.StructField("processed_ms", T.LongType()),
-    ]
-)
-
-
-def count_arrivals(kept: np.ndarray, arriving: np.ndarray, window_ms: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts for ``arriving`` times (ascending) given the sorted times ``kept`` so far.
-
-    Each arrival joins the kept times, drops what is older than its own window,
-    and counts everything left, also times later than its own. Returns the
-    counts and the times kept afterwards.
+
+
+def count_arrivals(kept: list[int], arriving: list[int], window_ms: int) -> tuple[list[int], list[int]]:
+    """Counts for ``arriving`` times, in that order, given the sorted times ``kept`` so far.
+
+    Each arrival joins the kept times, drops what is older than its own window, and counts
+    everything left, also times later than its own. Returns the counts and the times kept.
     """
-    new = np.setdiff1d(arriving, kept)
-    starts = arriving - window_ms
-    counts = (
-        len(kept) - np.searchsorted(kept, starts, "left")
-        + np.searchsorted(new, arriving, "right") - np.searchsorted(new, starts, "left")
-    )
-    together = np.union1d(kept, new)
-    return counts, together[together >= starts[-1]] if len(arriving) else together
+    kept, counts = list(kept), []
+    for t in arriving:
+        at = bisect_left(kept, t)
+        if at == len(kept) or kept[at] != t:
+            kept.insert(at, t)
+        del kept[: bisect_left(kept, t - window_ms)]
+        counts.append(len(kept))
+    return counts, kept
 
 
 class TrailingCounter(StatefulProcessor):
     """Distinct event times per key in the trailing window, in order of arrival.
 
     ``columns`` are passed through next to the count ``n``; rows at or below
-    ``threshold`` are not emitted. Rows flagged ``carried`` only fill the state.
+    ``threshold`` are not emitted. Columns ``_o0``, ``_o1``, ... give the order.
     """
 
     def __init__(self, window_ms: int, threshold: int, columns: list[str], ttl_ms: int | None, timers: bool):
@@ -52,74 +44,31 @@ class TrailingCounter(StatefulProcessor):
         self.handle = handle
         self.times = handle.getValueState("times", _TIMES, self.ttl_ms)
 
-    def _kept(self) -> np.ndarray:
+    def _kept(self) -> list[int]:
         value = self.times.get()
-        return np.array(value[0] if value and value[0] is not None else [], dtype="int64")
+        return list(value[0]) if value and value[0] is not None else []
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["event_ms", "transaction_id"], kind="stable")
-        arriving = batch["event_ms"].to_numpy("int64")
-        counts, kept = count_arrivals(self._kept(), arriving, self.window_ms)
-        self.times.update((kept.tolist(),))
+        batch = pd.concat(list(rows), ignore_index=True)
+        order = sorted(name for name in batch.columns if name.startswith("_o"))
+        batch = batch.sort_values(order, kind="stable")
+        counts, kept = count_arrivals(self._kept(), batch["event_ms"].tolist(), self.window_ms)
+        self.times.update((kept,))
         if self.timers:
-            self.handle.registerTimer(int(arriving[-1]) + self.window_ms)
+            self.handle.registerTimer(int(batch["event_ms"].max()) + self.window_ms)
+        counts = np.array(counts)
         hit = counts > self.threshold
-        if "carried" in batch:
-            hit &= ~batch["carried"].to_numpy(bool)
         yield batch.loc[hit, self.columns].assign(n=counts[hit])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """An idle key forgets the times the timer stands for."""
-        kept = self._kept()
-        left = kept[kept > expiredTimerInfo.getExpiryTimeInMs() - self.window_ms]
+        edge = expiredTimerInfo.getExpiryTimeInMs() - self.window_ms
+        left = [t for t in self._kept() if t > edge]
         if len(left):
-            self.times.update((left.tolist(),))
+            self.times.update((left,))
         else:
             self.times.clear()
         yield pd.DataFrame()
 
     def close(self) -> None:
         pass
-
-
-class CaseFold(StatefulProcessor):
-    """Folds accepted commands onto a case and emits its full state after each one.
-
-    Only cases that the initial state named exist; commands on others vanish.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.case = handle.getValueState("case", _CASE)
-
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        self.case.update(tuple(_plain(initialState.iloc[0][name]) for name in _CASE.names))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        case = self.case.get()
-        if case is None:
-            return
-        status, assignee, note, done = case
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts_ms", "seq"], kind="stable")
-        after = []
-        for row in batch.itertuples(index=False):
-            new_status = _plain(row.set_status)
-            status = new_status or status
-            if new_status == "COMPLETED" and done is None:
-                done = int(row.ts_ms)
-            if row.cmd == "ASSIGN":
-                assignee = _plain(row.assigned_to)
-            elif row.cmd == "ACTION":
-                note = row.action_note
-            after.append((row.alert_id, int(row.seq), row.cmd, status, assignee, note, done))
-        self.case.update((status, assignee, note, done))
-        yield pd.DataFrame(after, columns=["alert_id", "seq", "cmd", *_CASE.names], dtype=object)
-
-    def close(self) -> None:
-        pass
-
-
-def _plain(value):
-    """A value as state and Arrow take it: NULL as None, numbers as Python numbers."""
-    if pd.isna(value):
-        return None
-    return int(value) if isinstance(value, (int, float, np.number)) else value
