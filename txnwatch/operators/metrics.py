@@ -9,7 +9,7 @@ from __future__ import annotations
 import functools
 import operator
 from collections.abc import Iterable, Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,21 +27,34 @@ def _ms(when: datetime | Column) -> Column:
     return F.unix_millis(when if isinstance(when, Column) else times.at(when))
 
 
-def _grid(points: DataFrame, step_ms: int) -> DataFrame:
-    """Every step from the first to the last ``point_ms``, made in two levels."""
+Bounds = tuple[datetime, datetime]
+
+
+def _grid(points: DataFrame, step_ms: int, bounds: Bounds | None) -> DataFrame:
+    """Every step from the first to the last ``point_ms``, or inside ``bounds``, a task per day."""
     chunk = max(step_ms, DAY_MS - DAY_MS % step_ms)
-    ends = points.agg(F.min("point_ms").alias("_first"), F.max("point_ms").alias("_last"))
+    if bounds:
+        first, last = (_ms(end) for end in bounds)
+        ends = points.sparkSession.range(1).select(
+            (F.ceil(first / F.lit(step_ms)) * step_ms).alias("_first"), floor_to(last, step_ms).alias("_last")
+        )
+    else:
+        ends = points.agg(F.min("point_ms").alias("_first"), F.max("point_ms").alias("_last"))
     chunks = ends.filter(F.col("_first").isNotNull()).select(
         "_last", F.explode(F.sequence("_first", "_last", F.lit(chunk).cast("long"))).alias("_from")
     )
     upto = F.least(F.col("_from") + F.lit(chunk - step_ms), F.col("_last"))
-    return chunks.select(F.explode(F.sequence("_from", upto, F.lit(step_ms).cast("long"))).alias("point_ms"))
+    return chunks.repartition("_from").select(F.explode(F.sequence("_from", upto, F.lit(step_ms).cast("long"))).alias("point_ms"))
 
 
-def _with_empty_steps(points: DataFrame, step_ms: int, counts: Sequence[str]) -> DataFrame:
+def _with_empty_steps(
+    points: DataFrame, step_ms: int, counts: Sequence[str], bounds: Bounds | None = None
+) -> DataFrame:
+    if bounds:
+        points = points.filter((F.col("point_ms") >= _ms(bounds[0])) & (F.col("point_ms") <= _ms(bounds[1])))
     # reading a count keeps both uses of ``points`` alike, so they share one shuffle
     occupied = points.filter(functools.reduce(operator.add, [F.col(c) for c in counts]) > 0)
-    zeros = _grid(occupied, step_ms).select("point_ms", *[F.lit(0).cast("long").alias(c) for c in counts])
+    zeros = _grid(occupied, step_ms, bounds).select("point_ms", *[F.lit(0).cast("long").alias(c) for c in counts])
     return (
         points.select("point_ms", *counts)
         .unionByName(zeros)
@@ -51,19 +64,30 @@ def _with_empty_steps(points: DataFrame, step_ms: int, counts: Sequence[str]) ->
 
 
 def tps_series(
-    transactions: DataFrame, step_seconds: int = 5, unit_seconds: int = 1, time: str = "event_ms"
+    transactions: DataFrame,
+    step_seconds: int = 5,
+    unit_seconds: int = 1,
+    time: str = "event_ms",
+    bounds: Bounds | None = None,
+    before: int = 0,
 ) -> DataFrame:
     """``point_ms, n, tps, total_transactions`` per step.
 
-    ``tps`` is the whole number of transactions per ``unit_seconds``.
+    ``tps`` is the whole number of transactions per ``unit_seconds``. With ``bounds`` the series
+    has the steps inside them and reads no other transactions (they need ``event_ts``);
+    ``before`` is the total up to there, and a stray time adds no steps.
     """
+    if bounds:
+        transactions = transactions.filter(
+            (F.col("event_ts") >= times.at(bounds[0])) & (F.col("event_ts") < times.at(bounds[1] + timedelta(seconds=step_seconds)))
+        )
     step_ms = step_seconds * 1000
     counts = transactions.groupBy(floor_to(F.col(time), step_ms).alias("point_ms")).agg(F.count("*").alias("n"))
-    points = _with_empty_steps(counts, step_ms, ["n"])
+    points = _with_empty_steps(counts, step_ms, ["n"], bounds)
     rate = F.floor(F.col("n") / F.lit(step_seconds // unit_seconds))
     return prefix.running_total(
         points, "point_ms", "n", "total_transactions", max(step_ms, DAY_MS)
-    ).withColumn("tps", rate)
+    ).withColumns({"tps": rate, "total_transactions": F.col("total_transactions") + F.lit(before)})
 
 
 def alert_rate_series(
@@ -73,12 +97,16 @@ def alert_rate_series(
     rules: Iterable[str] = S.RULE_NAMES,
     hidden: Iterable[str] = (),
     time: str = "alert_timestamp",
+    bounds: Bounds | None = None,
 ) -> DataFrame:
     """Alerts in ``[t - window, t)`` at every step t, in total and per rule.
 
     Alerts are counted per step and rule before a count is repeated for the
-    windows it belongs to.
+    windows it belongs to. With ``bounds`` only the alerts of their windows are read.
     """
+    if bounds:
+        since = bounds[0] - timedelta(seconds=window_seconds)
+        alerts = alerts.filter((F.col(time) >= times.at(since)) & (F.col(time) <= times.at(bounds[1])))
     if window_seconds % step_seconds:
         raise ValueError("the window must be a whole number of steps")
     rules, hidden = list(rules), list(hidden)
@@ -96,7 +124,7 @@ def alert_rate_series(
         .groupBy("point_ms")
         .agg(*[F.sum(r).alias(r) for r in shown])
     )
-    points = _with_empty_steps(spread, step, shown)
+    points = _with_empty_steps(spread, step, shown, bounds)
     by_rule = F.create_map(*[x for r in shown for x in (F.lit(r), F.col(r))])
     total = sum((F.col(r) for r in shown[1:]), F.col(shown[0]))
     return points.select("point_ms", total.alias("alerts_per_minute"), by_rule.alias("by_rule"))
@@ -122,9 +150,9 @@ def summary(points: DataFrame, value: str, as_of: datetime | Column, window_ms:
 
 
 def trailing(points: DataFrame, as_of: datetime | Column, window_ms: int = HOUR_MS) -> DataFrame:
-    """Points still kept at ``as_of``: those before ``as_of - window_ms`` are gone."""
+    """Points still kept at ``as_of``: those of ``(as_of - window_ms, as_of]``, 720 at most at five-second steps."""
     now = _ms(as_of)
-    return points.filter((F.col("point_ms") >= now - F.lit(window_ms)) & (F.col("point_ms") <= now))
+    return points.filter((F.col("point_ms") > now - F.lit(window_ms)) & (F.col("point_ms") <= now))
 
 
 def back_fill(points: DataFrame, since: datetime | Column, as_of: datetime | Column, window_ms: int = HOUR_MS):

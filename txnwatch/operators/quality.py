@@ -127,6 +127,14 @@ def alert_point_checks(step_seconds: int = 5) -> dict[str, Column]:
     }
 
 
+def history_checks(points: int = S.HISTORY_POINTS) -> dict[str, Column]:
+    """Needs the snapshot's struct ``data``: its histories have at most so many points."""
+    return {
+        "TM-004": F.size("data.tps.history") <= points,
+        "AM-006": F.size("data.alerts.history") <= points,
+    }
+
+
 def service_checks(as_of: Column) -> dict[str, Column]:
     """Needs ``service_name, status, last_checked, response_time, memory_usage, error_type, error_message``."""
     up, down = F.col("status") == "UP", F.col("status") == "DOWN"

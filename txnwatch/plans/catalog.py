@@ -7,7 +7,7 @@ so that any engine can be asked for the same rows.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -496,15 +496,29 @@ def alert_warnings(spark, sf):
     return metrics.with_warning(_rates(spark, sf), window_ms=6 * HOUR_MS).drop("by_rule")
 
 
+def _bounded(spark, sf, window, step_seconds=300):
+    """(throughput, alert rate) of the window before ``STATUS_AS_OF``; totals go on from the count before it."""
+    bounds = (STATUS_AS_OF - window + timedelta(milliseconds=1), STATUS_AS_OF)
+    txns = views.transactions(spark, sf)
+    first = bounds[0].replace(second=0, microsecond=0) + timedelta(seconds=step_seconds)
+    before = txns.filter(F.col("event_ts") < times.at(first)).count()
+    tps = metrics.tps_series(txns, step_seconds, min(60, step_seconds), bounds=(first, bounds[1]), before=before)
+    rows = views.alert_history(spark, sf)
+    rates = metrics.alert_rate_series(rows, window_seconds=3600, step_seconds=step_seconds, bounds=(first, bounds[1]))
+    return tps, rates
+
+
 def metrics_summary(spark, sf):
-    tps = metrics.summary(_tps(spark, sf), "n", STATUS_AS_OF, DAY_MS)
-    rates = metrics.summary(_rates(spark, sf), "alerts_per_minute", STATUS_AS_OF, DAY_MS)
+    tps, rates = _bounded(spark, sf, timedelta(days=1))
+    tps = metrics.summary(tps, "n", STATUS_AS_OF, DAY_MS)
+    rates = metrics.summary(rates, "alerts_per_minute", STATUS_AS_OF, DAY_MS)
     return tps.withColumn("metric", F.lit("tps")).unionByName(rates.withColumn("metric", F.lit("alerts")))
 
 
 def metric_backfill(spark, sf):
     since = datetime(2024, 1, 28, 12, 0)
-    return metrics.back_fill(_tps(spark, sf), since, STATUS_AS_OF, DAY_MS).select("point_ms", "n")
+    tps, _ = _bounded(spark, sf, timedelta(days=1))
+    return metrics.back_fill(tps, since, STATUS_AS_OF, DAY_MS).select("point_ms", "n")
 
 
 def metric_checks(spark, sf):
@@ -522,6 +536,46 @@ def metric_checks(spark, sf):
     return checked.select("point_ms", "alerts_per_minute", F.array_join("violations", ",").alias("violations"))
 
 
+def tps_checks(spark, sf):
+    """Validity of throughput points, some of them spoiled."""
+    slot = F.floor(F.col("point_ms") / 300_000) % 7
+    spoiled = _tps(spark, sf).select(
+        F.when(slot == 1, F.col("point_ms") + 7).otherwise(F.col("point_ms")).alias("point_ms"),
+        F.when(slot == 2, F.lit(-1).cast("bigint")).otherwise(F.col("tps")).alias("tps"),
+        F.when(slot == 3, F.lit(-5).cast("bigint")).otherwise(F.col("total_transactions")).alias("total_transactions"),
+        (F.col("total_transactions") - F.col("n")).alias("previous_total"),
+    )
+    checked = quality.with_violations(spoiled, quality.tps_point_checks(300))
+    return checked.select("point_ms", "tps", "total_transactions", F.array_join("violations", ",").alias("violations"))
+
+
+def service_checks(spark, sf):
+    """Validity of heartbeats as service rows."""
+    rows = views.heartbeats(spark, sf).select(
+        F.when(F.col("seq") % 10 == 0, "other").otherwise(F.col("service_name")).alias("service_name"),
+        F.when(F.col("ok"), "UP").otherwise("DOWN").alias("status"),
+        F.col("checked_at").alias("last_checked"),
+        (F.col("response_ms") * 2).alias("response_time"),
+        (F.col("seq") % 9000).alias("memory_usage"),
+        F.when(F.col("seq") % 3 == 0, "HTTP_ERROR").alias("error_type"),
+        F.when(F.col("seq") % 4 == 0, F.repeat(F.lit("x"), 300)).otherwise("short").alias("error_message"),
+        "seq",
+    )
+    checked = quality.with_violations(rows, quality.service_checks(times.at(STATUS_AS_OF)))
+    return checked.select("seq", "service_name", "status", F.array_join("violations", ",").alias("violations"))
+
+
+def history_length_checks(spark, sf):
+    """At five-second steps an hour has exactly as many points as a history may hold."""
+    services = metrics.service_status(views.heartbeats(spark, sf), STATUS_AS_OF, 2_000, 3_600)
+    one = metrics.snapshot(*_bounded(spark, sf, timedelta(hours=1), 5), services, STATUS_AS_OF, HOUR_MS)
+    checked = quality.with_violations(one, quality.history_checks())
+    return checked.select(
+        F.size("data.tps.history").alias("tps_points"), F.size("data.alerts.history").alias("alert_points"),
+        F.array_join("violations", ",").alias("violations"),
+    )
+
+
 def service_status(spark, sf):
     status = metrics.service_status(views.heartbeats(spark, sf), STATUS_AS_OF, timeout_ms=2_000, stale_seconds=3_600)
     return status.select(
@@ -531,7 +585,7 @@ def service_status(spark, sf):
 
 def metrics_snapshot(spark, sf):
     services = metrics.service_status(views.heartbeats(spark, sf), STATUS_AS_OF, 2_000, 3_600)
-    one = metrics.snapshot(_tps(spark, sf), _rates(spark, sf), services, STATUS_AS_OF, HOUR_MS)
+    one = metrics.snapshot(*_bounded(spark, sf, timedelta(hours=1)), services, STATUS_AS_OF, HOUR_MS)
     data = F.col("data")
     text = F.transform(data["services"], lambda s: F.concat(s["service_name"], F.lit("="), s["status"]))
     return one.select(
@@ -683,7 +737,7 @@ def registry() -> dict[str, Query]:
         severity_sorted, point_lookup, status_fold, status_events, status_event_records, case_state,
         apply_status_changes, new_alerts_only, status_counts, hourly_counts, hourly_counts_last_day, rule_stats,
         rule_coverage, txn_profile, report_csv, latency_stats, latency_histogram, latency_unmatched, tps_series,
-        alert_rate_series, alert_rate_visible, alert_warnings, metrics_summary, metric_backfill, metric_checks,
+        alert_rate_series, alert_rate_visible, alert_warnings, metrics_summary, metric_backfill, metric_checks, tps_checks, service_checks, history_length_checks,
         service_status, metrics_snapshot, high_frequency_tumbling, alert_display, *STREAMS,
     ]
     found = {run.__name__: run for run in named}

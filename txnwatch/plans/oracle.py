@@ -432,7 +432,7 @@ def oracles() -> dict[str, str]:
             m AS (SELECT 'tps' AS metric, point_ms, n AS v FROM tps
                   UNION ALL SELECT 'alerts', point_ms, alerts_per_minute FROM rates)
             SELECT metric, arg_max(v, point_ms) AS current_value, avg(v) AS average_value, max(v) AS max_value FROM m
-            WHERE point_ms BETWEEN {_STATUS_AS_OF} - {DAY_MS} AND {_STATUS_AS_OF} GROUP BY 1""",
+            WHERE point_ms > {_STATUS_AS_OF} - {DAY_MS} AND point_ms <= {_STATUS_AS_OF} GROUP BY 1""",
         "metric_backfill": f"""WITH {TPS} SELECT point_ms, n FROM tps
             WHERE point_ms > epoch_ms(TIMESTAMP '2024-01-28 12:00:00') AND point_ms <= {_STATUS_AS_OF}""",
         "metric_checks": f"""WITH {RATES}, s AS (SELECT *, (point_ms // 300000) % 10 AS slot FROM rates)
@@ -443,10 +443,25 @@ def oracles() -> dict[str, str]:
                 CASE WHEN slot = 4 THEN 'AM-003' END,
                 CASE WHEN slot = 5 THEN 'AM-004' END,
                 CASE WHEN slot IN (2, 3, 5) OR (slot = 4 AND hv > 0) THEN 'AM-005' END) AS violations FROM s""",
+        "tps_checks": f"""WITH {TPS}, s AS (SELECT *, (point_ms // 300000) % 7 AS slot FROM tps)
+            SELECT CASE WHEN slot = 1 THEN point_ms + 7 ELSE point_ms END AS point_ms, CASE WHEN slot = 2 THEN -1 ELSE tps END AS tps,
+              CASE WHEN slot = 3 THEN -5 ELSE total_transactions END AS total_transactions,
+              CASE slot WHEN 1 THEN 'TM-001' WHEN 2 THEN 'TM-002' WHEN 3 THEN 'TM-003' ELSE '' END AS violations FROM s""",
+        "service_checks": f"""WITH h AS (SELECT event_id AS seq, event_type <> 'error' AS ok, ts, CAST(round(value * 30) AS BIGINT) * 2 AS took,
+              CASE WHEN event_id % 10 = 0 THEN 'other' ELSE CASE user_id % 5 WHEN 0 THEN 'transaction-generator' WHEN 1 THEN 'fraud-detector'
+                WHEN 2 THEN 'alert-service' WHEN 3 THEN 'websocket-gateway' ELSE 'frontend-dashboard' END END AS service_name FROM events)
+            SELECT seq, service_name, CASE WHEN ok THEN 'UP' ELSE 'DOWN' END AS status, concat_ws(',',
+              CASE WHEN service_name = 'other' THEN 'SH-001' END,
+              CASE WHEN epoch_us(ts) // 1000 < {_STATUS_AS_OF} - 10000 THEN 'SH-003' END,
+              CASE WHEN ok AND NOT took BETWEEN 0 AND 5000 THEN 'SH-004' END,
+              CASE WHEN ok AND seq % 9000 > 8192 THEN 'SH-005' END,
+              CASE WHEN NOT ok AND seq % 3 <> 0 THEN 'SH-006' END,
+              CASE WHEN NOT ok AND seq % 4 = 0 THEN 'SH-007' END) AS violations FROM h""",
+        "history_length_checks": "SELECT 720 AS tps_points, 720 AS alert_points, '' AS violations",
         "service_status": f"WITH {SERVICES} SELECT * FROM services",
         "metrics_snapshot": f"""WITH {TPS}, {HISTORY[len(TXNS) + 1:]}, {_rates()}, {SERVICES},
-            t AS (SELECT * FROM tps WHERE point_ms BETWEEN {_STATUS_AS_OF} - 3600000 AND {_STATUS_AS_OF}),
-            r AS (SELECT * FROM rates WHERE point_ms BETWEEN {_STATUS_AS_OF} - 3600000 AND {_STATUS_AS_OF})
+            t AS (SELECT * FROM tps WHERE point_ms > {_STATUS_AS_OF} - 3600000 AND point_ms <= {_STATUS_AS_OF}),
+            r AS (SELECT * FROM rates WHERE point_ms > {_STATUS_AS_OF} - 3600000 AND point_ms <= {_STATUS_AS_OF})
             SELECT 'METRICS_UPDATE' AS type, {_STATUS_AS_OF} AS at_ms,
               (SELECT string_agg(concat(service_name, '=', status), ',' ORDER BY service_name) FROM services) AS services,
               (SELECT arg_max(tps, point_ms) FROM t) AS tps_current, (SELECT avg(tps) FROM t) AS tps_average,

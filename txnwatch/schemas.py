@@ -12,6 +12,7 @@ MIN_AMOUNT = 1_000
 MAX_AMOUNT = 1_500_000
 HIGH_VALUE_THRESHOLD = 1_000_000
 FREQUENCY_THRESHOLD = 5
+HISTORY_POINTS = 720
 FREQUENCY_WINDOW_MS = 60_000
 MULTI_COUNTRY_THRESHOLD = 3
 MULTI_COUNTRY_WINDOW_MS = 600_000
