@@ -140,9 +140,9 @@ def _stateless(rule):
     return run
 
 
-def _windowed(rule):
+def _windowed(rule, rows=views.transactions):
     def run(spark, sf):
-        return _flat_alerts(rules.window_alerts(views.transactions(spark, sf), rule, F.col("event_ts")))
+        return _flat_alerts(rules.window_alerts(rows(spark, sf), rule, F.col("event_ts")))
 
     return run
 
@@ -749,6 +749,9 @@ def registry() -> dict[str, Query]:
         rules.high_frequency(threshold=1, window_ms=2 * HOUR_MS, slab_ms=6 * HOUR_MS)
     )
     found["multi_country_alerts"] = _windowed(rules.multi_country(window_ms=DAY_MS))
+    # the rules as they run in production: 60 seconds and 5, 10 minutes and 3
+    found["high_frequency_default"] = _windowed(rules.high_frequency(), views.fast_transactions)
+    found["multi_country_default"] = _windowed(rules.multi_country(), views.fast_transactions)
     for unit in analytics.PERIODS:
         found[f"period_rollup_{unit}"] = _rollup(unit)
     return found

@@ -44,6 +44,17 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_transactions(events(spark, sf_dir))
 
 
+FAST_FROM_MS, FAST_FACTOR = 1_704_067_200_000, 4_000
+
+
+def fast_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions with time running 4,000 times faster, so that the rules' own windows fill."""
+    fast = F.lit(FAST_FROM_MS) + F.floor((F.col("event_ms") - FAST_FROM_MS) / FAST_FACTOR)
+    rows = transactions(spark, sf_dir).withColumn("event_ms", fast)
+    ts = F.timestamp_millis("event_ms")
+    return rows.withColumns({"event_ts": ts, "timestamp": times.iso_instant(ts)})
+
+
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stateless alerts; the alert time is the transaction's own time."""
     return rules.stateless_alerts(transactions(spark, sf_dir), alert_ts=F.col("event_ts"))
