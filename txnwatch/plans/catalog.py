@@ -293,6 +293,17 @@ def archive_split(spark, sf):
     )
 
 
+def archive_written(spark, sf):
+    """Both parts written by month and read back."""
+    path = shared_dir(spark, "archive")
+    for part, rows in zip(("kept", "archived"), tables.archive_split(views.alert_history(spark, sf), AS_OF, days=10)):
+        tables.write_by_month(rows, f"{path}/part={part}")
+    stored = spark.read.parquet(path)
+    return stored.groupBy("part", F.col("alert_month").cast("string").alias("alert_month")).agg(
+        F.count("*").alias("n"), F.sum("amount").alias("total_amount")
+    )
+
+
 def retention(spark, sf):
     as_of = datetime(2024, 1, 20)
     txns = metrics.retained(views.transactions(spark, sf), "event_ts", as_of, 1)
@@ -452,6 +463,21 @@ def report_csv(spark, sf):
     return spark.read.option("header", True).schema("rule_name string, n bigint, completed bigint").csv(path)
 
 
+def _read_back(spark, report, kind, *days):
+    path = tables.export_csv(report, shared_dir(spark, "reports"), kind, *days)
+    return spark.read.option("header", True).schema(report.schema).csv(path)
+
+
+def rule_csv(spark, sf):
+    """The whole rule report with shares and completion rates, written as CSV and read back."""
+    return _read_back(spark, rule_stats(spark, sf), "by-rule", date(2024, 1, 3), date(2024, 1, 30))
+
+
+def hourly_csv(spark, sf):
+    """The hourly report of one day, written as CSV and read back."""
+    return _read_back(spark, hourly_counts(spark, sf), "hourly", date(2024, 1, 17))
+
+
 def _latencies(spark, sf):
     return latency.latencies(views.timed_alerts(spark, sf), views.transactions(spark, sf))
 
@@ -733,10 +759,10 @@ def registry() -> dict[str, Query]:
         decode_quarantine, txn_validity, transaction_records, alert_records, decoded_alerts, all_alerts,
         alert_validity, dynamic_rule_matches, rule_validation, rule_dry_run, flatten_history, history_violations,
         history_search_page, history_search_user, history_search_deep, history_search_stored, history_page_meta, history_page_sorted, latest_history,
-        history_append, archive_split, retention, recent_alerts, recent_filtered, recent_first_filter,
+        history_append, archive_split, archive_written, retention, recent_alerts, recent_filtered, recent_first_filter,
         severity_sorted, point_lookup, status_fold, status_events, status_event_records, case_state,
         apply_status_changes, new_alerts_only, status_counts, hourly_counts, hourly_counts_last_day, rule_stats,
-        rule_coverage, txn_profile, report_csv, latency_stats, latency_histogram, latency_unmatched, tps_series,
+        rule_coverage, txn_profile, report_csv, rule_csv, hourly_csv, latency_stats, latency_histogram, latency_unmatched, tps_series,
         alert_rate_series, alert_rate_visible, alert_warnings, metrics_summary, metric_backfill, metric_checks, tps_checks, service_checks, history_length_checks,
         service_status, metrics_snapshot, high_frequency_tumbling, alert_display, *STREAMS,
     ]

@@ -497,6 +497,8 @@ def oracles() -> dict[str, str]:
     for unit in ("day", "week", "month"):
         found[f"period_rollup_{unit}"] = _rollup(unit)
     found["stream_detect"] = found["stream_detect_split"] = found["all_alerts"]
+    found["rule_csv"], found["hourly_csv"] = found["rule_stats"], found["hourly_counts"]
+    found["archive_written"] = found["archive_split"]
     found["history_search_deep"] = found["history_search_stored"] = found["history_search_page"]
     found["stream_recent"] = found["recent_alerts"]
     found["stream_decode"] = found["decode_quarantine"]
