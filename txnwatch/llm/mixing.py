@@ -152,9 +152,11 @@ def _rounded(rows: pd.DataFrame) -> pd.DataFrame:
 def rounded(rows: DataFrame) -> DataFrame:
     """Copies for ``doc_id, source, size, source_size, target, rate``: long documents, then the others."""
     is_long = F.col("size") * LONG_SHARE > F.col("source_size")
+    rows = written(rows, "rated")
     tails = rows.filter(~is_long).groupBy(F.col("source").alias("_s")).agg(
         F.sum("size").alias("tail_size"), F.count("*").alias("tail_docs")
     )
+    tails = written(tails, "tails")
     same = F.col("source").eqNullSafe(F.col("_s"))
     long = written(
         rows.filter(is_long).join(tails, same, "left")
@@ -168,6 +170,7 @@ def rounded(rows: DataFrame) -> DataFrame:
         "_s", "tail_size", F.coalesce("taken", F.lit(0)).alias("taken"),
         (F.floor(F.col("tail_docs") / BLOCK_ROWS) + 1).alias("blocks"),
     )
+    left = written(left, "left")
     rate = F.coalesce((F.col("target") - F.col("taken")) / F.nullif(F.col("tail_size"), F.lit(0)), F.lit(0.0))
     short = (
         rows.filter(~is_long).join(left, same)
@@ -197,7 +200,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3)) -> DataFrame:
         F.col("source").alias("_source"), "source_size", "target",
         F.least(F.lit(float(CAP)), F.coalesce(F.exp("lambda"), F.lit(0.0))).alias("rate"),
     )
-    rows = sizes.join(plan, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    # written, so that Spark knows how small it is
+    rows = sizes.join(written(plan, "rates"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     return rounded(rows)
 
 
