@@ -37,6 +37,7 @@ def _span_text(window_ms: int) -> str:
     return f"{window_ms}밀리초"
 
 
+# Fixed texts: the reasons of alerts, of which readers and tests know the wording.
 def high_value_reason(amount: Column, threshold: int) -> Column:
     return F.concat(F.lit(f"고액 거래 ({_threshold_text(threshold)} 초과): "), won(amount))
 

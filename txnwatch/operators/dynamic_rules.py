@@ -138,6 +138,7 @@ def dry_run(transactions: DataFrame, rule: DataFrame) -> DataFrame:
     one = usable(rule.withColumn("is_active", F.lit(True)))
     joined = transactions.join(F.broadcast(one), matches(), "left")  # one row
     hit = F.col("rule_id").isNotNull()
+    # fixed texts
     return joined.select(
         "transaction_id",
         hit.alias("matched"),

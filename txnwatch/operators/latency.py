@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from txnwatch.operators import prefix
 from txnwatch.operators.analytics import _share, _whole
 
-# lower bounds of the buckets in seconds, and their labels
+# Lower bounds of the buckets in seconds, and their labels
 BUCKETS = ((0, "0-1"), (1, "1-2"), (2, "2-3"), (3, "3-5"), (5, "5-10"), (10, "10+"))
 
 
