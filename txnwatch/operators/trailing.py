@@ -14,7 +14,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from txnwatch.functions.times import floor_to
 
@@ -132,44 +131,33 @@ def trailing_distinct(
         F.when(F.col("ends"), edge(t + span, _LEAVE, -1)),
     )
     running = group.orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    # which values are inside changes only where one enters or leaves: an epoch
+    # which values are inside changes only where one enters or leaves: an epoch. A value is
+    # inside from the epoch it enters until the one it leaves, which is its next change.
     changes = F.col("kind") != _READ
-    reads = (
+    own_changes = Window.partitionBy(*keys, "slab", value, "changes").orderBy("at", "kind")
+    rows = (
         marked.select(*keys, "slab", "carried", value, F.inline(edges))
         .filter(F.col("kind").isNotNull())
+        .withColumn("changes", changes)
         .withColumn("n", F.sum("delta").over(running))
         .withColumn("epoch", F.sum(changes.cast("int")).over(running))
-        .withColumn("known", F.collect_set(F.when(F.col("kind") == _ENTER, F.col(value))).over(group))
-        .filter(~changes)
-        .withColumn("before", F.lag("epoch").over(group.orderBy("at", "kind")))
+        .withColumn("left", F.lead("epoch").over(own_changes))
     )
-
-    # once per epoch that fires, ask for each known value when it was last seen
-    asks = (F.col("n") >= at_least) & ~F.col("epoch").eqNullSafe(F.col("before"))
-    nothing = F.array().cast(T.ArrayType(points.schema[value].dataType))
-    asked = F.concat(F.array(F.col(value)), F.coalesce(F.when(asks, F.col("known")), nothing))
-    rows = reads.select(
+    enters = F.col("kind") == _ENTER
+    lasts = F.when(enters, F.sequence(F.col("epoch"), F.col("left") - 1)).when(~changes, F.array("epoch"))
+    rows = rows.select(
         *keys,
         "slab",
-        "epoch",
         "at",
-        (~F.col("carried") & (F.col("n") >= at_least)).alias("fires"),
-        F.posexplode(asked).alias("position", "candidate"),
-    )
-    sighted = F.col("position") == 0
-    until_now = (
-        Window.partitionBy(*keys, "slab", "candidate")
-        .orderBy("at", ~sighted)
-        .rowsBetween(Window.unboundedPreceding, 0)
+        (~changes & ~F.col("carried") & (F.col("n") >= at_least)).alias("fires"),
+        F.when(enters, F.col(value)).alias("inside"),
+        F.explode(lasts).alias("during"),
     )
-    last_seen = F.last(F.when(sighted, F.col("at")), ignorenulls=True).over(until_now)
-    inside = F.when(~sighted & (F.col("last_seen") >= F.col("at") - span), F.col("candidate"))
-    same_epoch = Window.partitionBy(*keys, "slab", "epoch")
+    same_epoch = Window.partitionBy(*keys, "slab", "during")
     # a point has one home slab, so grouping by slab as well needs no further shuffle
     return (
-        rows.withColumn("last_seen", last_seen)
-        .withColumn("values", F.collect_set(inside).over(same_epoch))
-        .filter(sighted & F.col("fires"))
+        rows.withColumn("values", F.collect_set("inside").over(same_epoch))
+        .filter("fires")
         .groupBy(*keys, "slab", F.col("at").alias(time))
         .agg(F.first("values").alias("values"))
         .select(*keys, time, F.sort_array("values").alias("values"), F.size("values").cast("long").alias("n"))
