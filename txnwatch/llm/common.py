@@ -57,21 +57,29 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
 
 
 def bounded_sample(
-    rows: DataFrame, kind: str, per_kind: int, max_bytes: int, max_kinds: int = 500
-) -> list:
-    """At most ``per_kind`` rows of each value of ``kind``, spread by a hash of ``doc_id``; for fitting only.
+    docs: DataFrame, kinds: DataFrame, per_kind: int, max_bytes: int, max_kinds: int = 500
+) -> list[tuple]:
+    """``(kind, text)`` of at most ``per_kind`` documents of each kind, spread by a hash; for fitting only.
 
-    Texts above ``max_bytes`` are left out of the sample, so its size on the driver has a bound.
-    Every run takes the same rows. ``rows`` needs ``doc_id``, ``text`` and ``kind``.
+    ``kinds``: ``_id, _kind``. Documents are chosen by id, size and hash; only the texts of the
+    chosen ones are fetched. Texts above ``max_bytes`` are left out of the sample, so its size on
+    the driver has a bound. Every run takes the same documents; a repeated row counts once.
     """
-    rows = rows.filter(F.octet_length("text") <= max_bytes).withColumn("_hash", F.xxhash64("doc_id", "text"))
-    counts = {r[0]: r[1] for r in rows.groupBy(kind).agg(F.count("*")).limit(max_kinds + 1).collect()}
+    texts = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_hash"))
+    slim = texts.filter(F.octet_length("text") <= max_bytes).select("doc_id", "_hash").distinct()
+    slim = written(slim.join(kinds, F.col("doc_id") == F.col("_id")).select("_kind", "doc_id", "_hash"), "sample")
+    counts = {r[0]: r[1] for r in slim.groupBy("_kind").agg(F.count("*")).limit(max_kinds + 1).collect()}
     if len(counts) > max_kinds:
-        raise ValueError(f"more than {max_kinds} values of {kind}")
-    found = []
-    for value in sorted(counts, key=str):
+        raise ValueError(f"more than {max_kinds} kinds of documents")
+    chosen = []
+    for kind in sorted(counts, key=str):
         # twice the share that is wanted, then the first of them by hash
-        share = min(1.0, 2.0 * per_kind / counts[value])
-        some = rows.filter(F.col(kind) == value).filter(F.pmod("_hash", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-        found += some.orderBy("_hash", "doc_id").limit(per_kind).collect()
-    return found
+        share = min(1.0, 2.0 * per_kind / counts[kind])
+        some = slim.filter(F.col("_kind") == kind).filter(F.pmod("_hash", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+        chosen += some.orderBy("_hash", "doc_id").limit(per_kind).collect()
+    if not chosen:
+        return []
+    wanted = docs.sparkSession.createDataFrame([(r["doc_id"], r["_hash"]) for r in chosen], "_wanted long, _h long")
+    found = texts.join(F.broadcast(wanted), (F.col("doc_id") == F.col("_wanted")) & (F.col("_hash") == F.col("_h")))
+    text_of = {(r["doc_id"], r["_hash"]): r["text"] for r in found.select("doc_id", "_hash", "text").collect()}
+    return [(r["_kind"], text_of[r["doc_id"], r["_hash"]]) for r in chosen]

@@ -320,15 +320,15 @@ def _scorer(model: Model, batch_bytes: int = 8 << 20):
 def score(docs: DataFrame, labels: DataFrame, fit: Fit | None = None) -> DataFrame:
     """``doc_id, held_out, score, predicted, spans`` for every document. ``labels``: ``doc_id, toxic``."""
     fit = fit or Fit()
-    known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_label")).filter("_label IN (0, 1)")
+    known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_kind")).filter("_kind IN (0, 1)")
     known = known.filter(~held_out(F.col("_id"), fit.parts, fit.held_part))
-    marked = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id")).drop("_id")
-    sample = bounded_sample(marked, "_label", fit.per_label, fit.max_bytes)
-    sample = [sample[i] for i in different([r["text"].encode() for r in sample])]
-    toxic = np.array([r["_label"] for r in sample])
+    sample = bounded_sample(docs, known, fit.per_label, fit.max_bytes)
+    texts = [text.encode() for _, text in sample]
+    kept = different(texts)
+    toxic = np.array([sample[i][0] for i in kept])
     held = held_out(F.col("doc_id"), fit.parts, fit.held_part).alias("held_out")
     if len(set(toxic.tolist())) < 2:
         return docs.select("doc_id", held, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.lit("").alias("spans"))
-    model = train([r["text"].encode() for r in sample], toxic, fit)
+    model = train([texts[i] for i in kept], toxic, fit)
     scored = docs.select("doc_id", "text").mapInArrow(_scorer(model), "doc_id bigint, score double, spans string")
     return scored.select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")

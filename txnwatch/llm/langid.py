@@ -195,19 +195,20 @@ def _one_window(text: bytes, at: int, width: int) -> np.ndarray:
 
 def trained(docs: DataFrame, fit: Fit) -> Network | None:
     """A network fitted on the labelled documents that may be learned from; None without any."""
-    known = docs.select("doc_id", "text", "lang").filter(
+    known = docs.filter(
         ~held_out(F.col("doc_id"), fit.parts, fit.held_part) & F.col("lang").isNotNull() & (F.octet_length("text") > 0)
     )
-    sample = bounded_sample(known, "lang", fit.per_language, fit.max_bytes)
+    kinds = known.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_kind")).distinct()
+    sample = bounded_sample(known, kinds, fit.per_language, fit.max_bytes)
     if not sample:
         return None
-    languages = sorted({r["lang"] for r in sample})
+    languages = sorted({language for language, _ in sample})
     place = {language: i for i, language in enumerate(languages)}
     # classes weigh alike: each text gives windows until its language has its share
-    share = max(sum(r["lang"] == language for r in sample) for language in languages)
+    share = max(sum(of == language for of, _ in sample) for language in languages)
     windows, labels, rng = [], [], np.random.default_rng(3)
     for language in languages:
-        own = [r["text"].encode() for r in sample if r["lang"] == language]
+        own = [text.encode() for of, text in sample if of == language]
         for i in range(share):
             windows.append(_one_window(own[i % len(own)], int(rng.integers(1 << 31)), fit.window))
             labels.append(place[language])
