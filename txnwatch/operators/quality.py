@@ -127,7 +127,7 @@ def alert_point_checks(step_seconds: int = 5) -> dict[str, Column]:
     }
 
 
-def history_checks(points: int = S.HISTORY_POINTS) -> dict[str, Column]:
+def history_length_checks(points: int = S.HISTORY_POINTS) -> dict[str, Column]:
     """Needs the snapshot's struct ``data``: its histories have at most so many points."""
     return {
         "TM-004": F.size("data.tps.history") <= points,

@@ -595,7 +595,7 @@ def history_length_checks(spark, sf):
     """At five-second steps an hour has exactly as many points as a history may hold."""
     services = metrics.service_status(views.heartbeats(spark, sf), STATUS_AS_OF, 2_000, 3_600)
     one = metrics.snapshot(*_bounded(spark, sf, timedelta(hours=1), 5), services, STATUS_AS_OF, HOUR_MS)
-    checked = quality.with_violations(one, quality.history_checks())
+    checked = quality.with_violations(one, quality.history_length_checks())
     return checked.select(
         F.size("data.tps.history").alias("tps_points"), F.size("data.alerts.history").alias("alert_points"),
         F.array_join("violations", ",").alias("violations"),
