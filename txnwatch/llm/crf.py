@@ -42,7 +42,7 @@ RESULT = "doc_id bigint, held_out boolean, score double, predicted int, spans st
 class Fit:
     """``per_label`` and ``max_bytes`` bound the sample that fits the model."""
 
-    per_label: int = 2000
+    per_label: int = 1500
     max_bytes: int = 12_000
     steps: int = 40
     rate: float = 0.3
@@ -135,20 +135,22 @@ def different(texts: list[bytes]) -> list[int]:
 
 def labelled_words(texts: list[list[bytes]], toxic: np.ndarray, fit: Fit) -> list[np.ndarray]:
     """Marks the words of toxic texts that, by word or beginning, come from toxic texts."""
-    seen = [Counter(), Counter()]
+    bad_in, good_in = Counter(), Counter()
     parts = lambda w: {"w" + w, "a" + w[:4], "b" + w[:5]}
-    plain = [[_plain(w) for w in words] for words in texts]
-    for words, mark in zip(plain, toxic):
-        seen[int(mark)].update(set().union(*(parts(w) for w in set(words))) if words else ())
-    share = max(1, (toxic == 0).sum()) / max(1, (toxic == 1).sum())
+    of = lambda words: set().union(*(parts(_plain(w)) for w in set(words))) if words else set()
+    for words, mark in zip(texts, toxic):
+        if mark:
+            bad_in.update(of(words))
     least = max(fit.least_seen, fit.least_share * (toxic == 1).sum())
-    bad = {
-        part for part, n in seen[1].items()
-        if n >= least and n * share / (seen[0][part] + 0.5) >= fit.least_odds
-    }
+    bad_in = {part: n for part, n in bad_in.items() if n >= least}
+    for words, mark in zip(texts, toxic):
+        if not mark:
+            good_in.update(of(words) & bad_in.keys())
+    share = max(1, (toxic == 0).sum()) / max(1, (toxic == 1).sum())
+    bad = {part for part, n in bad_in.items() if n * share / (good_in[part] + 0.5) >= fit.least_odds}
     return [
-        np.array([bool(mark) and not bad.isdisjoint(parts(w)) for w in words], bool)
-        for words, mark in zip(plain, toxic)
+        np.array([bool(mark) and not bad.isdisjoint(parts(_plain(w))) for w in words], bool)
+        for words, mark in zip(texts, toxic)
     ]
 
 
