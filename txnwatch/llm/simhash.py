@@ -20,6 +20,7 @@ row of it has one; an empty table gives empty results; other columns pass unchan
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
 import numpy as np
@@ -117,7 +118,7 @@ def links(prints: DataFrame) -> DataFrame:
     return met.union(stars)
 
 
-def labels(prints: DataFrame) -> DataFrame:
+def labels(prints: DataFrame, find_links: Callable[[DataFrame], DataFrame] = links) -> DataFrame:
     """Per fingerprint: ``component_id``, and which row of the component stays (``keep_fp``, ``keep_rows``).
 
     ``prints``: ``doc_id, fp``, a row per document. The row that stays has the smallest id and,
@@ -127,7 +128,7 @@ def labels(prints: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "rows"))
     counted = prints.groupBy("fp", "doc_id").agg(F.count("*").alias("rows"))
     distinct = written(counted.groupBy("fp").agg(first.alias("first")), "fingerprints")
-    linked = components(links(distinct.select("fp")))
+    linked = components(find_links(distinct.select("fp")))
     placed = distinct.join(linked, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
@@ -149,7 +150,11 @@ def membership(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, that with the smallest id, with its own columns."""
     rows = written(docs.select(packed(docs), F.col("doc_id").alias("_id"), fingerprints("text").alias("_fp")), "prints")
-    found = labels(rows.select(F.col("_id").alias("doc_id"), F.col("_fp").alias("fp")))
+    return kept_rows(rows, labels(rows.select(F.col("_id").alias("doc_id"), F.col("_fp").alias("fp"))))
+
+
+def kept_rows(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Of rows ``_row, _id, _fp`` those that stay by ``labels``, unpacked."""
     kept = rows.join(found, F.col("_fp") == F.col("fp")).filter(
         F.col("_id").eqNullSafe(F.col("component_id")) & (F.col("_fp") == F.col("keep_fp"))
     )
