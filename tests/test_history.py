@@ -95,6 +95,18 @@ def test_append_prunes_and_adds_once(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(alert_date" in plan
 
 
+@pytest.mark.parametrize("looked_up", [0, 500])
+def test_append_knows_an_alert_at_any_time(spark, tmp_path, monkeypatch, looked_up):
+    monkeypatch.setattr(tables, "LOOKED_UP", looked_up)
+    path = f"{tmp_path}/history"
+    tables.append_history(rows_of(spark, [{} for _ in range(5)]), path)
+    again = rows_of(spark, [{"alert_timestamp": START + timedelta(days=i)} for i in (2, 40, -3, 0, 9, 1)])
+    tables.append_history(again, path)
+    stored = tables.read_history(spark, path).select("alert_id", "alert_timestamp").collect()
+    assert sorted(r.alert_id for r in stored) == [f"a{i:04d}" for i in range(6)]
+    assert all(r.alert_timestamp < START + timedelta(days=1) for r in stored if r.alert_id < "a0005")
+
+
 def test_flatten_rejects_unknown_severity(spark):
     alerts = rules.stateless_alerts(transactions(spark, [{"amount": 2_000_000}]), alert_ts=F.col("event_ts"))
     alerts = alerts.unionByName(alerts.withColumn("severity", F.lit("CRITICAL")))

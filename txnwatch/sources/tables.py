@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,9 @@ from txnwatch import schemas as S
 from txnwatch.functions import times
 from txnwatch.session import session_settings
 
+LOOKED_UP = 500
+"""New ids up to which an append asks the bloom filters; results don't depend on it."""
+
 
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int = 64) -> DataFrame:
     """A Parquet table (a folder of files, or one file) as a stream of its files.
@@ -47,8 +50,9 @@ def _stored_history(spark: SparkSession, path: str) -> DataFrame | None:
 def append_history(rows: DataFrame, path: str) -> None:
     """Add rows whose id is not stored yet; appending the same rows again adds nothing.
 
-    Only the days around those of the new rows are compared: the same alert, detected again,
-    has the same time, or one at most a day off where alerts carry the time of detection.
+    Ids are compared with the whole history, since an alert that is detected again may carry any
+    other time. Few new ids are looked up by the bloom filters on the id, which skip row groups
+    without reading them; for more, the id column is read.
     The rebalance hint splits a busy day over several files and keeps quiet days
     in one; rows are sorted by time inside a file so that its statistics prune,
     and bloom filters on user and id let equality searches skip row groups.
@@ -57,11 +61,11 @@ def append_history(rows: DataFrame, path: str) -> None:
     new = rows.dropDuplicates(["alert_id"])
     stored = _stored_history(spark, path)
     if stored is not None:
-        # one row per day of the batch
-        days = [r[0] for r in rows.select(F.to_date("alert_timestamp").alias("d")).distinct().collect() if r[0]]
-        around = {day + timedelta(days=i) for day in days for i in (-1, 0, 1)}
-        recent = stored.filter(F.col("alert_date").isin(sorted(around)) | F.col("alert_date").isNull())
-        new = new.join(recent.select("alert_id"), "alert_id", "left_anti")
+        known = stored.select("alert_id")
+        some = rows.select("alert_id").distinct().limit(LOOKED_UP + 1).collect()
+        if len(some) <= LOOKED_UP:
+            known = known.filter(F.col("alert_id").isin([r[0] for r in some if r[0] is not None]))
+        new = new.join(known, "alert_id", "left_anti")
     writer = (
         new.withColumn("alert_date", F.to_date("alert_timestamp"))
         .hint("rebalance", "alert_date")
@@ -70,11 +74,17 @@ def append_history(rows: DataFrame, path: str) -> None:
         .write.mode("append")
         .option("parquet.bloom.filter.enabled#user_id", "true")
         .option("parquet.bloom.filter.enabled#alert_id", "true")
+        .option("parquet.bloom.filter.fpp#alert_id", "0.0001")
         .option("parquet.bloom.filter.adaptive.enabled", "true")
         .partitionBy("alert_date")
     )
-    # the default timestamp layout has no minimum and maximum to prune by
-    with session_settings(spark, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}):
+    # the default timestamp layout has no minimum and maximum to prune by; longer lists of ids reach
+    # the reader only as their range
+    settings = {
+        "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+        "spark.sql.parquet.pushdown.inFilterThreshold": str(LOOKED_UP),
+    }
+    with session_settings(spark, settings):
         writer.parquet(path)
 
 
