@@ -89,3 +89,9 @@ def test_documents(spark, docs, odd_rows):
     assert got[300]["spans"] == "phone:5:19"
     assert P.find(docs([])).count() == 0
     assert [r["spans"] for r in P.find(docs([(1, "nothing here")])).collect()] == [""]
+
+
+def test_address_part_of_very_many_zeros():
+    part = "0" * 5000
+    text = f"x {part}1.2.{part}.4 y"
+    assert ("ip", 2, len(text) - 2) in P.base_spans(text)

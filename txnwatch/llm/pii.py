@@ -92,7 +92,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the four kinds, those that fail their check left out, in order."""
     found = [("email", a, b) for a, b in emails(text)]
     for m in IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split(".")):
+        if all(len(part) <= 3 and int(part or "0") <= 255 for part in (p.lstrip("0") for p in m[0].split("."))):
             found.append(("ip", *m.span()))
     for m in CARD.finditer(text):
         if m.end() - m.start() <= 40:
