@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import bpe, crf, cuckoo, langid, mixing, pii, quality_rules, ranking, simhash, warc
+from txnwatch.llm import (
+    bpe, conversations, crf, cuckoo, decontaminate, langid, mixing, pii, quality_rules, ranking, simhash, spelling, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,7 +78,32 @@ def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES: tuple[Query, ...] = (op1_personal_data, op2_simhash, op3_warc, op4_bpe, op5_language, op6_exact_dedup, op7_quality_ranking, op8_toxicity, op9_quality_rules, op10_mix_sources)
+def op11_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.find(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+def op12_repair(spark: SparkSession, sf: str) -> DataFrame:
+    rows = conversations.damaged(spark.read.parquet(f"{sf}/conversations.parquet"))
+    text = F.array_join(F.transform("repaired", lambda row: F.concat(row["role"], F.lit(":"), row["text"])), "\n")
+    return conversations.repair(rows, F.col("there")).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.sha2(text, 256).alias("repaired_sha256"),
+    )
+
+
+def op13_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(_documents(spark, sf))
+
+
+QUERIES: tuple[Query, ...] = (
+    op1_personal_data, op2_simhash, op3_warc, op4_bpe, op5_language, op6_exact_dedup, op7_quality_ranking,
+    op8_toxicity, op9_quality_rules, op10_mix_sources, op11_decontaminate, op12_repair, op13_spelling,
+)
 
 
 def registry() -> dict[str, Query]:
@@ -140,9 +167,61 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND inside AS kept
 FROM m JOIN j USING (rid)
+""",
+    "op11_decontaminate": r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+i AS MATERIALIZED (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+s AS (SELECT item_id, words, least(10, len(words)) AS n, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS pos
+      FROM i WHERE len(words) > 0),
+w AS MATERIALIZED (SELECT DISTINCT item_id, n, array_to_string(words[pos:pos + n - 1], ' ') AS piece FROM s),
+k AS (SELECT DISTINCT n FROM w),
+p AS (SELECT rid, words, n, unnest(range(1, len(words) - n + 2)) AS pos FROM d, k WHERE len(words) >= n),
+f AS MATERIALIZED (SELECT rid, pos, p.n, item_id FROM p JOIN w ON p.n = w.n AND array_to_string(words[pos:pos + p.n - 1], ' ') = piece),
+c AS (SELECT rid, count(DISTINCT place) AS n_hit FROM (SELECT rid, unnest(range(pos, pos + n)) AS place FROM f) GROUP BY rid),
+l AS (SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+      FROM (SELECT DISTINCT rid, item_id::VARCHAR AS id FROM f WHERE item_id IS NOT NULL) GROUP BY rid)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c USING (rid) LEFT JOIN l USING (rid)
+""",
+    # CRC-32 by its table, a byte at a time; pairs meet by equal words less one letter
+    "op13_spelling": r"""
+WITH RECURSIVE z AS (
+  SELECT b AS code, b::BIGINT AS v, 0 AS step FROM range(256) t(b)
+  UNION ALL SELECT code, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, step + 1 FROM z WHERE step < 8),
+y AS MATERIALIZED (SELECT list(v ORDER BY code) AS crc FROM z WHERE step = 8),
+r AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents),
+g AS MATERIALIZED (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM r GROUP BY ALL),
+x AS (SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS bytes FROM g),
+h AS (
+  SELECT run, n, xor(list_reduce(list_transform(range(0, length(bytes) // 2),
+           lambda i: (16 * (instr('0123456789ABCDEF', bytes[2 * i + 1]) - 1) + instr('0123456789ABCDEF', bytes[2 * i + 2]) - 1)::BIGINT),
+         lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS h
+  FROM x, y),
+q AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM h),
+w AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM q WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+v AS MATERIALIZED (SELECT word, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(0, length(word))) AS i FROM w)),
+e AS MATERIALIZED (
+  SELECT a.word AS a, b.word AS b FROM v a JOIN v b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM v a JOIN w b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM v a JOIN w b ON a.rest = b.word),
+f AS (SELECT a, b, w.n, row_number() OVER (PARTITION BY a ORDER BY w.n DESC, b) AS place, count(*) OVER (PARTITION BY a) AS n_near
+      FROM e JOIN w ON b = w.word),
+j AS MATERIALIZED (
+  SELECT word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN f.n >= 2 * w.n THEN b END AS form, CASE WHEN f.n >= 2 * w.n THEN f.n END AS form_n
+  FROM w LEFT JOIN f ON a = word AND place = 1),
+o AS (SELECT word, word AS root, form AS next FROM j
+      UNION ALL SELECT o.word, j.word, j.form FROM o JOIN j ON o.next = j.word)
+SELECT j.word, form, root, n, n_near, form_n FROM j JOIN o ON j.word = o.word AND next IS NULL
 """,
 }
 
 
 def oracles() -> dict[str, str]:
-    return dict(SQL)
+    return dict(SQL)
\ No newline at end of file
