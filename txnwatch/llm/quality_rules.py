@@ -211,5 +211,12 @@ def judge(docs: DataFrame, rules: Rules | None = None, keep: tuple[str, ...] | N
 
 
 def keep_good(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
-    """The documents that pass, with their own columns."""
-    return unpacked(judge(docs, rules).filter("_kept"))
+    """The documents that pass, with their own columns.
+
+    Whole rows are neither written nor shuffled: texts are measured once for the limits and once
+    more when they are judged, and the limits are written first, so Spark knows their size.
+    """
+    slim = docs.select("lang", "source", "text")
+    sketch = written(sketches(measured(slim, keep=("lang",))), "sketches")
+    limits = written(fences(sketch, rules or Rules()), "limits")
+    return unpacked(judged(measured(docs), limits).filter("_kept"))
