@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnwatch.llm import bpe, cuckoo, mixing, near as near_copies, quality_rules
+from txnwatch.llm import bpe, cuckoo, mixing, quality_rules, simhash
 from txnwatch.llm.catalog import vocabulary_path
 from txnwatch.llm.common import written
 
@@ -26,8 +26,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles 0.8 alike or more) the one with the smallest id stays."""
-    return near_copies.keep_one(docs)
+    """Operator 2: of each group of near copies the one with the smallest id stays."""
+    return simhash.keep_one(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
