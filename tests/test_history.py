@@ -8,7 +8,7 @@ from builders import START, history as rows_of
 from builders import transactions
 from txnwatch.functions import times
 from txnwatch.operators import analytics, history, latency, metrics, quality, rules
-from txnwatch.sources import tables
+from txnwatch.sources import ledger, tables
 
 NOW = START + timedelta(days=1)
 
@@ -95,9 +95,9 @@ def test_append_prunes_and_adds_once(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(alert_date" in plan
 
 
-@pytest.mark.parametrize("looked_up", [0, 500])
-def test_append_knows_an_alert_at_any_time(spark, tmp_path, monkeypatch, looked_up):
-    monkeypatch.setattr(tables, "LOOKED_UP", looked_up)
+@pytest.mark.parametrize("bucket_rows", [2, 200_000])
+def test_append_knows_an_alert_at_any_time(spark, tmp_path, monkeypatch, bucket_rows):
+    monkeypatch.setattr(ledger, "BUCKET_ROWS", bucket_rows)
     path = f"{tmp_path}/history"
     tables.append_history(rows_of(spark, [{} for _ in range(5)]), path)
     again = rows_of(spark, [{"alert_timestamp": START + timedelta(days=i)} for i in (2, 40, -3, 0, 9, 1)])

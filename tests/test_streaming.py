@@ -125,7 +125,7 @@ def test_cases_learn_new_alerts(spark, tmp_path):
     opening = history(spark, [{}, {}, {}])
     given = as_stream(spark, tmp_path / "commands", [commands(spark, log[i::3]) for i in range(3)])
     alerts = as_stream(spark, tmp_path / "alerts", [opening.filter("alert_id = 'a0001'"), opening.filter("alert_id <> 'a0001'")])
-    job = upkeep.case_states(alerts, given, f"{tmp_path}/out", f"{tmp_path}/c", buckets=2)
+    job = upkeep.case_states(alerts, given, f"{tmp_path}/out", f"{tmp_path}/c")
     assert job.awaitTermination(120)
     want = cases.status_events(opening, commands(spark, log))
     got = upkeep.current(spark, want.schema, f"{tmp_path}/out")

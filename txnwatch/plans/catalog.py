@@ -739,7 +739,7 @@ def stream_cases(spark, sf, late=False):
     alerts = views.as_alert_history(views.as_transactions(_stream(spark, sf, late)))
     commands = views.as_alert_commands(_stream(spark, sf, late))
     path, checkpoint = _folders(spark)
-    upkeep.case_states(alerts, commands, path, checkpoint, buckets=4).awaitTermination()
+    upkeep.case_states(alerts, commands, path, checkpoint).awaitTermination()
     layout = _status_events(spark, sf).schema
     return _status_columns(upkeep.current(spark, layout, path))
 

@@ -12,10 +12,7 @@ from pyspark.sql import types as T
 from txnwatch import schemas as S
 from txnwatch.functions import times
 from txnwatch.session import session_settings
-
-LOOKED_UP = 500
-"""New ids up to which an append asks the bloom filters; results don't depend on it."""
-
+from txnwatch.sources.ledger import Batch, Ledger, unseen
 
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int = 64) -> DataFrame:
     """A Parquet table (a folder of files, or one file) as a stream of its files.
@@ -50,25 +47,55 @@ def _stored_history(spark: SparkSession, path: str) -> DataFrame | None:
 def append_history(rows: DataFrame, path: str) -> None:
     """Add rows whose id is not stored yet; appending the same rows again adds nothing.
 
-    Ids are compared with the whole history, since an alert that is detected again may carry any
-    other time. Few new ids are looked up by the bloom filters on the id, which skip row groups
-    without reading them; for more, the id column is read.
-    The rebalance hint splits a busy day over several files and keeps quiet days
-    in one; rows are sorted by time inside a file so that its statistics prune,
-    and bloom filters on user and id let equality searches skip row groups.
+    Ids are compared with those of the whole history, since an alert that is detected again may
+    carry any other time. They are kept beside it, in buckets of bounded size (``ledger``): an
+    append reads the buckets its own ids fall into and writes its ids, whatever the history holds.
+
+    New rows are stored first, then added to the history, then their ids count. An append that
+    failed on the way is finished by the next one: of its stored rows those are added that the
+    history doesn't hold at their dates.
     """
     spark = rows.sparkSession
-    new = rows.dropDuplicates(["alert_id"])
-    stored = _stored_history(spark, path)
-    if stored is not None:
-        known = stored.select("alert_id")
-        some = rows.select("alert_id").distinct().limit(LOOKED_UP + 1).collect()
-        if len(some) <= LOOKED_UP:
-            known = known.filter(F.col("alert_id").isin([r[0] for r in some if r[0] is not None]))
-        new = new.join(known, "alert_id", "left_anti")
+    index = Ledger(spark, f"{path.rstrip('/')}/_ids")
+    batch = index.begin()
+    left = _staged(spark, index, batch.version)
+    if left is not None and not left.isEmpty():
+        _finish(batch, left, path, interrupted=True)
+        batch = index.begin()
+    slot = f"{index.path}/staged/slot{batch.version % 2}"
+    new = rows.select(*S.HISTORY.names).dropDuplicates(["alert_id"])
+    new.withColumn("_append", F.lit(batch.version).cast("long")).write.mode("overwrite").parquet(slot)
+    _finish(batch, _staged(spark, index, batch.version), path)
+
+
+def _staged(spark: SparkSession, index: Ledger, version: int) -> DataFrame | None:
+    """The rows of an append that was begun."""
+    layout = T.StructType([*S.HISTORY.fields, T.StructField("_append", T.LongType())])
+    try:
+        stored = spark.read.schema(layout).parquet(f"{index.path}/staged/slot{version % 2}")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return stored.filter(F.col("_append") == version).drop("_append")
+
+
+def _finish(batch: Batch, staged: DataFrame, path: str, interrupted: bool = False) -> None:
+    """Adds the staged rows with new ids to the history, then commits their ids.
+
+    The rebalance hint splits a busy day over several files and keeps quiet days in one; rows are
+    sorted by time inside a file so that its statistics prune, and bloom filters on user and id
+    let equality searches skip row groups.
+    """
+    new = unseen(batch, staged, "alert_id").withColumn("alert_date", F.to_date("alert_timestamp"))
+    if interrupted:
+        stored = _stored_history(staged.sparkSession, path)
+        if stored is not None:
+            there = stored.select(F.col("alert_id").alias("_id"), F.col("alert_date").alias("_date"))
+            same = (F.col("alert_id") == F.col("_id")) & F.col("alert_date").eqNullSafe(F.col("_date"))
+            new = new.join(there, same, "left_anti")
     writer = (
-        new.withColumn("alert_date", F.to_date("alert_timestamp"))
-        .hint("rebalance", "alert_date")
+        new.hint("rebalance", "alert_date")
         .sortWithinPartitions("alert_date", F.col("alert_timestamp").desc())
         .select(*S.HISTORY.names, "alert_date")
         .write.mode("append")
@@ -78,14 +105,10 @@ def append_history(rows: DataFrame, path: str) -> None:
         .option("parquet.bloom.filter.adaptive.enabled", "true")
         .partitionBy("alert_date")
     )
-    # the default timestamp layout has no minimum and maximum to prune by; longer lists of ids reach
-    # the reader only as their range
-    settings = {
-        "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
-        "spark.sql.parquet.pushdown.inFilterThreshold": str(LOOKED_UP),
-    }
-    with session_settings(spark, settings):
+    # the default timestamp layout has no minimum and maximum to prune by
+    with session_settings(staged.sparkSession, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}):
         writer.parquet(path)
+    batch.commit()
 
 
 def archive_split(

@@ -1,11 +1,15 @@
 """Stream results that don't depend on how rows fall into micro-batches.
 
 No watermark decides about a row, so none is dropped, however late it comes. Rows are stored
-in parts (a time slab, a date, a bucket of keys). A micro-batch adds its rows under its own
-number, then the parts it touched are computed again from what is stored and overwritten. A
-replayed batch overwrites its own rows; the result after any split of the input into batches
-is that of the batch operator over all of it. A batch reads and writes only the parts it
-touches. Counts need no rows: each batch leaves its partial counts, which are added on reading.
+in parts (a time slab, a date, a bucket of keys). A micro-batch adds its rows, then the parts it
+touched are computed again from what is stored and replaced; the result after any split of the
+input into batches is that of the batch operator over all of it. Counts need no rows: partial
+counts are added on reading. Cases carry each alert's state, so a batch looks up the alerts it
+names and computes nothing else again.
+
+What is stored is kept in a ``ledger``: a batch reads the folders it needs by name and counts
+from the moment its manifest is written, so a batch that is run again changes nothing, and a
+reader sees whole batches only. Folders are merged as batches come, and parts can expire.
 """
 
 from __future__ import annotations
@@ -19,9 +23,13 @@ from pyspark.sql import types as T
 from txnwatch import schemas as S
 from txnwatch.functions.times import floor_to
 from txnwatch.operators import cases, rules, trailing
+from txnwatch.sources.ledger import PART, VERSION, Batch, Ledger, bucket, unseen
 
-PART, BATCH = "_part", "_batch"
 INTERVAL = "60 seconds"
+NO_PART = -(1 << 62)
+"""The part of rows without a time (or key)."""
+KEY, AT = "_key", "_at"
+"""In tables whose rows replace one another: what names a row, and the batch that wrote it."""
 
 
 def each_batch(stream: DataFrame, handle, checkpoint: str, available_now: bool = True, interval: str = INTERVAL):
@@ -30,14 +38,6 @@ def each_batch(stream: DataFrame, handle, checkpoint: str, available_now: bool =
     return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def _put(rows: DataFrame, path: str, *parts: str) -> None:
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
-
-
-def _with(schema: T.StructType, *names: str) -> T.StructType:
-    return T.StructType([*schema.fields, *[T.StructField(name, T.LongType()) for name in names]])
-
-
 # --- parts that are computed again ----------------------------------------------------
 def keep_up(
     stream: DataFrame,
@@ -47,34 +47,70 @@ def keep_up(
     checkpoint: str,
     width: int = 1,
     reach: int = 0,
+    retain: int | None = None,
     **trigger,
 ):
     """Keeps ``evaluate`` of all rows so far as a table below ``path``; read it with ``current``.
 
-    ``part`` is a long; rows without one are left out. ``evaluate`` gets stored rows with
-    ``_part`` and returns rows with the ``_part`` they belong to. The result of a part may need
-    the rows of up to ``reach`` parts before it, ``width`` apart.
+    ``part`` is a long; rows without one are a part of their own. ``evaluate`` gets stored rows
+    with ``_part`` and returns rows with the ``_part`` they belong to. The result of a part may
+    need the rows of up to ``reach`` parts before it, ``width`` apart.
+
+    ``retain``: results more than this below the newest part expire, and with them the rows that
+    no later result can need. Rows that come later than that are kept, but not evaluated: see
+    ``set_aside``.
     """
-    layout = _with(stream.schema, PART, BATCH)
+    layout = stream.schema
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        arrived = batch.withColumn(PART, part.cast("long")).filter(F.col(PART).isNotNull())
-        _put(arrived.withColumn(BATCH, F.lit(batch_id).cast("long")), f"{path}/rows", PART, BATCH)
-        stored = spark.read.schema(layout).parquet(f"{path}/rows")
-        # the parts that got rows in this batch; their number is that of folders just written
-        near = lambda sign: F.explode(F.array(*[F.col(PART) + F.lit(sign * i * width) for i in range(reach + 1)]))
-        touched = stored.filter(F.col(BATCH) == batch_id).select(near(1).alias(PART)).distinct()
-        needed = touched.select(near(-1).alias(PART)).distinct()
-        result = evaluate(stored.drop(BATCH).join(needed, PART, "left_semi"))
-        _put(result.join(touched, PART, "left_semi"), f"{path}/result", PART)
+        book = Ledger(batch.sparkSession, path).begin(batch_id)
+        placed = F.coalesce(part.cast("long"), F.lit(NO_PART))
+        parts = book.append("rows", batch.withColumn(PART, placed))
+        if retain is not None:
+            newest = max((p.part for p in book.of("rows")), default=NO_PART)
+            edge, needs = newest - retain, newest - retain - reach * width
+            behind = [p for p in parts if NO_PART < p < needs]
+            if behind:
+                late = book.read("rows", layout, behind).filter(F.col(VERSION).startswith(f"{batch_id:012d}-"))
+                book.append("set_aside", late.drop(VERSION))
+            parts = [p for p in parts if p == NO_PART or p >= needs]
+        touched = sorted({p + i * width for p in parts for i in range(reach + 1 if p > NO_PART else 1)})
+        needed = {p - i * width for p in touched for i in range(reach + 1 if p > NO_PART else 1)}
+        wanted = batch.sparkSession.createDataFrame([(p,) for p in touched], f"{PART} long")
+        result = evaluate(book.read("rows", layout, needed).drop(VERSION))
+        result = result.withColumn(PART, F.coalesce(PART, F.lit(NO_PART))).join(wanted, PART, "left_semi")
+        book.replace("result", result, touched)
+        if retain is not None:
+            book.expire("rows", needs, keep=NO_PART)
+            book.expire("result", edge, keep=NO_PART)
+        book.compact("rows", layout)
+        book.commit()
 
     return each_batch(stream, refresh, checkpoint, **trigger)
 
 
 def current(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
-    """The table that ``keep_up`` maintains; ``schema`` without the part."""
-    return spark.read.schema(_with(schema, PART)).parquet(f"{path}/result").drop(PART)
+    """The table that a job maintains; ``schema`` without the part."""
+    book = Ledger(spark, path)
+    whole = book.read("result", schema).drop(PART, VERSION)
+    return whole.unionByName(latest(book.read("replaced", _keyed(schema))).drop(PART, VERSION))
+
+
+def set_aside(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """Rows that came after the results they belong to had expired."""
+    return Ledger(spark, path).read("set_aside", schema).drop(PART, VERSION)
+
+
+def _keyed(schema: T.StructType) -> T.StructType:
+    fields = [f for f in schema.fields if f.name not in (KEY, AT)]
+    return T.StructType([*fields, T.StructField(KEY, T.StringType()), T.StructField(AT, T.LongType())])
+
+
+def latest(rows: DataFrame, keep: bool = False) -> DataFrame:
+    """Of rows with one key those of the last batch; aggregates before its shuffle."""
+    others = [c for c in rows.columns if c != KEY]
+    newest = rows.groupBy(KEY).agg(F.max_by(F.struct(*others), AT).alias("_row")).select(KEY, "_row.*")
+    return newest if keep else newest.drop(KEY, AT)
 
 
 def detect(
@@ -93,7 +129,7 @@ def detect(
     ``windows``: any trailing-window rules that look back at most ``window_ms``. Parts are time
     slabs, at least a window wide. Late rows complete the windows they belong to: alerts appear,
     or their counts are corrected, as in the batch detection over all rows. Rows without a time
-    are in no slab; route them to the quarantine before.
+    meet the stateless rules only. ``retain`` is in milliseconds.
     """
     width = trailing.slab_width(window_ms, slab_ms)
 
@@ -126,41 +162,107 @@ def tumbling(
 
 
 def once(stream: DataFrame, path: str, checkpoint: str, time: str = "alert_ts", **trigger):
-    """Each alert id once, however far apart its copies come. Copies have the same time."""
-    day = F.unix_date(F.to_date(time))
+    """Each alert id once, however far apart its copies come and whatever times they carry.
 
-    def evaluate(alerts: DataFrame) -> DataFrame:
-        return alerts.dropDuplicates(["alert_id"])
+    The first copy counts: of the earliest batch, there of the earliest time. A batch reads the
+    buckets of ids that its own ids fall into.
+    """
+    first = F.struct(F.col(time).isNull().alias("none"), F.col(time).alias("time"), F.struct(*stream.columns).alias("row"))
 
-    return keep_up(stream, day, evaluate, path, checkpoint, **trigger)
+    def add(batch: DataFrame, batch_id: int) -> None:
+        book = Ledger(batch.sparkSession, path).begin(batch_id)
+        named = batch.filter(F.col("alert_id").isNotNull())
+        rows = named.groupBy("alert_id").agg(F.min(first).alias("_first")).select("_first.row.*")
+        rows = _stored(book, rows)
+        day = F.coalesce(F.unix_date(F.to_date(time)).cast("long"), F.lit(NO_PART))
+        book.append("result", unseen(book, rows, "alert_id").withColumn(PART, day))
+        book.compact("result", stream.schema)
+        book.commit()
 
+    return each_batch(stream, add, checkpoint, **trigger)
 
-def case_states(
-    alerts: DataFrame, commands: DataFrame, path: str, checkpoint: str, require_assignee: bool = False, buckets: int = 64, **trigger
-):
+
+def _stored(book: Batch, rows: DataFrame, name: str = "staged") -> DataFrame:
+    """Rows of one batch, written so that several uses share the work."""
+    path = f"{book.ledger.path}/{name}/slot{book.version % 2}"
+    rows.write.mode("overwrite").parquet(path)
+    return book.ledger.spark.read.schema(rows.schema).parquet(path)
+
+
+# --- cases -------------------------------------------------------------------------------
+STATE = ("status", "assigned_to", "action_note", "processed_at")
+
+
+def case_states(alerts: DataFrame, commands: DataFrame, path: str, checkpoint: str, require_assignee: bool = False, **trigger):
     """The state after each accepted command; alerts and commands both arrive as streams.
 
-    Parts are buckets of alert ids. Commands count from when their alert is known, also those
-    that came before it.
+    Each alert's state after its last command is carried. Commands later than that start from
+    it. Only an alert that gets an earlier command, or whose commands came before the alert
+    itself, is computed again, from its own commands. So a batch reads the buckets of the alerts
+    it names and writes what changed. ``(alert_id, ts, seq)`` names a command.
     """
-    both = alerts.select(
-        "alert_id", F.struct("status", "assigned_to", "action_note", "processed_at").alias("opening"),
-        F.lit(None).cast(_struct(commands)).alias("command"),
-    ).unionByName(
+    opening = ("alert_id", *STATE)
+    both = alerts.select("alert_id", F.struct(*STATE).alias("opening"), F.lit(None).cast(_struct(commands)).alias("command"))
+    both = both.unionByName(
         commands.select(
-            "alert_id", F.lit(None).cast(_struct(alerts, ("status", "assigned_to", "action_note", "processed_at"))).alias("opening"),
+            "alert_id", F.lit(None).cast(_struct(alerts, STATE)).alias("opening"),
             F.struct(*[c for c in commands.columns if c != "alert_id"]).alias("command"),
         )
     )
+    begun = T.StructType([alerts.schema[c] for c in opening])
+    carried = _keyed(T.StructType([*begun.fields, commands.schema["ts"], commands.schema["seq"]]))
+    last = F.struct("ts", "seq")
 
-    def evaluate(rows: DataFrame) -> DataFrame:
-        opened = rows.filter("opening IS NOT NULL").select("alert_id", "opening.*").dropDuplicates(["alert_id"])
-        given = rows.filter("command IS NOT NULL").select("alert_id", "command.*")
-        events = cases.status_events(opened, given, require_assignee)
-        return events.withColumn(PART, bucket)
-
-    bucket = F.pmod(F.xxhash64("alert_id"), F.lit(buckets))
-    return keep_up(both, bucket, evaluate, path, checkpoint, **trigger)
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        book = Ledger(batch.sparkSession, path).begin(batch_id)
+        arrived = _stored(book, batch)
+        given = arrived.filter("command IS NOT NULL").select("alert_id", "command.*").select(commands.columns)
+        given = given.filter(cases.accepted(require_assignee)).dropDuplicates(["alert_id", "ts", "seq"])
+        depth = book.deepen(
+            given.count(),
+            {"commands": (given.schema, "alert_id"), "opened": (begun, "alert_id"), "states": (carried, "alert_id"),
+             "replaced": (_keyed(_events_schema(begun, given.schema)), "alert_id")},
+        )
+        place = bucket(F.col("alert_id"), depth)
+        touched = [r[0] for r in arrived.select(place.alias("part")).distinct().collect()]
+        known = _stored(book, latest(book.read("states", carried, touched)), "known")
+        opened = arrived.filter("opening IS NOT NULL").select("alert_id", "opening.*").dropDuplicates(["alert_id"])
+        opened = opened.join(known, "alert_id", "left_anti")
+        earlier = book.read("commands", given.schema, touched).drop(PART, VERSION)
+
+        first = given.groupBy("alert_id").agg(F.min(last).alias("_first"))
+        met = known.join(first, "alert_id")
+        in_order = met.filter(F.col("ts").isNull() | (F.col("_first") > last)).drop("_first", "ts", "seq")
+        behind = met.filter(F.col("ts").isNotNull() & (F.col("_first") <= last)).select("alert_id")
+        restarted = book.read("opened", begun, touched).drop(PART, VERSION).join(behind, "alert_id", "left_semi")
+        restarted = restarted.unionByName(opened)
+        again = earlier.unionByName(given).join(restarted.select("alert_id"), "alert_id", "left_semi")
+        again = again.dropDuplicates(["alert_id", "ts", "seq"])
+        work = _stored(book, given.join(in_order, "alert_id", "left_semi").unionByName(again), "work")
+        starts = _stored(book, in_order.select(*opening).unionByName(restarted.select(*opening)), "starts")
+
+        events = cases.status_events(starts, work, require_assignee)
+        key = F.concat_ws("|", "alert_id", F.unix_micros("ts"), "seq")
+        at = F.lit(batch_id).cast("long")
+        states = cases.apply_commands(starts, work, require_assignee).join(
+            work.groupBy("alert_id").agg(F.max(last).alias("_last")), "alert_id", "left"
+        ).select(*opening, F.col("_last.ts").alias("ts"), F.col("_last.seq").alias("seq"))
+        book.append("replaced", events.withColumns({KEY: key, AT: at, PART: place}))
+        book.append("states", states.withColumns({KEY: F.col("alert_id"), AT: at, PART: place}))
+        book.append("commands", given.withColumn(PART, place))
+        book.append("opened", opened.withColumn(PART, place))
+        newest = lambda rows: latest(rows.drop(VERSION), keep=True)
+        book.compact("replaced", _keyed(events.schema), newest)
+        book.compact("states", carried, newest)
+        book.compact("commands", given.schema)
+        book.compact("opened", begun)
+        book.commit()
+
+    return each_batch(both, refresh, checkpoint, **trigger)
+
+
+def _events_schema(begun: T.StructType, given: T.StructType) -> T.StructType:
+    return T.StructType([begun["alert_id"], given["ts"], given["seq"], given["cmd"], *[begun[c] for c in STATE]])
 
 
 def _struct(rows: DataFrame, names: tuple[str, ...] | None = None) -> T.StructType:
@@ -168,24 +270,38 @@ def _struct(rows: DataFrame, names: tuple[str, ...] | None = None) -> T.StructTy
 
 
 # --- counts ----------------------------------------------------------------------------
-COUNTS = T.StructType([T.StructField(n, T.LongType()) for n in ("point_ms", "end_ms", "n", BATCH)])
+COUNTS = T.StructType([T.StructField(n, T.LongType()) for n in ("point_ms", "end_ms", "n")])
+COUNTS_PART_MS = 86_400_000
 
 
 def counts(
-    stream: DataFrame, path: str, checkpoint: str, time: str = "event_ts", step: str = "5 seconds", slide: str | None = None, **trigger
-):
-    """Rows per window as partial counts, one file set per batch; read them with ``total_counts``."""
+    stream: DataFrame, path: str, checkpoint: str, time: str = "event_ts", step: str = "5 seconds", slide: str | None = None,
+    retain_ms: int | None = None, **trigger,
+):
+    """Rows per window as partial counts, merged as batches come; read them with ``total_counts``.
+
+    Parts are days; with ``retain_ms`` days older than that, seen from the newest, expire.
+    """
+
+    def total(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("point_ms", "end_ms", PART).agg(F.sum("n").alias("n"))
 
     def add(batch: DataFrame, batch_id: int) -> None:
+        book = Ledger(batch.sparkSession, path).begin(batch_id)
         windows = F.window(time, step, slide) if slide else F.window(time, step)
         partial = batch.groupBy(windows.alias("w")).agg(F.count("*").alias("n")).select(
             F.unix_millis("w.start").alias("point_ms"), F.unix_millis("w.end").alias("end_ms"), "n"
         )
-        _put(partial.withColumn(BATCH, F.lit(batch_id).cast("long")), path, BATCH)
+        book.append("counts", partial.withColumn(PART, floor_to(F.col("point_ms"), COUNTS_PART_MS)))
+        book.compact("counts", COUNTS, total)
+        if retain_ms is not None:
+            newest = max((p.part for p in book.of("counts")), default=0)
+            book.expire("counts", newest - retain_ms)
+        book.commit()
 
     return each_batch(stream, add, checkpoint, **trigger)
 
 
 def total_counts(spark: SparkSession, path: str) -> DataFrame:
     """``point_ms, end_ms, n`` of every window that has rows, the last ones too."""
-    return spark.read.schema(COUNTS).parquet(path).groupBy("point_ms", "end_ms").agg(F.sum("n").alias("n"))
+    return Ledger(spark, path).read("counts", COUNTS).groupBy("point_ms", "end_ms").agg(F.sum("n").alias("n"))
