@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,7 @@ from txnwatch.operators import (
     metrics,
     quality,
     rules,
+    trailing,
 )
 from txnwatch.plans import views
 from txnwatch.session import shared_dir
@@ -283,6 +285,20 @@ def history_append(spark, sf):
     )
 
 
+def history_append_days(spark, sf):
+    """Every alert detected again, one to three days later, twice: the ids keep the first ones."""
+    path = shared_dir(spark, "history")
+    rows = views.alert_history(spark, sf)
+    tables.append_history(rows, path)
+    for days in (1, 3):
+        later = F.col("alert_timestamp") + F.make_dt_interval(days=F.lit(days))
+        tables.append_history(rows.withColumn("alert_timestamp", later), path)
+    stored = tables.read_history(spark, path)
+    return stored.groupBy(F.col("alert_date").cast("string").alias("alert_date")).agg(
+        F.count("*").alias("n"), F.sum("amount").alias("total_amount"), F.min("alert_id").alias("first_id")
+    )
+
+
 def archive_split(spark, sf):
     kept, archived = tables.archive_split(views.alert_history(spark, sf), AS_OF, days=10)
     return (
@@ -744,10 +760,148 @@ def stream_cases(spark, sf, late=False):
     return _status_columns(upkeep.current(spark, layout, path))
 
 
+def stream_dedup_days(spark, sf, late=False):
+    """Two runs of one job; in the second every alert comes again, a day later by its own time."""
+    folder, (path, checkpoint) = shared_dir(spark, "again"), _folders(spark)
+    files = LATE_FILES if late else 1
+    rows = views.events(spark, sf)
+    for days in (0, 1):
+        moved = rows.withColumn("ts", F.col("ts") + F.make_dt_interval(days=F.lit(days)))
+        for i in range(files):
+            # the second run's files hold other alerts together than the first one's
+            some = moved.filter(F.pmod(F.floor(F.col("event_id") / (1 + 2 * days)), F.lit(files)) == i)
+            some.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+        txns = views.as_transactions(tables.stream_table(spark, folder, "events", files_per_batch=1))
+        alerts = rules.stateless_alerts(txns, alert_ts=F.col("event_ts"), keep=("event_ts",)).select(
+            "alert_id", F.col("original_transaction.user_id").alias("user_id"), "rule_name", "event_ts"
+        )
+        upkeep.once(alerts, path, checkpoint, time="event_ts").awaitTermination()
+    return upkeep.current(spark, alerts.schema, path).select("alert_id", "user_id", "rule_name", _ms("event_ts").alias("event_ms"))
+
+
+def stream_retained(spark, sf, late=False):
+    """The alerts of the newest ten days; what is older has left the job's tables."""
+    txns = views.as_transactions(_stream(spark, sf, late))
+    path, checkpoint = _folders(spark)
+    upkeep.detect(
+        txns, path, checkpoint, windows=[rules.high_frequency(window_ms=DAY_MS)], window_ms=DAY_MS,
+        alert_ts=F.col("event_ts"), retain=10 * DAY_MS,
+    ).awaitTermination()
+    layout = rules.detect(views.transactions(spark, sf), alert_ts=F.col("event_ts")).schema
+    return _flat_alerts(upkeep.current(spark, layout, path))
+
+
+def stream_arrival(spark, sf, late=False):
+    """The frequency rule row by row in the order the source gives, times out of order."""
+    txns = views.as_transactions(_stream(spark, sf, late))
+    alerts = jobs.high_frequency(txns, window_ms=DAY_MS, order=("event_id",), alert_ts=F.col("event_ts"))
+    return _flat_alerts(_finish(alerts))
+
+
+def stream_timers(spark, sf):
+    """What the frequency rule still keeps per user after its timers, read back from the checkpoint."""
+    txns = views.as_transactions(_stream(spark, sf)).withWatermark("event_ts", "5 seconds")
+    path, checkpoint = _folders(spark)
+    alerts = jobs.high_frequency(txns, window_ms=DAY_MS, alert_ts=F.col("event_ts"), time_mode="EventTime")
+    jobs.to_table(alerts, path, checkpoint).awaitTermination()
+    return jobs.kept_times(spark, checkpoint).groupBy("user_id").agg(
+        F.count("*").alias("n_kept"), F.min("event_ms").alias("first_ms"), F.max("event_ms").alias("last_ms")
+    )
+
+
+def stream_restart(spark, sf):
+    """Detection that stops after some files, fails in a batch after it has written, and goes on."""
+    folder, (path, checkpoint) = shared_dir(spark, "restart"), _folders(spark)
+    rows = views.events(spark, sf)
+    failures = iter((False, False, False, True))
+    find = upkeep.detection(trailing.slab_width(DAY_MS), rules.STATELESS_RULES, [rules.high_frequency(window_ms=DAY_MS)], F.col("event_ts"))
+
+    def evaluate(stored: DataFrame) -> DataFrame:
+        if next(failures, False):
+            raise RuntimeError("a batch that fails on purpose")
+        return find(stored)
+
+    def run(files: range) -> None:
+        for i in files:
+            some = rows.filter(F.pmod("event_id", F.lit(LATE_FILES)) == i)
+            some.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+        txns = views.as_transactions(tables.stream_table(spark, folder, "events", files_per_batch=1))
+        width = trailing.slab_width(DAY_MS)
+        slab = times.floor_to(F.col("event_ms"), width)
+        try:
+            upkeep.keep_up(txns, slab, evaluate, path, checkpoint, width, 1).awaitTermination()
+        except StreamingQueryException as problem:
+            if "fails on purpose" not in str(problem):
+                raise
+
+    run(range(3))  # ends; a new query takes over its checkpoint
+    run(range(3, LATE_FILES))  # fails in the first of its batches
+    run(range(0))
+    layout = rules.detect(views.transactions(spark, sf), alert_ts=F.col("event_ts")).schema
+    return _flat_alerts(upkeep.current(spark, layout, path))
+
+
+def stream_rules(spark, sf):
+    """Rules that change while a stream runs, and back again; every batch keeps those it began with."""
+    folder, (path, checkpoint) = shared_dir(spark, "rules"), _folders(spark)
+    rows, every = views.events(spark, sf), rule_table(spark)
+    for i in range(LATE_FILES):
+        named = every if i < 2 else every.filter("rule_id IN ('r2', 'r4')") if i < 4 else every.filter("rule_id = 'r5'")
+        named.coalesce(1).write.mode("overwrite").parquet(f"{folder}/rules")
+        some = rows.filter(F.pmod("event_id", F.lit(LATE_FILES)) == i)
+        some.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+        txns = views.as_transactions(tables.stream_table(spark, folder, "events", files_per_batch=1))
+        jobs.dynamic_rules_to_table(txns, f"{folder}/rules", path, checkpoint).awaitTermination()
+    layout = dynamic_rules.dynamic_alerts(views.transactions(spark, sf), every, F.col("event_ts")).schema
+    stored = spark.read.schema(layout).parquet(path)
+    versions = jobs.used_rules(spark, path).groupBy("version").agg(F.count("*").alias("n_rules"))
+    alerts = _flat_alerts(stored)
+    event = F.substring_index("transaction_id", "-", -1).cast("long")
+    return alerts.join(versions, F.pmod(event, F.lit(LATE_FILES)) == F.col("version")).drop("version")
+
+
+def stream_watermark(spark, sf, late=False):
+    """Rows in time and rows behind a two-hour watermark, by hour."""
+    txns = views.as_transactions(_stream(spark, sf, late))
+    path, checkpoint = _folders(spark)
+    jobs.split_by_watermark(txns, path, checkpoint, delay_ms=2 * HOUR_MS).awaitTermination()
+    rows = jobs.split_rows(spark, txns.schema, path)
+    return rows.groupBy(times.floor_to(F.col("event_ms"), HOUR_MS).alias("point_ms")).agg(
+        F.count_if(~F.col("late")).alias("n_kept"), F.count_if("late").alias("n_late")
+    )
+
+
+def stream_latency(spark, sf):
+    """Alerts and transactions as two streams, joined inside ten minutes."""
+    folder, (path, checkpoint) = shared_dir(spark, "timed"), _folders(spark)
+    views.timed_alerts(spark, sf).coalesce(1).write.parquet(f"{folder}/alerts.parquet")
+    alerts = tables.stream_table(spark, folder, "alerts")
+    joined = jobs.join_latency(alerts, views.as_transactions(_stream(spark, sf)))
+    jobs.to_table(joined, path, checkpoint).awaitTermination()
+    found = spark.read.schema(joined.schema).parquet(path).filter("event_ts IS NOT NULL")
+    took = F.unix_micros("alert_timestamp") - F.unix_micros("event_ts")
+    return found.select("alert_id", took.alias("latency_us")).filter("latency_us >= 0")
+
+
+def stream_live_list(spark, sf):
+    """The newest alerts with the status events off the wire merged in, as one stream."""
+    folder, (path, checkpoint) = shared_dir(spark, "live"), _folders(spark)
+    records.encode_status_events(_status_events(spark, sf), keep=("seq",)).coalesce(1).write.parquet(f"{folder}/changes.parquet")
+    changes, _ = records.decode_status_events(tables.stream_table(spark, folder, "changes"))
+    alerts = views.as_alert_history(views.as_transactions(_stream(spark, sf)))
+    jobs.to_live_list(alerts, changes, path, checkpoint).awaitTermination()
+    return jobs.read_recent(spark, path, alerts.schema).select(
+        "alert_id", "status", "assigned_to", "action_note", _ms("processed_at").alias("processed_ms")
+    )
+
+
 STREAMS = (
     stream_detect, stream_detect_split, stream_multi_country, stream_tps, stream_dedup, stream_recent,
-    stream_cases, stream_decode, stream_alert_rate, stream_tumbling,
+    stream_cases, stream_decode, stream_alert_rate, stream_tumbling, stream_dedup_days, stream_retained,
+    stream_arrival, stream_watermark,
 )
+#: Jobs whose files and runs are part of the query.
+RUNS = (stream_timers, stream_restart, stream_rules, stream_latency, stream_live_list)
 
 
 def _late(run):
@@ -764,7 +918,7 @@ def registry() -> dict[str, Query]:
         apply_status_changes, new_alerts_only, status_counts, hourly_counts, hourly_counts_last_day, rule_stats,
         rule_coverage, txn_profile, report_csv, rule_csv, hourly_csv, latency_stats, latency_histogram, latency_unmatched, tps_series,
         alert_rate_series, alert_rate_visible, alert_warnings, metrics_summary, metric_backfill, metric_checks, tps_checks, service_checks, history_length_checks,
-        service_status, metrics_snapshot, high_frequency_tumbling, alert_display, *STREAMS,
+        service_status, metrics_snapshot, high_frequency_tumbling, alert_display, history_append_days, *STREAMS, *RUNS,
     ]
     found = {run.__name__: run for run in named}
     found |= {f"{run.__name__}_late": _late(run) for run in STREAMS}

@@ -287,6 +287,29 @@ _MATCHES = f"""{TXNS}, matched AS (
   UNION ALL SELECT *, 'r5', 'NOT_HOME', 'HIGH', concat('국외 거래: ', country_code) FROM txns WHERE country_code <> 'KR')"""
 
 
+def _arrivals(order: str) -> str:
+    """The frequency rule row by row: a time leaves when a row comes whose window is past it."""
+    return f"""WITH {TXNS},
+        o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY {order}) AS place FROM txns),
+        g AS (SELECT a.user_id, a.place, min(b.place) AS leaves FROM o a JOIN o b
+              ON a.user_id = b.user_id AND b.place > a.place AND b.event_ms > a.event_ms + {DAY_MS} GROUP BY 1, 2),
+        k AS (SELECT o.user_id, o.place, event_ms, coalesce(leaves, 1000000000) AS leaves FROM o LEFT JOIN g USING (user_id, place)),
+        c AS (SELECT b.event_id, count(DISTINCT a.event_ms) AS n FROM k a JOIN o b
+              ON a.user_id = b.user_id AND a.place <= b.place AND b.place < a.leaves GROUP BY 1),
+        frequent AS (SELECT txns.*, md5(concat(transaction_id, '|HIGH_FREQUENCY')) AS alert_id, 'STATEFUL_RULE' AS rule_type,
+          'HIGH_FREQUENCY' AS rule_name, 'HIGH' AS severity,
+          concat('빈번한 거래 (24시간 내 5회 초과): ', user_id, ', ', n, '회') AS reason FROM txns JOIN c USING (event_id) WHERE n > 5)
+        SELECT {FLAT} FROM frequent"""
+
+
+def _watermark(batch: str) -> str:
+    return f"""WITH {TXNS}, b AS (SELECT *, {batch} AS batch FROM txns),
+        m AS (SELECT batch, max(event_ms) AS top FROM b GROUP BY 1),
+        w AS (SELECT batch, max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 7200000 AS edge FROM m),
+        r AS (SELECT event_ms - event_ms % 3600000 AS point_ms, coalesce(event_ms < edge, FALSE) AS late FROM b JOIN w USING (batch))
+        SELECT point_ms, count(*) FILTER (NOT late) AS n_kept, count(*) FILTER (late) AS n_late FROM r GROUP BY 1"""
+
+
 def oracles() -> dict[str, str]:
     found = {
         "decode_quarantine": f"""WITH {TXNS}, r AS (
@@ -492,11 +515,30 @@ def oracles() -> dict[str, str]:
         "stream_alert_rate": f"""WITH {ALERTS}, s AS (SELECT event_ms - event_ms % 1800000 AS half FROM alerts),
             h AS (SELECT half - d * 1800000 AS point_ms, count(*) AS n FROM s, (VALUES (0), (1)) v(d) GROUP BY 1)
             SELECT point_ms, n FROM h""",
+        "stream_dedup_days": f"WITH {ALERTS} SELECT alert_id, user_id, rule_name, event_ms FROM alerts",
+        "stream_arrival": _arrivals("event_id"),
+        "stream_watermark": _watermark("0"),
+        "stream_timers": f"""WITH {TXNS}, e AS (SELECT user_id, max(event_ms) - {DAY_MS} AS edge FROM txns GROUP BY 1),
+            w AS (SELECT max(event_ms) - 5000 AS mark FROM txns),
+            k AS (SELECT DISTINCT user_id, event_ms FROM txns JOIN e USING (user_id), w WHERE event_ms >= edge AND event_ms + {DAY_MS} >= mark)
+            SELECT user_id, count(*) AS n_kept, min(event_ms) AS first_ms, max(event_ms) AS last_ms FROM k GROUP BY 1""",
+        "stream_rules": f"""WITH {_MATCHES}, n AS (SELECT *, event_id % 5 AS file FROM matched)
+            SELECT md5(concat(transaction_id, '|', rule_name)) AS alert_id, transaction_id, user_id, amount, 'SIMPLE_RULE' AS rule_type,
+              rule_name, severity, reason, time_text AS alert_timestamp, CASE WHEN file < 2 THEN 13 WHEN file < 4 THEN 2 ELSE 1 END AS n_rules
+            FROM n WHERE file < 2 OR (file < 4 AND rule_id IN ('r2', 'r4')) OR (file = 4 AND rule_id = 'r5')""",
+        "stream_latency": f"WITH {LATENCIES} SELECT alert_id, us AS latency_us FROM took",
         "stream_dedup": f"WITH {ALERTS} SELECT alert_id, user_id, rule_name FROM alerts",
     }
     for unit in ("day", "week", "month"):
         found[f"period_rollup_{unit}"] = _rollup(unit)
-    found["stream_detect"] = found["stream_detect_split"] = found["all_alerts"]
+    found["stream_detect"] = found["stream_detect_split"] = found["stream_restart"] = found["all_alerts"]
+    # parts are slabs of at least a window; the newest one and the ten days before it are there
+    found["stream_retained"] = f"""WITH x AS ({found["all_alerts"]}), y AS (SELECT *, epoch_ms(alert_timestamp::TIMESTAMP) AS ms FROM x),
+        e AS (SELECT max(epoch_us(ts) // 1000) AS top FROM events)
+        SELECT y.* EXCLUDE (ms) FROM y, e WHERE ms - ms % {DAY_MS} >= top - top % {DAY_MS} - 10 * {DAY_MS}"""
+    found["history_append_days"] = found["history_append"]
+    found["stream_live_list"] = f"""WITH {RECENT}, s AS ({found["apply_status_changes"]})
+        SELECT s.* FROM s JOIN recent USING (alert_id)"""
     found["rule_csv"], found["hourly_csv"] = found["rule_stats"], found["hourly_counts"]
     found["archive_written"] = found["archive_split"]
     found["history_search_deep"] = found["history_search_stored"] = found["history_search_page"]
@@ -504,5 +546,9 @@ def oracles() -> dict[str, str]:
     found["stream_decode"] = found["decode_quarantine"]
     found["stream_cases"] = found["status_events"]
     found["stream_multi_country"] = found["multi_country_alerts"]
-    found |= {f"{name}_late": sql for name, sql in found.items() if name.startswith("stream_")}
+    runs = {"stream_timers", "stream_restart", "stream_rules", "stream_latency", "stream_live_list"}
+    found |= {f"{name}_late": sql for name, sql in found.items() if name.startswith("stream_") and name not in runs}
+    # one file a batch: the files are dealt by number
+    found["stream_arrival_late"] = _arrivals("event_id % 5, event_id")
+    found["stream_watermark_late"] = _watermark("event_id % 5")
     return found

@@ -14,6 +14,7 @@ from txnwatch.functions import texts
 from txnwatch.operators import cases, rules
 from txnwatch.session import session_settings
 from txnwatch.sources import tables
+from txnwatch.sources.ledger import PART, VERSION, Ledger
 from txnwatch.streaming.state import TrailingCounter
 from txnwatch.streaming.upkeep import each_batch
 
@@ -61,6 +62,14 @@ def high_frequency(
     )
 
 
+def kept_times(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What ``high_frequency`` keeps, read back from its checkpoint: ``user_id, event_ms``."""
+    # the reader needs the provider that wrote the state
+    with session_settings(spark, {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB}):
+        state = spark.read.format("statestore").option("stateVarName", "times").load(checkpoint)
+    return state.select(F.col("key.user_id").alias("user_id"), F.col("user_map_key.ms").alias("event_ms"))
+
+
 # --- sinks ----------------------------------------------------------------------
 def to_table(
     stream: DataFrame,
@@ -115,6 +124,33 @@ def to_recent(stream: DataFrame, path: str, checkpoint: str, arrival: str = "ale
     return each_batch(stream, merge, checkpoint, **trigger)
 
 
+def to_live_list(alerts: DataFrame, changes: DataFrame, path: str, checkpoint: str, arrival: str = "alert_timestamp", **trigger):
+    """The newest alerts with their status changes merged in, as ``to_recent`` keeps them.
+
+    ``changes``: decoded status events (``alert_id, seq, status, change``). A batch's new alerts
+    join the list before its changes apply; a change to an alert that isn't listed has no effect.
+    Read it with ``read_recent``.
+    """
+    layout, given = alerts.schema, changes.select("alert_id", "seq", "status", "change")
+    nothing = lambda schema: F.lit(None).cast(schema)
+    both = alerts.select(F.struct(*alerts.columns).alias("alert"), nothing(given.schema).alias("change")).unionByName(
+        given.select(nothing(layout).alias("alert"), F.struct(*given.columns).alias("change"))
+    )
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        listed = batch.filter("alert IS NOT NULL").select("alert.*")
+        if batch_id > 0:
+            old = spark.read.schema(layout).parquet(f"{path}/slot={(batch_id - 1) % 2}")
+            # an alert that comes again keeps its state
+            listed = old.unionByName(listed.join(old.select("alert_id"), "alert_id", "left_anti").select(old.columns))
+        newest = cases.recent(listed.dropDuplicates(["alert_id"]), arrival=arrival)
+        changed = cases.apply_status_events(newest, batch.filter("change IS NOT NULL").select("change.*"))
+        changed.withColumn("_batch", F.lit(batch_id)).coalesce(1).write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+
+    return each_batch(both, merge, checkpoint, **trigger)
+
+
 def read_recent(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The newest complete slot; ``schema`` is that of the stream."""
     layout = T.StructType([*schema.fields, T.StructField("_batch", T.IntegerType())])
@@ -129,17 +165,90 @@ def read_recent(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 
 def dynamic_rules_to_table(stream: DataFrame, rules_path: str, path: str, checkpoint: str, **trigger):
-    """Match each micro-batch against the rule table as it is at that moment.
+    """Match each micro-batch against the rule table as it is when the batch first runs.
 
-    With a short ``interval`` a changed rule acts on the next batch, without a restart.
+    The rules a batch uses are stored under its number before it matches anything, so a batch
+    that is run again gives the same alerts, whatever became of the rules. With a short
+    ``interval`` a changed rule acts on the next batch, without a restart. ``used_rules`` reads
+    the stored versions.
     """
     from txnwatch.operators import dynamic_rules
 
     def match(batch: DataFrame, batch_id: int) -> None:
-        current = tables.read_rules(batch.sparkSession, rules_path)
-        alerts = dynamic_rules.dynamic_alerts(batch, current, alert_ts=F.col("event_ts"))
+        spark, version = batch.sparkSession, f"{path}/_rules/version={batch_id}"
+        if not _written_whole(spark, version):
+            tables.read_rules(spark, rules_path).coalesce(1).write.mode("overwrite").parquet(version)
+        alerts = dynamic_rules.dynamic_alerts(batch, tables.read_rules(spark, version), alert_ts=F.col("event_ts"))
         alerts.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch").option(
             "partitionOverwriteMode", "dynamic"
         ).parquet(path)
 
     return each_batch(stream, match, checkpoint, **trigger)
+
+
+def _written_whole(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the folder ended: Spark leaves its mark last."""
+    try:
+        return not spark.read.format("binaryFile").load(f"{path}/_SUCCESS").isEmpty()
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
+def used_rules(spark: SparkSession, path: str) -> DataFrame:
+    """The rules of every batch, with its number as ``version``."""
+    layout = T.StructType([*S.RULES.fields, T.StructField("version", T.LongType())])
+    return spark.read.schema(layout).option("basePath", f"{path}/_rules").parquet(f"{path}/_rules/version=*")
+
+
+# --- watermark ------------------------------------------------------------------
+def split_by_watermark(stream: DataFrame, path: str, checkpoint: str, time: str = "event_ts", delay_ms: int = 5_000, **trigger):
+    """Rows in time and rows behind the watermark, as two tables that together hold every row.
+
+    The watermark of a batch is the greatest time of the batches before it less ``delay_ms``, as
+    Spark's own; it is kept in the manifest's table, so a batch that is run again splits alike.
+    A windowed count with that watermark over the rows in time (``kept``) drops none of them.
+    Rows without a time are in time.
+    """
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        book = Ledger(spark, path).begin(batch_id)
+        so_far = book.read("reached", _REACHED).agg(F.max("ms")).first()[0]
+        edge = None if so_far is None else so_far - delay_ms
+        late = F.lit(False) if edge is None else F.coalesce(F.unix_millis(time) < edge, F.lit(False))
+        rows = batch.withColumn(PART, F.lit(batch_id).cast("long"))
+        book.append("kept", rows.filter(~late))
+        book.append("late", rows.filter(late))
+        here = batch.agg(F.max(F.unix_millis(time)).alias("ms")).filter("ms IS NOT NULL")
+        book.append("reached", here.withColumn(PART, F.lit(0).cast("long")))
+        book.compact("reached", _REACHED, lambda r: r.groupBy(PART).agg(F.max("ms").alias("ms")))
+        book.commit()
+
+    return each_batch(stream, split, checkpoint, **trigger)
+
+
+_REACHED = T.StructType([T.StructField("ms", T.LongType())])
+
+
+def split_rows(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """Every row with ``late``: whether it came behind the watermark."""
+    book = Ledger(spark, path)
+    kept = book.read("kept", schema).withColumn("late", F.lit(False))
+    return kept.unionByName(book.read("late", schema).withColumn("late", F.lit(True))).drop(PART, VERSION)
+
+
+# --- latency ---------------------------------------------------------------------
+def join_latency(alerts: DataFrame, transactions: DataFrame, bound: str = "10 minutes", delay: str = "5 seconds") -> DataFrame:
+    """Alerts with their transaction's time, both as streams; ``event_ts`` is null where none came within ``bound``.
+
+    Matches leave at once. State is dropped, and an alert without a transaction is reported, when
+    the watermark passes the bound. Give transactions unique ids.
+    """
+    left = alerts.withWatermark("alert_timestamp", delay)
+    right = transactions.select(F.col("transaction_id").alias("_txn"), "event_ts").withWatermark("event_ts", delay)
+    near = F.col("event_ts").between(
+        F.col("alert_timestamp") - F.expr(f"INTERVAL {bound}"), F.col("alert_timestamp") + F.expr(f"INTERVAL {bound}")
+    )
+    return left.join(right, (F.col("transaction_id") == F.col("_txn")) & near, "left").drop("_txn")

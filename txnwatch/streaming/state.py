@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-_TIMES = T.StructType([T.StructField("times", T.ArrayType(T.LongType()))])
+_TIME = T.StructType([T.StructField("ms", T.LongType())])
+_ONE = T.StructType([T.StructField("n", T.IntegerType())])
 
 
 def count_arrivals(kept: list[int], arriving: list[int], window_ms: int) -> tuple[list[int], list[int]]:
@@ -42,32 +43,32 @@ class TrailingCounter(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.times = handle.getValueState("times", _TIMES, self.ttl_ms)
-
-    def _kept(self) -> list[int]:
-        value = self.times.get()
-        return list(value[0]) if value and value[0] is not None else []
+        # an entry per time: a batch writes the times that came and removes those that left
+        self.times = handle.getMapState("times", _TIME, _ONE, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
         order = sorted(name for name in batch.columns if name.startswith("_o"))
         batch = batch.sort_values(order, kind="stable")
-        counts, kept = count_arrivals(self._kept(), batch["event_ms"].tolist(), self.window_ms)
-        self.times.update((kept,))
-        if self.timers:
-            self.handle.registerTimer(int(batch["event_ms"].max()) + self.window_ms)
+        before = sorted(int(k[0]) for k in self.times.keys())
+        counts, kept = count_arrivals(before, batch["event_ms"].tolist(), self.window_ms)
+        gone, come = set(before) - set(kept), set(kept) - set(before)
+        for t in sorted(gone):
+            self.times.removeKey((t,))
+        for t in sorted(come):
+            self.times.updateValue((t,), (1,))
+            if self.timers:
+                self.handle.registerTimer(t + self.window_ms)
         counts = np.array(counts)
         hit = counts > self.threshold
         yield batch.loc[hit, self.columns].assign(n=counts[hit])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """An idle key forgets the times the timer stands for."""
+        """A time's timer removes it and what is older."""
         edge = expiredTimerInfo.getExpiryTimeInMs() - self.window_ms
-        left = [t for t in self._kept() if t > edge]
-        if len(left):
-            self.times.update((left,))
-        else:
-            self.times.clear()
+        for t in [int(k[0]) for k in self.times.keys()]:
+            if t <= edge:
+                self.times.removeKey((t,))
         yield pd.DataFrame()
 
     def close(self) -> None:

@@ -132,6 +132,12 @@ def detect(
     meet the stateless rules only. ``retain`` is in milliseconds.
     """
     width = trailing.slab_width(window_ms, slab_ms)
+    evaluate = detection(width, stateless, windows, alert_ts)
+    return keep_up(stream, floor_to(F.col("event_ms"), width), evaluate, path, checkpoint, width, 1, **trigger)
+
+
+def detection(width: int, stateless, windows, alert_ts: Column | None = None) -> Callable[[DataFrame], DataFrame]:
+    """What ``detect`` does with stored rows: the alerts of all rules, each in the slab of its time."""
 
     def evaluate(rows: DataFrame) -> DataFrame:
         found = rules.stateless_alerts(rows, stateless, alert_ts, keep=("event_ms",))
@@ -139,7 +145,7 @@ def detect(
             found = found.unionByName(rules.window_alerts(rows, rule, alert_ts, keep=("event_ms",)))
         return found.withColumn(PART, floor_to(F.col("event_ms"), width)).drop("event_ms")
 
-    return keep_up(stream, floor_to(F.col("event_ms"), width), evaluate, path, checkpoint, width, 1, **trigger)
+    return evaluate
 
 
 def tumbling(
