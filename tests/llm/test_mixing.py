@@ -98,3 +98,20 @@ def test_many_sources_rank_by_code_point(spark):
     got = {r["source"]: r["rank"] for r in M.ranked_sources(rows).collect()}
     order = sorted((n for n in names if n is not None), key=lambda s: s.encode()) + [None]
     assert got == {n: i for i, n in enumerate(order)}
+
+
+def test_rows_without_an_id_of_their_own_keep_the_target(spark, docs):
+    """A third of the ids null and a third repeated: what ``repeat`` gives is what ``mix`` says."""
+    rows = rows_of(4, {"a": 6, "b": 1, "c": 2}, 300)
+    rows = [((None, 7, r[0])[i % 3], *r[1:]) for i, r in enumerate(rows)]
+    words = Counter()
+    for r in M.repeat(docs(rows)).collect():
+        words[r["source"]] += len((r["text"] or "").split())
+    plan, size = Counter(), {}
+    for r in M.mix(docs(rows)).collect():
+        plan[r["source"]] += r["copies"] * r["size"]
+        size[r["source"]] = r["target"]
+    assert len(M.mix(docs(rows)).collect()) == len(rows)
+    for source, target in size.items():
+        assert abs(words[source] - target) <= 0.02 * target + 20, source
+        assert abs(plan[source] - target) <= 0.02 * target + 20, source

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnwatch.session import shared_dir
@@ -56,9 +56,11 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def bounded_sample(
-    docs: DataFrame, kinds: DataFrame, per_kind: int, max_bytes: int, max_kinds: int = 500
-) -> list[tuple]:
+MOST_TEXTS = 100_000
+"""Texts of a sample in all; with very many kinds each gets fewer."""
+
+
+def bounded_sample(docs: DataFrame, kinds: DataFrame, per_kind: int, max_bytes: int) -> list[tuple]:
     """``(kind, text)`` of at most ``per_kind`` documents of each kind, spread by a hash; for fitting only.
 
     ``kinds``: ``_id, _kind``. Documents are chosen by id, size and hash; only the texts of the
@@ -68,17 +70,18 @@ def bounded_sample(
     texts = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_hash"))
     slim = texts.filter(F.octet_length("text") <= max_bytes).select("doc_id", "_hash").distinct()
     slim = written(slim.join(kinds, F.col("doc_id") == F.col("_id")).select("_kind", "doc_id", "_hash"), "sample")
-    counts = {r[0]: r[1] for r in slim.groupBy("_kind").agg(F.count("*")).limit(max_kinds + 1).collect()}
-    if len(counts) > max_kinds:
-        raise ValueError(f"more than {max_kinds} kinds of documents")
-    chosen = []
-    for kind in sorted(counts, key=str):
-        # twice the share that is wanted, then the first of them by hash
-        share = min(1.0, 2.0 * per_kind / counts[kind])
-        some = slim.filter(F.col("_kind") == kind).filter(F.pmod("_hash", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-        chosen += some.orderBy("_hash", "doc_id").limit(per_kind).collect()
+    counts = written(slim.groupBy(F.col("_kind").alias("_k")).agg(F.count("*").alias("_n")), "kinds")
+    each = min(per_kind, MOST_TEXTS // max(1, counts.count()) + 1)
+    # twice the share that is wanted, then the first of them by hash: a bounded number of rows per kind
+    share = F.least(F.lit(1.0), F.lit(2.0 * each) / F.col("_n"))
+    some = slim.join(counts, F.col("_kind") == F.col("_k")).filter(
+        F.pmod("_hash", F.lit(1 << 20)) < F.floor(share * (1 << 20)) + 1
+    )
+    place = F.row_number().over(Window.partitionBy("_kind").orderBy("_hash", "doc_id"))
+    chosen = some.withColumn("_place", place).filter(F.col("_place") <= each).select("_kind", "doc_id", "_hash").collect()
     if not chosen:
         return []
+    chosen.sort(key=lambda r: (str(r["_kind"]), r["_hash"], r["doc_id"]))
     wanted = docs.sparkSession.createDataFrame([(r["doc_id"], r["_hash"]) for r in chosen], "_wanted long, _h long")
     found = texts.join(F.broadcast(wanted), (F.col("doc_id") == F.col("_wanted")) & (F.col("_hash") == F.col("_h")))
     text_of = {(r["doc_id"], r["_hash"]): r["text"] for r in found.select("doc_id", "_hash", "text").collect()}

@@ -10,7 +10,8 @@ takes the copies that bring the running total closest to the running target, so
 documents miss short ones make up for. A source's longest documents come first and together:
 those above a thousandth of its words, of which there are fewer than a thousand. Its others
 follow at the rate that what is left calls for, in blocks of a bounded number of rows, whatever
-share of all rows the source has.
+share of all rows the source has. Blocks are dealt by id; rows whose id is null or repeats get a
+number of their own, by which they are dealt and by which copies find their rows.
 
 Targets share the words of all documents by weight, stop at ``cap`` times a source's words, and
 the excess is shared again by weight until no source is above.
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 
 from txnwatch.llm.common import ROW, WORD, packed, whole_text, written
 
+NUMBER = "_number"
+
 CAP = 3
 BLOCK_ROWS = 2_000
 LONG_SHARE = 1_000
@@ -111,6 +114,8 @@ def multipliers(cells: DataFrame, targets: DataFrame) -> DataFrame:
         )
         if (rows.agg(F.max("off")).first()[0] or 0.0) < TOLERANCE:
             break
+    else:
+        raise RuntimeError(f"the dual has not converged after {MAX_STEPS} steps")
     return rows.select("source", "lambda")
 
 
@@ -140,17 +145,17 @@ def copies(sizes: np.ndarray, rate: float, cap: int = CAP, after: float = 0.0) -
     return out
 
 
-ROUNDED = "doc_id bigint, source string, size bigint, source_size bigint, target double, copies bigint"
+ROUNDED = f"doc_id bigint, {NUMBER} bigint, source string, size bigint, source_size bigint, target double, copies bigint"
 
 
 def _rounded(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable")
+    rows = rows.sort_values(["size", "doc_id", NUMBER], ascending=[False, True, True], kind="stable")
     rows["copies"] = copies(rows["size"].to_numpy(), float(rows["rate"].iloc[0]), after=float(rows["after"].iloc[0]))
-    return rows[["doc_id", "source", "size", "source_size", "target", "copies"]]
+    return rows[["doc_id", NUMBER, "source", "size", "source_size", "target", "copies"]]
 
 
 def rounded(rows: DataFrame) -> DataFrame:
-    """Copies for ``doc_id, source, size, source_size, target, rate``: long documents, then the others."""
+    """Copies for ``doc_id, _number, source, size, source_size, target, rate``: long documents, then the others."""
     is_long = F.col("size") * LONG_SHARE > F.col("source_size")
     rows = written(rows, "rated")
     tails = rows.filter(~is_long).groupBy(F.col("source").alias("_s")).agg(
@@ -161,7 +166,7 @@ def rounded(rows: DataFrame) -> DataFrame:
     long = written(
         rows.filter(is_long).join(tails, same, "left")
         .withColumn("after", F.coalesce("tail_size", F.lit(0)).cast("double"))
-        .select("doc_id", "source", "size", "source_size", "target", "rate", "after")
+        .select("doc_id", NUMBER, "source", "size", "source_size", "target", "rate", "after")
         .groupBy("source").applyInPandas(_rounded, ROUNDED),
         "long",
     )
@@ -174,22 +179,36 @@ def rounded(rows: DataFrame) -> DataFrame:
     rate = F.coalesce((F.col("target") - F.col("taken")) / F.nullif(F.col("tail_size"), F.lit(0)), F.lit(0.0))
     short = (
         rows.filter(~is_long).join(left, same)
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
-        .select("doc_id", "source", "size", "source_size", "target", "block",
+        .withColumn("block", F.pmod(F.xxhash64("doc_id", NUMBER), F.col("blocks")))
+        .select("doc_id", NUMBER, "source", "size", "source_size", "target", "block",
                 F.greatest(F.lit(0.0), F.least(F.lit(float(CAP)), rate)).alias("rate"), F.lit(0.0).alias("after"))
         .groupBy("source", "block").applyInPandas(_rounded, ROUNDED)
     )
     return long.unionByName(short)
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3)) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, copies``."""
-    sizes = written(
-        docs.select(
-            "doc_id", "source", F.regexp_count(whole_text(), F.lit(WORD)).cast("long").alias("size")
-        ),
-        "sizes",
-    )
+def numbered(rows: DataFrame) -> DataFrame:
+    """Adds ``_number``: 0 where the id is the row's alone, else a number of the row's own, written with it.
+
+    Usually no id repeats, and nothing is written but the empty list of such ids.
+    """
+    again = rows.groupBy(F.col("doc_id").alias("_again")).agg(F.count("*").alias("_n"))
+    again = written(again.filter("_n > 1 OR _again IS NULL").select("_again"), "repeated-ids")
+    if again.isEmpty():
+        return rows.withColumn(NUMBER, F.lit(0).cast("long"))
+    same = F.col("doc_id").eqNullSafe(F.col("_again"))
+    alone = rows.join(again, same, "left_anti").withColumn(NUMBER, F.lit(0).cast("long"))
+    shared = rows.join(again, same, "left_semi").withColumn(NUMBER, F.monotonically_increasing_id() + 1)
+    return alone.unionByName(written(shared, "repeated-rows"))
+
+
+def _sizes(docs: DataFrame) -> DataFrame:
+    size = F.regexp_count(whole_text(), F.lit(WORD)).cast("long").alias("size")
+    return docs.select("doc_id", *[c for c in (NUMBER,) if c in docs.columns], "source", size)
+
+
+def _mixed(sizes: DataFrame, weights: Sequence[float]) -> DataFrame:
+    """Copies of ``doc_id, _number, source, size``, which are stored."""
     cells = written(sizes.groupBy("source", "size").agg(F.count("*").alias("n")), "cells")
     totals = cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     targets = with_targets(totals, weights)
@@ -205,16 +224,20 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3)) -> DataFrame:
     return rounded(rows)
 
 
-def repeat(docs: DataFrame, weights: Sequence[float] = (1, 2, 3)) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, with their own columns.
+def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3)) -> DataFrame:
+    """One row per document: ``doc_id, source, size, source_size, target, copies``."""
+    return _mixed(numbered(written(_sizes(docs.select("doc_id", "source", "text")), "sizes")), weights).drop(NUMBER)
 
-    Documents go by ``doc_id``. Where an id repeats, its rows all take the copies of the first
-    (the most copies), so ids should be unique.
-    """
-    taken = mix(docs, weights).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    rows = docs.select(packed(docs), F.col("doc_id").alias("_doc"))
+
+def repeat(docs: DataFrame, weights: Sequence[float] = (1, 2, 3)) -> DataFrame:
+    """The documents of the mix, each row as often as it is taken, with their own columns."""
+    slim = numbered(docs.select(packed(docs), "doc_id", "source", "text"))
+    taken = _mixed(written(_sizes(slim), "sizes"), weights).filter("copies > 0").select(
+        F.col("doc_id").alias("_id"), F.col(NUMBER).alias("_their"), "copies"
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(NUMBER) == F.col("_their"))
     return (
-        rows.join(taken.filter("_copies > 0"), F.col("_doc").eqNullSafe(F.col("_id")))
-        .select(ROW, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
+        slim.select(ROW, "doc_id", NUMBER).join(taken, same)
+        .select(ROW, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy"))
         .select(f"{ROW}.*")
     )

@@ -239,9 +239,14 @@ def _inputs(kinds: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return np.hstack([one_hot, flags]).astype(float)
 
 
+EVIDENCE = 1e5
+"""What all candidates together weigh against the classifier's prior."""
+
+
 def classifier(kinds: np.ndarray, bits: np.ndarray, soft: np.ndarray, counts: np.ndarray, steps: int = 30) -> np.ndarray:
     """Weights of a logistic regression on soft labels, by Newton steps."""
-    x, weight = _inputs(kinds, bits), np.minimum(counts, 1e6).astype(float)
+    # shares, so that a corpus of any size gives the same weights
+    x, weight = _inputs(kinds, bits), counts * (EVIDENCE / counts.sum())
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
