@@ -4,13 +4,14 @@ from datetime import timedelta
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 import test_cases
 from builders import BASE_MS, START, commands, history, transactions
 from txnwatch import schemas as S
-from txnwatch.operators import cases, rules
-from txnwatch.sources import tables
+from txnwatch.operators import cases, dynamic_rules, rules
+from txnwatch.sources import ledger, records, tables
 from txnwatch.streaming import jobs, upkeep
 from txnwatch.streaming.state import count_arrivals
 
@@ -155,6 +156,140 @@ def test_history_sink_and_dedup(spark, tmp_path):
     assert upkeep.current(spark, rows.schema, f"{tmp_path}/once").count() == 5
 
 
+def test_history_sink_knows_copies_of_other_days(spark, tmp_path):
+    days = [history(spark, [{"alert_timestamp": START + timedelta(days=d)} for _ in range(3)]) for d in (0, 1, 40)]
+    stream = as_stream(spark, tmp_path, days)
+    assert upkeep.once(stream, f"{tmp_path}/once", f"{tmp_path}/c", time="alert_timestamp").awaitTermination(120)
+    got = upkeep.current(spark, days[0].schema, f"{tmp_path}/once")
+    assert {(r.alert_id, r.alert_timestamp) for r in got.collect()} == {(f"a{i:04d}", START) for i in range(3)}
+    assert got.count() == 3
+
+
+def test_rows_without_a_time_meet_the_stateless_rules(spark, tmp_path):
+    rows = transactions(spark, [{"id": f"t{i}", "ms": i * 1000, "country": "US"} for i in range(8)])
+    untimed = F.col("transaction_id").isin("t2", "t5")
+    rows = rows.withColumns({c: F.when(~untimed, F.col(c)) for c in ("event_ms", "event_ts")})
+    stream = as_stream(spark, tmp_path, [rows.limit(4), rows.subtract(rows.limit(4))])
+    rule = rules.high_frequency(4, 60_000)
+    upkeep.detect(stream, f"{tmp_path}/out", f"{tmp_path}/c", windows=[rule], window_ms=60_000, alert_ts=F.lit(START)).awaitTermination(120)
+    want = rules.detect(rows, windows=[rule], alert_ts=F.lit(START))
+    got = upkeep.current(spark, want.schema, f"{tmp_path}/out")
+    assert got.count() == want.count() == 10
+    assert got.exceptAll(want).count() == 0
+
+
+def test_what_expired_and_what_came_too_late(spark, tmp_path):
+    minute = 60_000
+    batches = [[0, minute], [30 * minute, 31 * minute], [500, 31 * minute + 1]]
+    stream = as_stream(spark, tmp_path, arriving(spark, batches))
+    job = upkeep.detect(
+        stream, f"{tmp_path}/out", f"{tmp_path}/c", windows=[rules.high_frequency(1, minute, minute)], window_ms=minute,
+        slab_ms=minute, alert_ts=F.col("event_ts"), retain=5 * minute,
+    )
+    assert job.awaitTermination(120)
+    layout = rules.detect(transactions(spark, [{}]), alert_ts=F.col("event_ts")).schema
+    got = upkeep.current(spark, layout, f"{tmp_path}/out").collect()
+    # the pairs of the first minutes have left; the row of the third batch that belongs to them is set aside
+    assert sorted(r.original_transaction.transaction_id for r in got) == ["r0003", "r0005"]
+    late = upkeep.set_aside(spark, stream.schema, f"{tmp_path}/out").collect()
+    assert [r.transaction_id for r in late] == ["r0004"]
+
+
+def test_a_batch_of_cases_reads_what_it_names(spark, tmp_path, monkeypatch):
+    """The alerts known grow fivefold; a batch of three commands reads no more rows than before."""
+    read = []
+    monkeypatch.setattr(ledger, "BUCKET_ROWS", 20)
+    commit = ledger.Batch.commit
+    monkeypatch.setattr(ledger.Batch, "commit", lambda self: (read.append(self.rows_read), commit(self))[1])
+    log = lambda ids, start: commands(spark, [
+        {"alert_id": f"a{i:04d}", "seq": start + k, "ts": START + timedelta(seconds=start + k), "status": "IN_PROGRESS"}
+        for k, i in enumerate(ids)
+    ])
+    every = history(spark, [{} for _ in range(400)])
+    bulk = [log(range(80), 0), log(range(80, 400), 1_000)]
+    few = [log([3, 50, 70], 500), log([5, 60, 399], 5_000)]
+    layout = cases.status_events(every, bulk[0]).schema
+    for i, (lo, hi) in enumerate(((0, 80), (80, 400))):
+        alerts = as_stream(spark, tmp_path / "alerts", [every.filter(f"alert_id >= 'a{lo:04d}' AND alert_id < 'a{hi:04d}'")])
+        for given in (bulk[i], few[i]):
+            stream = as_stream(spark, tmp_path / "commands", [given])
+            job = upkeep.case_states(alerts, stream, f"{tmp_path}/out", f"{tmp_path}/c")
+            assert job.awaitTermination(120)
+    want = cases.status_events(every, bulk[0].unionByName(bulk[1]).unionByName(few[0]).unionByName(few[1]))
+    got = upkeep.current(spark, layout, f"{tmp_path}/out")
+    assert got.count() == want.count() == 406 and got.exceptAll(want).count() == 0
+    assert read[3] <= 2 * read[1]
+
+
+def test_replayed_batch_uses_the_rules_it_used_first(spark, tmp_path, monkeypatch):
+    def save(value):
+        condition = f'{{"type":"simple","field":"amount","operator":">","value":{value}}}'
+        row = ("r1", "RULE", "rule", S.SIMPLE_RULE, "HIGH", True, condition, None, None)
+        spark.createDataFrame([row], S.RULES).coalesce(1).write.mode("overwrite").parquet(f"{tmp_path}/rules")
+
+    def run():
+        stream = tables.stream_table(spark, str(tmp_path), "events", files_per_batch=1)
+        return jobs.dynamic_rules_to_table(stream, f"{tmp_path}/rules", f"{tmp_path}/out", f"{tmp_path}/c")
+
+    def die(*_, **__):
+        raise RuntimeError("executor lost")
+
+    save(100_000)
+    as_stream(spark, tmp_path, [transactions(spark, [{"id": "a", "amount": 50_000}, {"id": "b", "amount": 200_000}])])
+    with monkeypatch.context() as patch, pytest.raises(StreamingQueryException):
+        patch.setattr(dynamic_rules, "dynamic_alerts", die)
+        run().awaitTermination(90)
+    save(10_000)  # changed before the batch runs again
+    assert run().awaitTermination(90)
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert [r.original_transaction.transaction_id for r in got] == ["b"]
+    assert jobs.used_rules(spark, f"{tmp_path}/out").count() == 1
+
+
+def test_watermark_split_agrees_with_the_windowed_count(spark, tmp_path):
+    """Every row is in time or behind; a watermarked count over the rows in time drops none of them."""
+    batches = [[0, 60_000, 61_000], [59_000, 50_000, 200_000], [10, 196_000, 190_000, 400_000], [500_000]]
+    stream = as_stream(spark, tmp_path, arriving(spark, batches))
+    assert jobs.split_by_watermark(stream, f"{tmp_path}/out", f"{tmp_path}/c", delay_ms=5_000).awaitTermination(120)
+    rows = jobs.split_rows(spark, stream.schema, f"{tmp_path}/out")
+    late = {r.event_ms - BASE_MS for r in rows.filter("late").collect()}
+    assert late == {50_000, 10, 190_000} | set() and rows.count() == 11
+    kept = [rows.filter(~F.col("late")).filter(F.col("offset").between(*o)).select(stream.columns) for o in ((0, 2), (3, 5), (6, 9), (10, 10))]
+    again = as_stream(spark, tmp_path / "kept", kept).withWatermark("event_ts", "5 seconds")
+    counted = again.groupBy(F.window("event_ts", "10 seconds")).agg(F.count("*").alias("n"))
+    closed = finish(counted, tmp_path, "closed").agg(F.sum("n")).first()[0]
+    assert closed == rows.filter(~F.col("late")).count() - 1  # the newest window stays open
+
+
+def test_live_list_over_batches(spark, tmp_path):
+    """Alerts and their changes batch by batch: the merge over everything, cut to the newest."""
+    everything = history(spark, [{"alert_timestamp": START + timedelta(seconds=i)} for i in range(150)])
+    log = commands(spark, [{"alert_id": f"a{i % 150:04d}", "cmd": "ASSIGN", "assigned_to": f"agent-{i}"} for i in range(0, 300, 7)])
+    events, _ = records.decode_status_events(records.encode_status_events(cases.status_events(everything, log), keep=("seq",)))
+    wire = records.encode_status_events(cases.status_events(everything, log), keep=("seq",))
+    alerts = as_stream(spark, tmp_path / "alerts", [everything, everything.limit(20)])
+    changes, _ = records.decode_status_events(as_stream(spark, tmp_path / "changes", [wire.filter("seq < 20"), wire.filter("seq >= 20")]))
+    assert jobs.to_live_list(alerts, changes, f"{tmp_path}/out", f"{tmp_path}/c").awaitTermination(120)
+    want = cases.recent(cases.apply_status_events(everything, events))
+    got = jobs.read_recent(spark, f"{tmp_path}/out", everything.schema)
+    assert got.count() == 100 and got.exceptAll(want).count() == 0
+    assert got.filter("assigned_to IS NOT NULL").count() > 10
+
+
+def test_latency_join_reports_what_found_nothing(spark, tmp_path):
+    txns = transactions(spark, [{"id": f"t{i}", "ms": i * 60_000} for i in range(60)])
+    alerts = txns.select(
+        F.concat(F.lit("a"), "transaction_id").alias("alert_id"), "transaction_id", (F.col("event_ts") + F.expr("INTERVAL 2 SECONDS")).alias("alert_timestamp")
+    )
+    few = txns.filter("transaction_id <> 't3'")
+    left = as_stream(spark, tmp_path / "a", [alerts.limit(30), alerts.subtract(alerts.limit(30))])
+    right = as_stream(spark, tmp_path / "t", [few.limit(29), few.subtract(few.limit(29))])
+    got = finish(jobs.join_latency(left, right), tmp_path, "out").collect()
+    assert {r.alert_id for r in got if r.event_ts is None} == {"at3"}
+    assert all((r.alert_timestamp - r.event_ts).total_seconds() == 2 for r in got if r.event_ts)
+    assert len(got) == 60
+
+
 def test_rule_changes_apply_without_a_restart(spark, tmp_path):
     def save(value):
         condition = f'{{"type":"simple","field":"amount","operator":">","value":{value}}}'

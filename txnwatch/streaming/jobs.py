@@ -175,10 +175,16 @@ def dynamic_rules_to_table(stream: DataFrame, rules_path: str, path: str, checkp
     from txnwatch.operators import dynamic_rules
 
     def match(batch: DataFrame, batch_id: int) -> None:
-        spark, version = batch.sparkSession, f"{path}/_rules/version={batch_id}"
-        if not _written_whole(spark, version):
-            tables.read_rules(spark, rules_path).coalesce(1).write.mode("overwrite").parquet(version)
-        alerts = dynamic_rules.dynamic_alerts(batch, tables.read_rules(spark, version), alert_ts=F.col("event_ts"))
+        spark = batch.sparkSession
+        book = Ledger(spark, f"{path}/_rules")
+        if book.last() < batch_id:  # else this batch ran before
+            version = book.begin(batch_id)
+            now = tables.read_rules(spark, rules_path).withColumn("version", F.lit(batch_id).cast("long"))
+            version.append("rules", now.withColumn(PART, F.lit(0).cast("long")))
+            version.compact("rules", _USED_RULES)
+            version.commit()
+        used = used_rules(spark, path).filter(F.col("version") == batch_id).drop("version")
+        alerts = dynamic_rules.dynamic_alerts(batch, used, alert_ts=F.col("event_ts"))
         alerts.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch").option(
             "partitionOverwriteMode", "dynamic"
         ).parquet(path)
@@ -186,20 +192,12 @@ def dynamic_rules_to_table(stream: DataFrame, rules_path: str, path: str, checkp
     return each_batch(stream, match, checkpoint, **trigger)
 
 
-def _written_whole(spark: SparkSession, path: str) -> bool:
-    """Whether a write to the folder ended: Spark leaves its mark last."""
-    try:
-        return not spark.read.format("binaryFile").load(f"{path}/_SUCCESS").isEmpty()
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
+_USED_RULES = T.StructType([*S.RULES.fields, T.StructField("version", T.LongType())])
 
 
 def used_rules(spark: SparkSession, path: str) -> DataFrame:
     """The rules of every batch, with its number as ``version``."""
-    layout = T.StructType([*S.RULES.fields, T.StructField("version", T.LongType())])
-    return spark.read.schema(layout).option("basePath", f"{path}/_rules").parquet(f"{path}/_rules/version=*")
+    return Ledger(spark, f"{path}/_rules").read("rules", _USED_RULES).drop(PART, VERSION)
 
 
 # --- watermark ------------------------------------------------------------------
