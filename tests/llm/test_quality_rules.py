@@ -66,6 +66,21 @@ def test_limits_follow_the_group(spark, docs):
     assert kept == {r[0] for r in rows} - {5000}
 
 
+def test_word_length_limits_come_from_the_sketch(spark, docs):
+    """The same words are too long where texts are alike, and are not where lengths vary widely."""
+    of_length = lambda i, n: " ".join(w[:1] + "x" * (n - 1) for w in prose(i).split())
+    rows = [(i, of_length(i, 5), "en", "even") for i in range(200)]
+    rows += [(1000 + i, of_length(i, 3 + i % 8), "en", "mixed") for i in range(200)]
+    rows += [(5000, of_length(1, 6), "en", "even"), (5001, of_length(1, 7), "en", "even"), (5002, of_length(1, 13), "en", "mixed")]
+    limits = {r["_source"]: r["limits"]["word_length"] for r in Q.fences(Q.sketches(Q.measured(docs(rows))), Q.Rules()).collect()}
+    slack = Q.Rules().slack["word_length"]
+    assert limits["even"]["most"] - limits["even"]["least"] == 2 * slack
+    assert limits["mixed"]["most"] - limits["mixed"]["least"] > 6 * slack
+    repeats_allowed = Q.Rules(slack=Q.Rules().slack | {"repeats": 1000})
+    kept = {r["doc_id"] for r in Q.keep_good(docs(rows), repeats_allowed).collect()}
+    assert 5002 in kept and 5001 not in kept
+
+
 @pytest.mark.parametrize("value", [0, 1, 63, 64, 65, 127, 128, 1000, 12345, 10**9])
 def test_cells_keep_six_bits(spark, value):
     from pyspark.sql import functions as F

@@ -155,8 +155,8 @@ u AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, metric ORDER BY c
              sum(n) OVER (PARTITION BY level, lang, source, metric) AS total FROM s),
 q AS (SELECT level, lang, source, metric, total, min(cell) FILTER (4 * upto >= total) AS low, min(cell) FILTER (4 * upto >= 3 * total) AS high
       FROM u GROUP BY ALL),
-f AS (SELECT level, lang, source, metric, total, low, high, greatest(3 * (high - low),
-             CASE metric WHEN 'symbols' THEN 200 WHEN 'dup_lines' THEN 500 WHEN 'repeats' THEN 400 ELSE 2500 END) AS reach FROM q),
+f AS (SELECT level, lang, source, metric, total, low, high, greatest(CASE metric WHEN 'word_length' THEN 6 ELSE 3 END * (high - low),
+             CASE metric WHEN 'symbols' THEN 200 WHEN 'dup_lines' THEN 500 WHEN 'repeats' THEN 400 ELSE 1000 END) AS reach FROM q),
 b AS (SELECT x.rid, x.metric, x.v, arg_min(high + reach, level) AS most,
              arg_min(CASE WHEN x.metric = 'word_length' THEN low - reach ELSE -1 END, level) AS least
       FROM x JOIN f ON x.metric = f.metric AND (f.total >= 100 OR f.level = 2)

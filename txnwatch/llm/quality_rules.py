@@ -37,16 +37,20 @@ LONG_TEXT = 100_000
 
 @dataclass(frozen=True)
 class Rules:
-    """``slack``: least distance of the fence from the quartile, per metric, in thousandths.
+    """``fences``: distance of the fence from the quartile, in interquartile ranges, per metric.
 
-    ``fences``: distance in interquartile ranges. ``min_docs``: documents a group needs for a
-    sketch of its own.
+    ``slack``: its least distance, in thousandths. In most texts symbols, repeated lines and
+    repeated words are none, so their quartiles have no width and the slack decides; the word
+    length has a width, and there it only guards groups of near equal texts. ``min_docs``:
+    documents a group needs for a sketch of its own.
     """
 
-    fences: int = 3
+    fences: dict[str, int] = field(
+        default_factory=lambda: {"symbols": 3, "dup_lines": 3, "repeats": 3, "word_length": 6}
+    )
     min_docs: int = 100
     slack: dict[str, int] = field(
-        default_factory=lambda: {"symbols": 200, "dup_lines": 500, "repeats": 400, "word_length": 2500}
+        default_factory=lambda: {"symbols": 200, "dup_lines": 500, "repeats": 400, "word_length": 1000}
     )
     two_sided: tuple[str, ...] = ("word_length",)
 
@@ -150,7 +154,7 @@ def fences(sketch: DataFrame, rules: Rules) -> DataFrame:
     group = Window.partitionBy("level", "lang", "source", "metric")
     upto = F.sum("n").over(group.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
     ranked = merged.withColumns({"upto": upto, "total": F.sum("n").over(group)})
-    slack = F.create_map(*[F.lit(x) for item in rules.slack.items() for x in item])
+    of_metric = lambda values: F.create_map(*[F.lit(x) for item in values.items() for x in item])[F.col("metric")]
     two_sided = F.col("metric").isin(*rules.two_sided)
     quartiles = (
         ranked.groupBy("level", "lang", "source", "metric", "total")
@@ -158,7 +162,9 @@ def fences(sketch: DataFrame, rules: Rules) -> DataFrame:
             F.min(F.when(F.col("upto") * 4 >= F.col("total"), F.col("cell"))).alias("low"),
             F.min(F.when(F.col("upto") * 4 >= F.col("total") * 3, F.col("cell"))).alias("high"),
         )
-        .withColumn("reach", F.greatest((F.col("high") - F.col("low")) * rules.fences, slack[F.col("metric")]))
+        .withColumn(
+            "reach", F.greatest((F.col("high") - F.col("low")) * of_metric(rules.fences), of_metric(rules.slack))
+        )
     )
     limits = quartiles.groupBy("level", "lang", "source").agg(
         F.max("total").alias("total"),
