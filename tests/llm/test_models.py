@@ -80,6 +80,47 @@ def test_languages(spark, docs, odd_rows):
     assert [r["lang_pred"] for r in langid.identify(docs([(1, "text")]), FAST).collect()] == ["und"]
 
 
+def test_predictions_against_plain_recurrences(spark, docs):
+    """Every score equals that of the recurrences written out, position by position."""
+    rows = [(i, speech(language, i, 12), language) for i, language in enumerate(list(SPEECH) * 20)]
+    rows += [(90, "é", None), (91, "ab" * 70, None), (92, speech("yy", 5) * 3, None)]
+    fit = langid.Fit(per_language=20, hidden=3, window=16, batch=12, steps=20)
+    network = langid.trained(docs(rows), fit)
+    logistic = lambda x: 1 / (1 + np.exp(-x))
+
+    def states(layer, codes):
+        h, found = np.zeros(3), []
+        for code in codes:
+            drive, back = layer.inputs[code].astype(float), layer.states.astype(float) @ h
+            reset, update = logistic(drive[:3] + back[:3]), logistic(drive[3:6] + back[3:6])
+            h = update * h + (1 - update) * np.tanh(drive[6:] + reset * back[6:])
+            found.append(h)
+        return found
+
+    def scores(text):
+        data, total = text.encode(), np.zeros(3)
+        for start in range(0, len(data), 32):
+            codes = list(data[start : start + 32])
+            for a, b in zip(states(network.ahead, codes), states(network.behind, codes[::-1])[::-1]):
+                odds = np.exp(network.head.T.astype(float) @ np.concatenate([a, b]) + network.bias)
+                total += odds / odds.sum()
+        return total / len(data)
+
+    text_of = {r[0]: r[1] for r in rows}
+    for row in langid.identify(docs(rows), fit).collect():
+        want = scores(text_of[row["doc_id"]])
+        assert row["score"] == pytest.approx(want.max(), abs=1e-4)
+        assert want[network.languages.index(row["lang_pred"])] == pytest.approx(want.max(), abs=1e-4)
+
+
+def test_very_long_text_and_many_languages(spark, docs):
+    rows = [(i, speech(list(SPEECH)[i % 3], i, 8), f"l{i % 60:03}") for i in range(240)]
+    rows += [(1000, "yy " + speech("yy", 1) * 1500, None)]
+    assert len(rows[-1][1]) > 200_000
+    got = {r["doc_id"]: r for r in langid.identify(docs(rows), langid.Fit(hidden=2, window=8, batch=8, steps=3)).collect()}
+    assert len(got) == len(rows) and got[1000]["lang_pred"].startswith("l") and 0 < got[1000]["score"] <= 1
+
+
 def test_language_never_sees_held_out_labels(spark, docs):
     """Other labels on held-out documents change nothing."""
     rows = [(i, speech(language, i), language) for i, language in enumerate(list(SPEECH) * 30)]
@@ -131,9 +172,11 @@ def test_ranker_orders_by_the_feature_that_matters():
 
 
 # --- toxicity -----------------------------------------------------------------------------
-def test_marginals_against_enumeration():
+@pytest.mark.parametrize("piece", [crf.PIECE, 1, 2, 3])
+def test_marginals_against_enumeration(monkeypatch, piece):
+    monkeypatch.setattr(crf, "PIECE", piece)
     rng = np.random.default_rng(3)
-    lengths = np.array([3, 0, 1, 5])
+    lengths = np.array([3, 0, 1, 5, 8, 2])
     evidence, trans = rng.normal(0, 2, lengths.sum()), rng.normal(0, 1, (2, 2))
     chain = crf.Chain(lengths)
     left, right = chain.marginals(evidence, trans)
@@ -154,6 +197,19 @@ def test_marginals_against_enumeration():
     assert np.allclose(chain.pair_marginals(evidence, left, right, trans), pairs)
 
 
+def test_long_texts_in_pieces(monkeypatch):
+    """Pieces side by side give what one pass gives, also with strong evidence and no text at all."""
+    rng = np.random.default_rng(4)
+    lengths = np.array([1000, 3, 0, 64, 65])
+    evidence, trans = rng.normal(0, 30, lengths.sum()), rng.normal(0, 3, (2, 2))
+    whole = crf.Chain(lengths).marginals(evidence, trans)
+    monkeypatch.setattr(crf, "PIECE", 64)
+    for one, other in zip(whole, crf.Chain(lengths).marginals(evidence, trans)):
+        assert np.allclose(one, other, atol=1e-9)
+    none = crf.Chain(np.zeros(0, np.int64))
+    assert none.pair_marginals(np.zeros(0), np.zeros(0), np.zeros(0), trans).tolist() == [[0, 0], [0, 0]]
+
+
 def toxic_rows(n=300):
     rows, labels = [], []
     for i in range(n):
@@ -170,6 +226,7 @@ def test_toxicity(spark, docs, frame, odd_rows):
     rows, labels = toxic_rows()
     extra = [(1000 + n, *r[1:]) for n, r in enumerate(odd_rows) if r[0] != 3]
     extra += [(2000, "Éa zorghel, bb.\nzorgh zorghel end"), (2001, "é " * 3000 + "zorghum")]
+    extra += [(2002, "é " * 150_000 + "zorghum" + " é" * 20_000)]
     got = {r["doc_id"]: r for r in crf.score(docs(rows + extra), frame(labels, LABELS)).collect()}
     assert set(got) == {r[0] for r in rows + extra}
     fresh = [(i, t) for i, _, t in labels if held(i, 5, 0)]
@@ -179,6 +236,7 @@ def test_toxicity(spark, docs, frame, odd_rows):
         assert row["held_out"] == held(i, 5, 0)
     assert got[2000]["spans"] == "3:11,16:29"  # code points; neighbours make one span
     assert got[2001]["spans"] == "6000:6007"  # far into a long text
+    assert got[2002]["spans"] == "300000:300007"
     assert got[1001]["spans"] == "" and got[1001]["predicted"] == 0
 
 

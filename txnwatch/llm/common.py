@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +28,17 @@ def text_list(texts: pa.Array) -> list[str]:
     return pc.fill_null(texts, "").to_pylist()
 
 
+def byte_slices(texts: list[bytes], most: int) -> Iterator[slice]:
+    """Stretches of at most ``most`` bytes, or one longer text."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > most:
+            yield slice(start, i)
+            start, size = i, 0
+        size += len(text)
+    yield slice(start, len(texts))
+
+
 def packed(rows: DataFrame) -> Column:
     """The whole row as one struct, so that no working column can clash with one of its own."""
     return F.struct(*[F.col(f"`{name}`") for name in rows.columns]).alias(ROW)
@@ -60,15 +73,18 @@ MOST_TEXTS = 100_000
 """Texts of a sample in all; with very many kinds each gets fewer."""
 
 
-def bounded_sample(docs: DataFrame, kinds: DataFrame, per_kind: int, max_bytes: int) -> list[tuple]:
-    """``(kind, text)`` of at most ``per_kind`` documents of each kind, spread by a hash; for fitting only.
+def _hashed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_hash"))
 
-    ``kinds``: ``_id, _kind``. Documents are chosen by id, size and hash; only the texts of the
-    chosen ones are fetched. Texts above ``max_bytes`` are left out of the sample, so its size on
-    the driver has a bound. Every run takes the same documents; a repeated row counts once.
+
+def chosen_documents(docs: DataFrame, kinds: DataFrame, per_kind: int, max_bytes: int) -> list[tuple]:
+    """``(kind, doc_id, hash)`` of at most ``per_kind`` documents of each kind, spread by a hash; for fitting only.
+
+    ``kinds``: ``_id, _kind``. Documents are chosen by id, size and hash, without their texts.
+    Texts above ``max_bytes`` are left out of the sample, so its size on the driver has a bound.
+    Every run takes the same documents; a repeated row counts once.
     """
-    texts = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_hash"))
-    slim = texts.filter(F.octet_length("text") <= max_bytes).select("doc_id", "_hash").distinct()
+    slim = _hashed(docs).filter(F.octet_length("text") <= max_bytes).select("doc_id", "_hash").distinct()
     slim = written(slim.join(kinds, F.col("doc_id") == F.col("_id")).select("_kind", "doc_id", "_hash"), "sample")
     counts = written(slim.groupBy(F.col("_kind").alias("_k")).agg(F.count("*").alias("_n")), "kinds")
     each = min(per_kind, MOST_TEXTS // max(1, counts.count()) + 1)
@@ -79,10 +95,30 @@ def bounded_sample(docs: DataFrame, kinds: DataFrame, per_kind: int, max_bytes:
     )
     place = F.row_number().over(Window.partitionBy("_kind").orderBy("_hash", "doc_id"))
     chosen = some.withColumn("_place", place).filter(F.col("_place") <= each).select("_kind", "doc_id", "_hash").collect()
+    return sorted(map(tuple, chosen), key=lambda r: (str(r[0]), r[2], r[1]))
+
+
+def bounded_sample(docs: DataFrame, kinds: DataFrame, per_kind: int, max_bytes: int) -> list[tuple]:
+    """``(kind, text)`` of the chosen documents; only their texts are fetched."""
+    chosen = chosen_documents(docs, kinds, per_kind, max_bytes)
     if not chosen:
         return []
-    chosen.sort(key=lambda r: (str(r["_kind"]), r["_hash"], r["doc_id"]))
-    wanted = docs.sparkSession.createDataFrame([(r["doc_id"], r["_hash"]) for r in chosen], "_wanted long, _h long")
-    found = texts.join(F.broadcast(wanted), (F.col("doc_id") == F.col("_wanted")) & (F.col("_hash") == F.col("_h")))
+    wanted = docs.sparkSession.createDataFrame([r[1:] for r in chosen], "_wanted long, _h long")
+    found = _hashed(docs).join(F.broadcast(wanted), (F.col("doc_id") == F.col("_wanted")) & (F.col("_hash") == F.col("_h")))
     text_of = {(r["doc_id"], r["_hash"]): r["text"] for r in found.select("doc_id", "_hash", "text").collect()}
-    return [(r["_kind"], text_of[r["doc_id"], r["_hash"]]) for r in chosen]
+    return [(kind, text_of[doc_id, number]) for kind, doc_id, number in chosen]
+
+
+def sample_windows(docs: DataFrame, draws: list[tuple], width: int) -> list[bytes]:
+    """``width`` bytes of the document of each draw ``(doc_id, hash, at)``, cut in Spark.
+
+    ``at`` is any number; the window begins at its remainder by the number of places there are.
+    """
+    rows = [(n, *draw) for n, draw in enumerate(draws)]
+    wanted = docs.sparkSession.createDataFrame(rows, "_n int, _wanted long, _h long, _at long")
+    found = _hashed(docs).join(F.broadcast(wanted), (F.col("doc_id") == F.col("_wanted")) & (F.col("_hash") == F.col("_h")))
+    places = F.greatest(F.octet_length("text") - width + 1, F.lit(1))
+    start = (F.col("_at") % places + 1).cast("int")
+    cut = found.select("_n", F.substring(F.encode("text", "UTF-8"), start, F.lit(width)).alias("_cut"))
+    window_of = {r["_n"]: bytes(r["_cut"]) for r in cut.collect()}
+    return [window_of[n] for n in range(len(draws))]

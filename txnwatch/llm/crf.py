@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnwatch.llm.common import bounded_sample, byte_list, held_out
+from txnwatch.llm.common import bounded_sample, byte_list, byte_slices, held_out
 
 SLOTS = 1 << 17
 EDGE = ".,;:!?\"'()[]"
@@ -73,17 +73,34 @@ def _log1pexp(x: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, x)
 
 
+PIECE = 8192
+"""Words of a text that are passed one after the other; what follows is cut into pieces passed side by side."""
+
+
 class Chain:
-    """The recursions for texts of any length, all at once. ``trans``: scores from clean/toxic to clean/toxic."""
+    """The recursions for texts of any length, all at once. ``trans``: scores from clean/toxic to clean/toxic.
+
+    A text longer than ``PIECE`` words has a first part of at most that many and whole pieces
+    after it. The product of a piece's transition matrices says what a piece makes of the odds it
+    is given from either side, so the odds between pieces come first and the words of all pieces
+    after that.
+    """
 
     def __init__(self, lengths: np.ndarray):
-        self.order = np.argsort(-lengths, kind="stable")
-        sizes = lengths[self.order]
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])[self.order] if len(lengths) else np.zeros(0, np.int64)
+        begin = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64) if len(lengths) else np.zeros(0, np.int64)
+        self.pieces = np.maximum(lengths - 1, 0) // PIECE
+        first = lengths - self.pieces * PIECE
+        self.order = np.argsort(-first, kind="stable")
+        sizes, starts = first[self.order], begin[self.order]
         self.longest = int(sizes[0]) if len(sizes) else 0
-        # texts that still have a word at each position
+        # texts that still have a word at each position of their first part
         active = np.searchsorted(-sizes, -np.arange(self.longest), side="left")
         self.at = [starts[:n] + t for t, n in enumerate(active)]
+        # of each long text: the place of its first piece; of each piece: the places of its words
+        self.long = [(int(begin[i] + first[i]), int(self.pieces[i])) for i in np.flatnonzero(self.pieces)]
+        heads = [start + PIECE * np.arange(n) for start, n in self.long]
+        heads = np.concatenate(heads) if heads else np.zeros(0, np.int64)
+        self.rest = heads[:, None] + np.arange(PIECE)
 
     def marginals(self, evidence: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log odds of toxic from the left (with the word itself) and from the right (without it)."""
@@ -92,12 +109,54 @@ class Chain:
             at = self.at[t]
             before = 0.0 if t == 0 else self._pass(left[at - 1], trans[0], trans[1])
             left[at] = evidence[at] + before
+        if self.long:
+            self._pieces(evidence, trans, left, right)
         for t in range(self.longest - 2, -1, -1):
             at = self.at[t + 1] - 1
             after = evidence[at + 1] + right[at + 1]
             right[at] = self._pass(after, trans[:, 0], trans[:, 1])
         return left, right
 
+    def _pieces(self, evidence: np.ndarray, trans: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+        """Fills in the pieces of long texts, and ``right`` at the last word before them."""
+        words = evidence[self.rest]
+        through = self._products(words, trans)
+        given = np.zeros(len(words))
+        number = 0
+        for start, n in self.long:
+            odds = left[start - 1]
+            for piece in range(number, number + n):
+                given[piece] = odds
+                (a, b), (c, d) = through[piece]
+                odds = np.logaddexp(b, odds + d) - np.logaddexp(a, odds + c)
+            odds = 0.0
+            for piece in range(number + n - 1, number - 1, -1):
+                right[self.rest[piece, -1]] = odds
+                (a, b), (c, d) = through[piece]
+                odds = np.logaddexp(c, odds + d) - np.logaddexp(a, odds + b)
+            right[start - 1] = odds
+            number += n
+        for t in range(PIECE):
+            given = words[:, t] + self._pass(given, trans[0], trans[1])
+            left[self.rest[:, t]] = given
+        back = right[self.rest[:, -1]]
+        for t in range(PIECE - 1, 0, -1):
+            back = self._pass(words[:, t] + back, trans[:, 0], trans[:, 1])
+            right[self.rest[:, t - 1]] = back
+
+    @staticmethod
+    def _products(words: np.ndarray, trans: np.ndarray) -> np.ndarray:
+        """Logarithms of the products of each piece's matrices, up to a factor: piece x from x to."""
+        product = np.repeat(trans[None], len(words), 0)
+        product[:, :, 1] += words[:, 0, None]
+        for t in range(1, words.shape[1]):
+            clean, toxic = product[:, :, 0], product[:, :, 1]
+            to_clean = np.logaddexp(clean + trans[0, 0], toxic + trans[1, 0])
+            to_toxic = np.logaddexp(clean + trans[0, 1], toxic + trans[1, 1]) + words[:, t, None]
+            product = np.stack([to_clean, to_toxic], 2)
+            product -= to_clean[:, :1, None]
+        return product
+
     @staticmethod
     def _pass(odds: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> np.ndarray:
         """Log odds after a transition; ``clean`` and ``toxic``: scores out of (or into) each tag."""
@@ -107,9 +166,7 @@ class Chain:
 
     def pair_marginals(self, evidence, left, right, trans) -> np.ndarray:
         """Expected transitions, 2 x 2, over all texts."""
-        if self.longest < 2:
-            return np.zeros((2, 2))
-        here = np.concatenate(self.at[1:])
+        here = np.concatenate([*self.at[1:], self.rest.ravel()]).astype(np.int64)
         a, b = left[here - 1], evidence[here] + right[here]
         scores = np.stack([trans[0, 0] + 0 * a, trans[0, 1] + b, trans[1, 0] + a, trans[1, 1] + a + b])
         scores = np.exp(scores - scores.max(0))
@@ -291,22 +348,12 @@ def spans(text: str, marginals: np.ndarray) -> list[tuple[int, int]]:
     return found
 
 
-def _slices(texts: list[bytes], most: int) -> Iterator[slice]:
-    start = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > most:
-            yield slice(start, i)
-            start, size = i, 0
-        size += len(text)
-    yield slice(start, len(texts))
-
-
 def _scorer(model: Model, batch_bytes: int = 8 << 20):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(model)
         for batch in batches:
             texts, scores, offsets = byte_list(batch.column(1)), [], []
-            for part in _slices(texts, batch_bytes):
+            for part in byte_slices(texts, batch_bytes):
                 for text, marginals in zip(texts[part], tagger.tag(texts[part])):
                     scores.append(model.score(marginals))
                     toxic = spans(text.decode(), marginals) if (marginals >= 0.5).any() else []

@@ -3,7 +3,9 @@
 The network reads a text's UTF-8 bytes in windows, forwards and backwards, gives every position
 a distribution over languages, and averages the distributions over all positions of the text.
 It is trained in numpy by backpropagation through time with the loss at every position, on a
-bounded sample of labelled texts (``Fit``), one window of each; prediction covers whole texts.
+bounded sample of labelled texts (``Fit``), one window of each, cut in Spark: the driver holds
+windows, not texts. A language with fewer texts gives several windows of each. Prediction covers
+whole texts.
 The languages are those of the rows it may learn from.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0; with no
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnwatch.llm.common import bounded_sample, held_out, text_list
+from txnwatch.llm.common import byte_slices, chosen_documents, held_out, sample_windows, text_list
 
 UNKNOWN = "und"
 PAD = 256
@@ -187,10 +189,8 @@ class Network:
         return out / sizes[:, None]
 
 
-def _one_window(text: bytes, at: int, width: int) -> np.ndarray:
-    start = at % max(1, len(text) - width + 1)
-    piece = np.frombuffer(text[start : start + width], np.uint8)
-    return np.concatenate([piece, np.full(width - len(piece), PAD)]).astype(np.int16)
+def _padded(piece: bytes, width: int) -> np.ndarray:
+    return np.concatenate([np.frombuffer(piece, np.uint8), np.full(width - len(piece), PAD)]).astype(np.int16)
 
 
 def trained(docs: DataFrame, fit: Fit) -> Network | None:
@@ -199,33 +199,31 @@ def trained(docs: DataFrame, fit: Fit) -> Network | None:
         ~held_out(F.col("doc_id"), fit.parts, fit.held_part) & F.col("lang").isNotNull() & (F.octet_length("text") > 0)
     )
     kinds = known.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_kind")).distinct()
-    sample = bounded_sample(known, kinds, fit.per_language, fit.max_bytes)
+    sample = chosen_documents(known, kinds, fit.per_language, fit.max_bytes)
     if not sample:
         return None
-    languages = sorted({language for language, _ in sample})
-    place = {language: i for i, language in enumerate(languages)}
+    own: dict[str, list[tuple]] = {}
+    for language, *document in sample:
+        own.setdefault(language, []).append(document)
+    languages = sorted(own)
     # classes weigh alike: each text gives windows until its language has its share
-    share = max(sum(of == language for of, _ in sample) for language in languages)
-    windows, labels, rng = [], [], np.random.default_rng(3)
-    for language in languages:
-        own = [text.encode() for of, text in sample if of == language]
-        for i in range(share):
-            windows.append(_one_window(own[i % len(own)], int(rng.integers(1 << 31)), fit.window))
-            labels.append(place[language])
+    share, rng = max(map(len, own.values())), np.random.default_rng(3)
+    draws = [(*own[of][i % len(own[of])], int(rng.integers(1 << 31))) for of in languages for i in range(share)]
+    windows = np.array([_padded(piece, fit.window) for piece in sample_windows(known, draws, fit.window)])
+    labels = np.repeat(np.arange(len(languages)), share)
     network = Network(languages, fit)
-    network.train(np.array(windows), np.array(labels))
+    network.train(windows, labels)
     return network
 
 
-def _predictor(network: Network, part: int = 256):
+def _predictor(network: Network, batch_bytes: int = 4 << 20):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = text_list(batch.column(1))
+            as_bytes = [t.encode() for t in texts]
             found, scores = [], []
-            for start in range(0, len(texts), part):
-                some = texts[start : start + part]
-                mean = network.pooled([t.encode() for t in some])
-                for text, row in zip(some, mean):
+            for part in byte_slices(as_bytes, batch_bytes):
+                for text, row in zip(texts[part], network.pooled(as_bytes[part])):
                     best = int(row.argmax())
                     letters = LETTER.search(text) is not None
                     found.append(network.languages[best] if letters else UNKNOWN)
