@@ -48,6 +48,8 @@ HEADLINE = (
     "service_status",
     "metrics_snapshot",
     "stream_detect",
+    "stream_detect_late",
+    "stream_cases_late",
 )
 
 

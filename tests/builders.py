@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from txnwatch import schemas as S
 
-START = datetime(2025, 11, 6, 10, 0, 0)
+START = datetime(2023, 3, 14, 21, 30, 0)
 BASE_MS = int(START.replace(tzinfo=timezone.utc).timestamp() * 1000)
 
 _LAYOUT = (

@@ -236,3 +236,9 @@ def test_service_status(spark):
 def test_day_bounds():
     low, high = history.day_range(date(2025, 11, 1), date(2025, 11, 11))
     assert low == datetime(2025, 11, 1) and high == datetime(2025, 11, 11, 23, 59, 59, 999000)
+
+
+def test_one_search_has_one_now(spark):
+    search = history.Search()
+    assert search.with_default_range() == search.with_default_range()
+    assert str(history.conditions(search, [])) == str(history.conditions(search, []))

@@ -1,7 +1,9 @@
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
-from builders import transactions
+from builders import START, transactions
 from txnwatch import schemas as S
 from txnwatch.functions import texts
 from txnwatch.operators import dynamic_rules, quality, rules
@@ -20,11 +22,11 @@ def test_high_value_boundary(spark):
 
 
 def test_high_value_alert_fields(spark):
-    row = rules.stateless_alerts(transactions(spark, [{"id": "x", "amount": 1_250_000}]), alert_ts=F.col("event_ts")).first()
-    assert row.reason == "고액 거래 (100만원 초과): 1,250,000원"
+    row = rules.stateless_alerts(transactions(spark, [{"id": "x", "amount": 7_004_321}]), alert_ts=F.col("event_ts")).first()
+    assert row.reason == "고액 거래 (100만원 초과): 7,004,321원"
     assert (row.rule_type, row.rule_name, row.severity) == (S.SIMPLE_RULE, S.HIGH_VALUE, "HIGH")
-    assert row.alert_timestamp == row.original_transaction.timestamp == "2025-11-06T10:00:00.000Z"
-    assert row.original_transaction.amount == 1_250_000
+    assert row.alert_timestamp == row.original_transaction.timestamp == f"{START.isoformat()}.000Z"
+    assert row.original_transaction.amount == 7_004_321
 
 
 def test_foreign_country(spark):
@@ -48,29 +50,31 @@ def reasons(spark, offsets, user="user-1", **kw):
     return [r.reason for r in alerts.orderBy("alert_timestamp").collect()]
 
 
-def test_six_within_a_minute(spark):
-    found = reasons(spark, [i * 5_000 for i in range(6)])
-    assert found == ["빈번한 거래 (1분 내 5회 초과): user-1, 6회"]
+MOST, WINDOW = S.FREQUENCY_THRESHOLD, S.FREQUENCY_WINDOW_MS
+
+
+@pytest.mark.parametrize("extra", [0, 1, 4])
+def test_every_transaction_past_the_threshold_alerts(spark, extra):
+    gap = WINDOW // (MOST + extra)
+    found = reasons(spark, [i * gap for i in range(MOST + extra)])
+    assert found == [f"빈번한 거래 (1분 내 {MOST}회 초과): user-1, {MOST + 1 + i}회" for i in range(extra)]
+
 
+@pytest.mark.parametrize("overshoot, n", [(0, 1), (1, 0)])
+@pytest.mark.parametrize("place", [0, MOST // 2, MOST - 1])
+def test_window_edges(spark, place, overshoot, n):
+    """Both ends belong to the window, wherever the transactions between them lie."""
+    between = [1 + i if i < place else WINDOW - MOST + i for i in range(MOST - 1)]
+    assert len(reasons(spark, [0, *between, WINDOW + overshoot])) == n
 
-def test_seven_give_two_alerts(spark):
-    found = reasons(spark, [i * 5_000 for i in range(7)])
-    assert [r[-2:] for r in found] == ["6회", "7회"]
 
+def test_bursts_apart_do_not_add_up(spark):
+    assert reasons(spark, [start + i for start in (0, 2 * WINDOW) for i in range(MOST)]) == []
 
-@pytest.mark.parametrize(
-    "offsets, n",
-    [
-        ([i * 5_000 for i in range(5)], 0),
-        ([0, 5_000, 10_000, 80_000, 85_000, 90_000], 0),
-        ([0, 10_000, 20_000, 30_000, 40_000, 60_000], 1),  # both ends belong to the window
-        ([0, 10_000, 20_000, 30_000, 40_000, 60_001], 0),
-        ([7] * 6, 0),  # one millisecond counts once
-        ([1_000], 0),
-    ],
-)
-def test_window_edges(spark, offsets, n):
-    assert len(reasons(spark, offsets)) == n
+
+@pytest.mark.parametrize("copies", [1, MOST, 3 * MOST])
+def test_one_millisecond_counts_once(spark, copies):
+    assert reasons(spark, [17] * copies) == []
 
 
 def test_every_transaction_of_a_counted_millisecond_alerts(spark):
@@ -100,6 +104,21 @@ def test_tumbling_windows(spark):
     assert fired(alerts) == ["t5"] and alerts.first().reason.endswith("user-1, 6회")
 
 
+def test_detect_equals_the_rules_one_by_one(spark):
+    """Also for rows without user or country, repeated rows and two window rules."""
+    rows = [{"ms": (i * 137) % 900, "user": f"user-{i % 3}", "country": ["KR", "US", "JP", None][i % 4]} for i in range(60)]
+    rows += [{"id": "none", "user": None, "amount": 3_000_000}, {"id": "t3", "ms": 411, "user": "user-0"}]
+    table = transactions(spark, rows)
+    windows = [rules.high_frequency(2, 300), rules.multi_country(3, 200)]
+    key = lambda frame: sorted(map(str, frame.collect()))
+    parts = [rules.stateless_alerts(table, alert_ts=F.col("event_ts"))]
+    parts += [rules.window_alerts(table, rule, F.col("event_ts")) for rule in windows]
+    got = key(rules.detect(table, windows=windows, alert_ts=F.col("event_ts")))
+    assert got == sorted(line for part in parts for line in key(part)) and len(got) > 60
+    alone = rules.detect(table, stateless=[], windows=windows, alert_ts=F.col("event_ts"))
+    assert key(alone) == sorted(line for part in parts[1:] for line in key(part))
+
+
 def test_detect_unions_all_rules(spark):
     rows = transactions(spark, [{"ms": i, "amount": 1_500_000, "country": "US"} for i in range(6)])
     counts = {r.rule_name: r["count"] for r in rules.detect(rows).groupBy("rule_name").count().collect()}
@@ -126,7 +145,7 @@ def test_alert_validity_and_order(spark):
         (alerts.withColumn("severity", F.lit("CRITICAL")), False, True),
         (alerts.withColumn("reason", F.repeat(F.lit("x"), 201)), False, True),
         (alerts.withColumn("rule_name", F.lit("MULTI_COUNTRY")), False, True),
-        (alerts.withColumn("alert_timestamp", F.lit("2025-11-06T09:59:59Z")), True, False),
+        (alerts.withColumn("alert_timestamp", F.lit(f"{(START - timedelta(seconds=1)).isoformat()}Z")), True, False),
         (alerts.withColumn("alert_timestamp", F.lit("soon")), True, False),
     ]
     for frame, valid, ordered in cases:

@@ -53,7 +53,8 @@ class Search:
     """Search arguments; a field left None adds no condition.
 
     ``as_of`` stands for "now": the default range ends there, and later dates
-    are refused.
+    are refused. Left out, it is the time at which the search is made, so that
+    the page and the counts of one search cover the same rows.
     """
 
     start: datetime | None = None
@@ -66,6 +67,8 @@ class Search:
     as_of: datetime | None = None
 
     def __post_init__(self):
+        if self.as_of is None:
+            object.__setattr__(self, "as_of", datetime.now(timezone.utc).replace(tzinfo=None))
         if self.page < 0:
             raise ValueError("page must be 0 or more")
         if not 1 <= self.size <= S.MAX_PAGE_SIZE:
@@ -74,7 +77,7 @@ class Search:
             raise ValueError("start must not be after end")
         for name in ("start", "end"):
             value = getattr(self, name)
-            if value and value > self.now:
+            if value and value > self.as_of:
                 raise ValueError(f"{name} must not be in the future")
         if self.rule_name is not None and self.rule_name not in (*S.RULE_NAMES, *S.RULE_ALIASES):
             raise ValueError("unknown rule name")
@@ -83,15 +86,11 @@ class Search:
         if self.status is not None and self.status not in S.STATUSES:
             raise ValueError("unknown status")
 
-    @property
-    def now(self) -> datetime:
-        return self.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
-
     def with_default_range(self) -> Search:
         """The last seven days, only when neither date is given."""
         if self.start is not None or self.end is not None:
             return self
-        return replace(self, start=self.now - timedelta(days=S.DEFAULT_SEARCH_DAYS), end=self.now)
+        return replace(self, start=self.as_of - timedelta(days=S.DEFAULT_SEARCH_DAYS), end=self.as_of)
 
 
 def day_range(first: date, last: date) -> tuple[datetime, datetime]:

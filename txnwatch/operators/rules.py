@@ -119,39 +119,52 @@ def _alert_columns(rule_type, rule_name, reason, severity, alert_ts: Column | No
     ]
 
 
-def stateless_alerts(
-    transactions: DataFrame,
-    rules: Iterable[StatelessRule] = STATELESS_RULES,
-    alert_ts: Column | None = None,
-    keep: Sequence[str] = (),
-) -> DataFrame:
-    """One alert per transaction and rule that fires, in one pass over the input."""
-    rules = list(rules)
-    hits = [F.when(rule.predicate(), F.lit(i)) for i, rule in enumerate(rules)]
-    # the plain disjunction is what reaches the scan; the array decides per rule
-    any_fires = functools.reduce(operator.or_, [rule.predicate() for rule in rules])
-    exploded = transactions.filter(any_fires).withColumn("_rule", F.explode(F.array(*hits)))
-    exploded = exploded.filter(F.col("_rule").isNotNull())
+@dataclass(frozen=True)
+class _Hit:
+    """When a rule fires on a row, and the text that goes with it."""
+
+    rule: StatelessRule | WindowRule
+    fires: Column
+    reason: Column
+
+
+def _alert_per_hit(rows: DataFrame, hits: Sequence[_Hit], alert_ts: Column | None, keep: Sequence[str]) -> DataFrame:
+    """One alert per row and hit, in one pass."""
+    numbers = [F.when(hit.fires, F.lit(i)) for i, hit in enumerate(hits)]
+    exploded = rows.withColumn("_rule", F.explode(F.array(*numbers))).filter(F.col("_rule").isNotNull())
 
     # only the rule's number is exploded, so texts nobody asks for are never built
-    def per_rule(value: Callable[[StatelessRule], Column]) -> Column:
-        chosen = value(rules[-1])
-        for i in reversed(range(len(rules) - 1)):
-            chosen = F.when(F.col("_rule") == i, value(rules[i])).otherwise(chosen)
+    def per_rule(value: Callable[[_Hit], Column]) -> Column:
+        chosen = value(hits[-1])
+        for i in reversed(range(len(hits) - 1)):
+            chosen = F.when(F.col("_rule") == i, value(hits[i])).otherwise(chosen)
         return chosen
 
     return exploded.select(
         *_alert_columns(
-            per_rule(lambda rule: F.lit(rule.rule_type)),
-            per_rule(lambda rule: F.lit(rule.name)),
-            per_rule(lambda rule: rule.reason()),
-            per_rule(lambda rule: F.lit(rule.severity)),
+            per_rule(lambda hit: F.lit(hit.rule.rule_type)),
+            per_rule(lambda hit: F.lit(hit.rule.name)),
+            per_rule(lambda hit: hit.reason),
+            per_rule(lambda hit: F.lit(hit.rule.severity)),
             alert_ts,
             keep,
         )
     )
 
 
+def stateless_alerts(
+    transactions: DataFrame,
+    rules: Iterable[StatelessRule] = STATELESS_RULES,
+    alert_ts: Column | None = None,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """One alert per transaction and rule that fires, in one pass over the input."""
+    hits = [_Hit(rule, rule.predicate(), rule.reason()) for rule in rules]
+    # the plain disjunction is what reaches the scan; the array decides per rule
+    any_fires = functools.reduce(operator.or_, [hit.fires for hit in hits])
+    return _alert_per_hit(transactions.filter(any_fires), hits, alert_ts, keep)
+
+
 def window_alerts(
     transactions: DataFrame, rule: WindowRule, alert_ts: Column | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -195,7 +208,17 @@ def detect(
     windows: Iterable[WindowRule] = (high_frequency(),),
     alert_ts: Column | None = None,
 ) -> DataFrame:
-    """All alerts of all rules; a transaction that breaks two rules gives two alerts."""
-    parts = [stateless_alerts(transactions, stateless, alert_ts)]
-    parts += [window_alerts(transactions, rule, alert_ts) for rule in windows]
-    return functools.reduce(DataFrame.unionByName, parts)
+    """All alerts of all rules; a transaction that breaks two rules gives two alerts.
+
+    Whole transactions are read once for all rules. Each window rule adds a scan of the columns
+    its windows need, and its (user, time) pairs join the transactions.
+    """
+    stateless, windows = list(stateless), list(windows)
+    if not windows:
+        return stateless_alerts(transactions, stateless, alert_ts)
+    rows, hits = transactions, [_Hit(rule, rule.predicate(), rule.reason()) for rule in stateless]
+    for i, rule in enumerate(windows):
+        fired = F.struct(rule.reason().alias("reason")).alias(f"_fired{i}")
+        rows = rows.join(rule.hits(transactions).select("user_id", "event_ms", fired), ["user_id", "event_ms"], "left")
+        hits.append(_Hit(rule, F.col(f"_fired{i}").isNotNull(), F.col(f"_fired{i}.reason")))
+    return _alert_per_hit(rows, hits, alert_ts, ())
