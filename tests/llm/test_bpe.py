@@ -27,7 +27,7 @@ def test_against_the_library(spark, docs, library, odd_rows):
     random.seed(11)
     texts = ["".join(random.choice(PARTS) for _ in range(random.randrange(60))) for _ in range(1500)]
     rows = [(100 + i, t) for i, t in enumerate(texts)] + [r for r in odd_rows if r[0] != 5]
-    got = B.encode_any(docs(rows), vocabulary_path(), full=True, block_bytes=3000, bucket_bytes=20_000).collect()
+    got = B.encode_any(docs(rows), vocabulary_path(), full=True, block_bytes=3000, buckets=2, bucket_words=400).collect()
     assert len(got) == len(rows)
     found = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"], list(r["ids"]), r["decoded"]) for r in got}
     for doc_id, text, *_ in rows:
@@ -62,3 +62,15 @@ def test_other_tokenizers_are_refused(tmp_path):
     path.write_text(json.dumps(spec))
     with pytest.raises(ValueError):
         B.load(str(path))
+
+
+def test_words_that_are_not_held_and_a_long_text(spark, docs, library):
+    random.seed(13)
+    long = ["".join(random.choice("abcdé") for _ in range(n)) for n in (400, 600, 5000)]
+    rows = [(i, " ".join(random.choice([*long, "short", "words", "between"]) for _ in range(12))) for i in range(40)]
+    rows.append((99, " ".join(f"w{random.randrange(3000)}" for _ in range(150_000))))
+    found = {}
+    for buckets in (1, 5):
+        got = B.encode_any(docs(rows), vocabulary_path(), block_bytes=20_000, buckets=buckets).collect()
+        found[buckets] = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in got}
+    assert found[1] == found[5] == {i: expected(library, t)[:3] for i, t in rows}

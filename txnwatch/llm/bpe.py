@@ -4,11 +4,14 @@ Texts are cut into words: before every space that follows a character which isn'
 where the tokenizer's own pattern always cuts too and what follows doesn't depend on what came
 before. A block of documents keeps its texts as positions in the block's word list. The lists
 are dealt out by word into buckets; a bucket encodes each of its distinct words once and decodes
-the ids by a join with the vocabulary's table of ids and pieces, which is joined to every bucket.
+the ids by a join with the vocabulary's table of ids and pieces, which every task makes once.
 The results go back to the blocks, where ids and decoded bytes are put together by position.
 
-Blocks hold about ``BLOCK_BYTES`` of text or one longer document, buckets the words of about
-``BUCKET_BYTES``, so more documents mean more blocks and buckets. The documents are cut up
+Blocks hold about ``BLOCK_BYTES`` of text or one longer document. There are ``BUCKETS`` buckets
+and one more for every ``BUCKET_WORDS`` distinct words, so their number grows with the words that
+are new, not with the text. A bucket reads its lists as a stream: a task holds the bucket's
+distinct words, one list, and a batch of results. Words above ``KEPT_BYTES`` are encoded once
+for each list they are in and not held. The documents are cut up
 twice, once for words and once for positions, which is cheaper than storing them cut up. Blocks
 follow the table's partitions: ``docs`` must be a table read from files (``written`` makes one).
 A check sum of each block's word list guards this; a block that differs fails the job.
@@ -25,19 +28,23 @@ import json
 import os
 import re
 from collections.abc import Iterable, Iterator
+from itertools import islice
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnwatch.llm.common import text_list, written
 
 BLOCK_BYTES = 16 << 20
-BUCKET_BYTES = 32 << 20
+BUCKETS = 16
+BUCKET_WORDS = 1 << 19
+KEPT_BYTES = 512
+RESULT_BYTES = 8 << 20
 MAX_PIECES = 2_000_000
 ENCODED_AT_A_TIME = 4096
 HIDDEN_CUT = re.compile(r"\s ")
@@ -73,19 +80,28 @@ def load(path: str) -> tuple[str, list[str]]:
     return json.dumps(spec), [t["content"] for t in spec["added_tokens"]]
 
 
-def pieces(spark: SparkSession, spec: str) -> DataFrame:
-    """``id, piece``: the bytes of every id."""
-    from tokenizers import Tokenizer
+class Vocabulary:
+    """A tokenizer and the table of its ids and pieces: the bytes of an id lie at ``first``, ``size`` long."""
 
-    bytes_of = byte_characters()
-    added = {t["id"]: t["content"].encode() for t in json.loads(spec)["added_tokens"]}
-    rows = [
-        (i, bytearray(added[i] if i in added else bytes(bytes_of[c] for c in token)))
-        for token, i in Tokenizer.from_str(spec).get_vocab(with_added_tokens=True).items()
-    ]
-    if len(rows) > MAX_PIECES:
-        raise ValueError("the vocabulary is larger than its bound")
-    return spark.createDataFrame(sorted(rows, key=lambda r: r[0]), "id int, piece binary")
+    def __init__(self, spec: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(spec)
+        ids = self.tokenizer.get_vocab(with_added_tokens=True)
+        if len(ids) > MAX_PIECES:
+            raise ValueError("the vocabulary is larger than its bound")
+        bytes_of = byte_characters()
+        added = {t["id"]: t["content"].encode() for t in json.loads(spec)["added_tokens"]}
+        pieces = [b""] * (1 + max(ids.values(), default=0))
+        for token, i in ids.items():
+            pieces[i] = added[i] if i in added else bytes(bytes_of[c] for c in token)
+        self.size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        self.first = _starts(self.size)
+        self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
+
+    def decoded(self, ids: np.ndarray) -> np.ndarray:
+        return _gather(self.bytes, self.first[ids], self.size[ids])
 
 
 # --- packing ------------------------------------------------------------------------------
@@ -258,39 +274,83 @@ def _encoded(tokenizer, words: list[bytes], piece_sizes: np.ndarray) -> tuple[np
     return _gather(flat, _starts(counts)[back], counts[back]), counts[back]
 
 
-def _encoder(spec: str):
-    def run(key, lists: pa.Table, vocabulary: pa.Table) -> pa.Table:
-        if not lists.num_rows:
-            return pa.Table.from_batches([_batch([], ENCODED)])
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+class Grown:
+    """Numbers in a row that grows at its end."""
+
+    def __init__(self, kind):
+        self.room, self.n = np.empty(1 << 10, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.room):
+            room = np.empty(max(2 * len(self.room), self.n + len(more)), self.room.dtype)
+            room[: self.n] = self.room[: self.n]
+            self.room = room
+        self.room[self.n : self.n + len(more)] = more
+        self.n += len(more)
 
-        # the pieces that were joined to this bucket, by id
-        order = np.argsort(vocabulary["id"].to_numpy())
-        piece_ids = vocabulary["id"].to_numpy()[order]
-        pieces_of = [vocabulary["piece"][i].as_py() for i in order.tolist()]
-        sizes_of = np.zeros(int(piece_ids.max()) + 1, np.int64)
-        sizes_of[piece_ids] = [len(p) for p in pieces_of]
-        bytes_of = np.frombuffer(b"".join(pieces_of), np.uint8)
-
-        number, members = WordList(), []
-        for data, sizes in zip(lists["words"].to_pylist(), lists["sizes"].to_pylist()):
-            words = _strings(data, sizes)
-            members.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
-        ids, n_ids = _encoded(Tokenizer.from_str(spec), list(number), sizes_of)
-        decoded = _gather(bytes_of, _starts(sizes_of)[ids], sizes_of[ids])
-        n_bytes = np.add.reduceat(sizes_of[ids], _starts(n_ids))
-        first_id, first_byte, rows = _starts(n_ids), _starts(n_bytes), []
-        for i, member in enumerate(members):
-            own = _gather(decoded, first_byte[member], n_bytes[member])
-            rows.append(
-                (
-                    lists["block"][i].as_py(), lists["bucket"][i].as_py(), lists["word_sum"][i].as_py(),
-                    _squeezed(_gather(ids, first_id[member], n_ids[member])), _squeezed(n_ids[member]),
-                    zstandard.ZstdCompressor(level=3).compress(own.tobytes()), _squeezed(n_bytes[member]),
-                )
-            )
-        return pa.Table.from_batches([_batch(rows, ENCODED)])
+
+class Encodings:
+    """Encoded words by number: their ids one after the other, and the bytes these ids stand for."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.ids, self.n_ids, self.first_id = Grown(np.uint32), Grown(np.int32), Grown(np.int64)
+        self.bytes, self.n_bytes, self.first_byte = Grown(np.uint8), Grown(np.int32), Grown(np.int64)
+
+    def add(self, words: list[bytes]) -> None:
+        ids, n_ids = _encoded(self.vocabulary.tokenizer, words, self.vocabulary.size)
+        n_bytes = np.add.reduceat(self.vocabulary.size[ids], _starts(n_ids))
+        self.first_id.add(self.ids.n + _starts(n_ids))
+        self.first_byte.add(self.bytes.n + _starts(n_bytes))
+        self.ids.add(ids)
+        self.n_ids.add(n_ids)
+        self.bytes.add(self.vocabulary.decoded(ids))
+        self.n_bytes.add(n_bytes)
+
+    def of(self, numbers: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
+        """Ids, ids a word, bytes, bytes a word of the words with these numbers, packed."""
+        n_ids, n_bytes = self.n_ids.room[numbers], self.n_bytes.room[numbers]
+        own = _gather(self.bytes.room, self.first_byte.room[numbers], n_bytes)
+        return (
+            _squeezed(_gather(self.ids.room, self.first_id.room[numbers], n_ids)), _squeezed(n_ids),
+            zstandard.ZstdCompressor(level=3).compress(own.tobytes()), _squeezed(n_bytes),
+        )
+
+    def marks(self) -> list[tuple[Grown, int]]:
+        return [(g, g.n) for g in (self.ids, self.n_ids, self.first_id, self.bytes, self.n_bytes, self.first_byte)]
+
+
+def _encoder(spec: str):
+    loaded = []
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not loaded:  # once for all buckets of a task
+            loaded.append(Vocabulary(spec))
+        number, encodings = WordList(), Encodings(loaded[0])
+        rows, held = [], 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {name: batch[name][i].as_py() for name in batch.schema.names}
+                words, known = _strings(row["words"], row["sizes"]), len(number)
+                long = [w for w in words if len(w) > KEPT_BYTES]
+                numbers = [number[w] if len(w) <= KEPT_BYTES else -1 for w in words]
+                new = list(islice(reversed(number), len(number) - known))[::-1]
+                if new:
+                    encodings.add(new)
+                marks = encodings.marks()
+                if long:
+                    encodings.add(long)
+                places = np.array(numbers, np.int64)
+                places[places < 0] = len(number) + np.arange(len(long))
+                packed = encodings.of(places)
+                for grown, n in marks:  # the long words go again
+                    grown.n = n
+                rows.append((row["block"], row["bucket"], row["word_sum"], *packed))
+                held += sum(map(len, packed))
+                if held > RESULT_BYTES:
+                    yield _batch(rows, ENCODED)
+                    rows, held = [], 0
+        yield _batch(rows, ENCODED)
 
     return run
 
@@ -333,24 +393,24 @@ def _assembler(full: bool, n_pieces: int):
 
 
 def encode_and_decode(
-    docs: DataFrame, path: str, full: bool = False, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES
+    docs: DataFrame,
+    path: str,
+    full: bool = False,
+    block_bytes: int = BLOCK_BYTES,
+    buckets: int = BUCKETS,
+    bucket_words: int = BUCKET_WORDS,
 ) -> DataFrame:
     """Token counts and digests of ids and decoded text, a row per document; ``full`` adds both themselves.
 
     ``path``: a tokenizer file, read on the driver.
     """
-    spark = docs.sparkSession
     spec, special = load(path)
+    n_pieces = len(Vocabulary(spec).size)
     rows = docs.select("doc_id", "text")
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = 1 + size // bucket_bytes
+    distinct = rows.select(F.explode(F.split("text", " ")).alias("word")).agg(F.approx_count_distinct("word"))
+    buckets += distinct.first()[0] // bucket_words
     lists = rows.mapInArrow(_lists(special, buckets, block_bytes), WORDS)
-    vocabulary = pieces(spark, spec)
-    n_pieces = 1 + (vocabulary.agg(F.max("id")).first()[0] or 0)
-    vocabulary = vocabulary.select(
-        "id", "piece", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket")
-    )
-    encoded = lists.groupBy("bucket").cogroup(vocabulary.groupBy("bucket")).applyInArrow(_encoder(spec), ENCODED)
+    encoded = lists.groupBy("bucket").applyInArrow(_encoder(spec), ENCODED)
     blocks = rows.mapInArrow(_positions(special, buckets, block_bytes), POSITIONS)
     return blocks.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(_assembler(full, n_pieces), FULL if full else RESULT)
 
