@@ -131,34 +131,29 @@ def trailing_distinct(
         F.when(F.col("ends"), edge(t + span, _LEAVE, -1)),
     )
     running = group.orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    # which values are inside changes only where one enters or leaves: an epoch. A value is
-    # inside from the epoch it enters until the one it leaves, which is its next change.
-    changes = F.col("kind") != _READ
-    own_changes = Window.partitionBy(*keys, "slab", value, "changes").orderBy("at", "kind")
-    rows = (
-        marked.select(*keys, "slab", "carried", value, F.inline(edges))
+    # a point has one home slab, so several values at one time are the only rows that repeat
+    fired = (
+        marked.select(*keys, "slab", "carried", F.inline(edges))
         .filter(F.col("kind").isNotNull())
-        .withColumn("changes", changes)
         .withColumn("n", F.sum("delta").over(running))
-        .withColumn("epoch", F.sum(changes.cast("int")).over(running))
-        .withColumn("left", F.lead("epoch").over(own_changes))
+        .filter((F.col("kind") == _READ) & ~F.col("carried") & (F.col("n") >= at_least))
+        .select(*keys, "slab", F.col("at").alias(time))
+        .distinct()
     )
-    enters = F.col("kind") == _ENTER
-    lasts = F.when(enters, F.sequence(F.col("epoch"), F.col("left") - 1)).when(~changes, F.array("epoch"))
-    rows = rows.select(
-        *keys,
-        "slab",
-        "at",
-        (~changes & ~F.col("carried") & (F.col("n") >= at_least)).alias("fires"),
-        F.when(enters, F.col(value)).alias("inside"),
-        F.explode(lasts).alias("during"),
+    # a value has a few stretches in a slab at most, as a slab is a few windows wide: what a
+    # fired point meets is in proportion to what it returns
+    last = F.when(F.col("ends"), t).otherwise(F.lead(time).over(same_value))
+    stretches = (
+        marked.filter(F.col("starts") | F.col("ends"))
+        .select(*keys, "slab", value, t.alias("since"), (last + span).alias("until"), "starts")
+        .filter("starts")
+        .select(*keys, "slab", F.struct(F.col(value).alias("v"), "since", "until").alias("stretch"))
     )
-    same_epoch = Window.partitionBy(*keys, "slab", "during")
-    # a point has one home slab, so grouping by slab as well needs no further shuffle
+    inside = t.between(F.col("stretch.since"), F.col("stretch.until"))
     return (
-        rows.withColumn("values", F.collect_set("inside").over(same_epoch))
-        .filter("fires")
-        .groupBy(*keys, "slab", F.col("at").alias(time))
-        .agg(F.first("values").alias("values"))
+        fired.join(stretches, [*keys, "slab"])
+        .filter(inside)
+        .groupBy(*keys, "slab", time)
+        .agg(F.collect_set("stretch.v").alias("values"))
         .select(*keys, time, F.sort_array("values").alias("values"), F.size("values").cast("long").alias("n"))
     )
