@@ -1,6 +1,7 @@
 import random
 from datetime import timedelta
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,7 +14,7 @@ from txnwatch import schemas as S
 from txnwatch.operators import cases, dynamic_rules, rules
 from txnwatch.sources import ledger, records, tables
 from txnwatch.streaming import jobs, upkeep
-from txnwatch.streaming.state import count_arrivals
+from txnwatch.streaming.state import TrailingCounter, count_arrivals
 
 
 def arrival_model(batches, window):
@@ -78,6 +79,59 @@ def test_borders_of_batches_do_not_matter(spark, tmp_path):
         assert want and sorted(r.reason.rsplit(", ", 1)[1] for r in got) == want
 
 
+class CountedState:
+    """A value of the state that counts its calls."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def getValueState(self, name, schema, ttl_ms=None):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+
+def test_state_calls_of_a_user_do_not_follow_its_rows():
+    state, counter = CountedState(), TrailingCounter(window_ms=50, threshold=5, ttl_ms=None, timers=False)
+    counter.init(state)
+    batches = random_batches(8)
+    want, kept = arrival_model(batches, 50)
+    got = []
+    for batch in batches:
+        frame = pd.DataFrame({"event_ms": batch, "order0": range(len(batch)), "row": [str(t) for t in batch]})
+        # rows come in any order and in several frames
+        frame, before = frame.sample(frac=1, random_state=1), state.calls
+        for found in counter.handleInputRows(("u",), iter([frame[:9], frame[9:]]), None):
+            got += [(int(r.row), r.n) for r in found.itertuples()]
+        assert state.calls - before <= 2
+    assert got and got == [(t, n) for t, n in want if n > 5] and state.value == (kept,)
+
+
+def test_rows_fold_in_the_given_order_not_in_that_of_the_file(spark, tmp_path):
+    batch = random_batches(3)[0]
+    counts, _ = arrival_model([batch], 50)
+    mixed = arriving(spark, [batch])[0].repartition(1).sortWithinPartitions(F.xxhash64("offset"))
+    stream = as_stream(spark, tmp_path, [mixed])
+    alerts = jobs.high_frequency(stream, threshold=2, window_ms=50, order=("offset",), alert_ts=F.col("event_ts"))
+    got = sorted((r.original_transaction.transaction_id, r.reason.rsplit(", ", 1)[1]) for r in finish(alerts, tmp_path, "alerts").collect())
+    assert got == sorted((f"r{i:04d}", f"{n}회") for i, (_, n) in enumerate(counts) if n > 2)
+
+
+def test_rows_pass_the_state_unchanged(spark, tmp_path):
+    rows = [{"id": f't"{i}\n한', "ms": 1_000 * i, "country": None if i % 2 else "KR"} for i in range(9)]
+    given = transactions(spark, rows).withColumn("event_ts", F.timestamp_micros(F.unix_micros("event_ts") + 7))
+    stream = as_stream(spark, tmp_path, [given])
+    got = finish(jobs.high_frequency(stream, threshold=5, window_ms=50_000, alert_ts=F.col("event_ts")), tmp_path, "alerts")
+    want = rules.window_alerts(given, rules.high_frequency(threshold=5, window_ms=50_000), F.col("event_ts"))
+    assert want.count() == 4 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_timers_equal_batch_on_ordered_input(spark, tmp_path):
     rng = random.Random(4)
     times = sorted(rng.sample(range(1_000), 90))

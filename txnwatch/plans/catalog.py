@@ -650,6 +650,8 @@ def metrics_snapshot(spark, sf):
 # --- streaming twins --------------------------------------------------------------
 # Every twin also runs over files whose times overlap, one file per micro-batch ("_late").
 LATE_FILES = 5
+ROW_GROUP_BYTES = 8 << 20
+"""One task writes a file of the stream; in row groups of this size many tasks read it."""
 
 
 def _stream(spark, sf, late=False):
@@ -659,7 +661,8 @@ def _stream(spark, sf, late=False):
     folder = shared_dir(spark, "late")
     for i in range(LATE_FILES):
         some = spark.read.parquet(f"{sf}/events.parquet").filter(F.pmod("event_id", F.lit(LATE_FILES)) == i)
-        some.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+        # many tasks read the table, one writes the file
+        some.repartition(1).write.mode("append").option("parquet.block.size", ROW_GROUP_BYTES).parquet(f"{folder}/events.parquet")
     return tables.stream_table(spark, folder, "events", files_per_batch=1)
 
 

@@ -44,16 +44,21 @@ def high_frequency(
     for answers by event time, use ``upkeep.detect``.
     """
     columns = ["event_ts", "event_ms", *S.TRANSACTION_FIELDS.values()]
-    rows = transactions.select(*columns, F.struct(*order).alias("_order"))
-    output = T.StructType([rows.schema[c] for c in columns] + [T.StructField("n", T.LongType())])
-    counted = rows.select(*columns, *[F.col(f"_order.{c}").alias(f"_o{i}") for i, c in enumerate(order)]).groupBy(
-        "user_id"
-    ).transformWithStateInPandas(
-        TrailingCounter(window_ms, threshold, columns, ttl_ms, time_mode == "EventTime"),
-        output,
+    # what the state doesn't look at goes through it as one text, with its times in microseconds
+    stamps = [c for c in columns if isinstance(transactions.schema[c].dataType, T.TimestampType)]
+    packed = transactions.select(columns).withColumns({c: F.unix_micros(c) for c in stamps}).schema
+    row = F.to_json(F.struct(*[F.unix_micros(c).alias(c) if c in stamps else F.col(c) for c in columns]))
+    watermarked = ["event_ts"] if time_mode == "EventTime" else []
+    counted = transactions.filter("event_ms IS NOT NULL").select(
+        "user_id", "event_ms", *watermarked, *[F.col(c).alias(f"order{i}") for i, c in enumerate(order)], row.alias("row")
+    ).groupBy("user_id").transformWithStateInPandas(
+        TrailingCounter(window_ms, threshold, ttl_ms, time_mode == "EventTime"),
+        "row string, n bigint",
         "Append",
         time_mode,
     )
+    counted = counted.select(F.from_json("row", packed, {"mode": "FAILFAST"}).alias("row"), "n").select("row.*", "n")
+    counted = counted.withColumns({c: F.timestamp_micros(c) for c in stamps})
     reason = texts.high_frequency_reason(F.col("user_id"), F.col("n"), threshold, window_ms)
     return counted.select(
         *rules._alert_columns(
@@ -67,7 +72,7 @@ def kept_times(spark: SparkSession, checkpoint: str) -> DataFrame:
     # the reader needs the provider that wrote the state
     with session_settings(spark, {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB}):
         state = spark.read.format("statestore").option("stateVarName", "times").load(checkpoint)
-    return state.select(F.col("key.user_id").alias("user_id"), F.col("user_map_key.ms").alias("event_ms"))
+    return state.select(F.col("key.user_id").alias("user_id"), F.explode("value.ms").alias("event_ms"))
 
 
 # --- sinks ----------------------------------------------------------------------

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-_TIME = T.StructType([T.StructField("ms", T.LongType())])
-_ONE = T.StructType([T.StructField("n", T.IntegerType())])
+_TIMES = T.StructType([T.StructField("ms", T.ArrayType(T.LongType(), False))])
 
 
 def count_arrivals(kept: list[int], arriving: list[int], window_ms: int) -> tuple[list[int], list[int]]:
@@ -30,46 +28,62 @@ def count_arrivals(kept: list[int], arriving: list[int], window_ms: int) -> tupl
     return counts, kept
 
 
+def _nulls_last(value) -> tuple:
+    missing = value is None or value != value
+    return missing, None if missing else value
+
+
 class TrailingCounter(StatefulProcessor):
     """Distinct event times per key in the trailing window, in order of arrival.
 
-    ``columns`` are passed through next to the count ``n``; rows at or below
-    ``threshold`` are not emitted. Columns ``_o0``, ``_o1``, ... give the order.
+    Rows hold the key, ``event_ms``, the columns ``order0``, ``order1``, ... that give the order
+    (no name may start with an underscore: Spark's worker renames those), and ``row``, which is
+    passed through next to the count ``n``. Rows at or below ``threshold`` are not emitted. A call of the state costs more than a row, so a key's times are one value: one
+    call reads them and one writes them, however many came.
     """
 
-    def __init__(self, window_ms: int, threshold: int, columns: list[str], ttl_ms: int | None, timers: bool):
-        self.window_ms, self.threshold, self.columns = window_ms, threshold, columns
+    def __init__(self, window_ms: int, threshold: int, ttl_ms: int | None, timers: bool):
+        self.window_ms, self.threshold = window_ms, threshold
         self.ttl_ms, self.timers = ttl_ms, timers
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # an entry per time: a batch writes the times that came and removes those that left
-        self.times = handle.getMapState("times", _TIME, _ONE, self.ttl_ms)
+        self.times = handle.getValueState("times", _TIMES, self.ttl_ms)
+
+    def _kept(self) -> list[int]:
+        found = self.times.get()
+        return [] if found is None else list(found[0])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        order = sorted(name for name in batch.columns if name.startswith("_o"))
-        batch = batch.sort_values(order, kind="stable")
-        before = sorted(int(k[0]) for k in self.times.keys())
-        counts, kept = count_arrivals(before, batch["event_ms"].tolist(), self.window_ms)
-        gone, come = set(before) - set(kept), set(kept) - set(before)
-        for t in sorted(gone):
-            self.times.removeKey((t,))
-        for t in sorted(come):
-            self.times.updateValue((t,), (1,))
-            if self.timers:
+        times, passed, places = [], [], []
+        for some in rows:
+            order = sorted(name for name in some.columns if name.startswith("order"))
+            times += some["event_ms"].tolist()
+            passed += some["row"].tolist()
+            places += zip(*[map(_nulls_last, some[name].tolist()) for name in order])
+        at = sorted(range(len(places)), key=places.__getitem__)
+        before = self._kept()
+        counts, kept = count_arrivals(before, [times[i] for i in at], self.window_ms)
+        if kept != before or self.ttl_ms is not None:  # a write also puts the expiry off
+            self.times.update((kept,))
+        if self.timers:
+            for t in sorted(set(kept) - set(before)):
                 self.handle.registerTimer(t + self.window_ms)
-        counts = np.array(counts)
-        hit = counts > self.threshold
-        yield batch.loc[hit, self.columns].assign(n=counts[hit])
+        hit = [place for place, n in enumerate(counts) if n > self.threshold]
+        if hit:
+            yield pd.DataFrame({"row": [passed[at[place]] for place in hit], "n": [counts[place] for place in hit]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """A time's timer removes it and what is older."""
         edge = expiredTimerInfo.getExpiryTimeInMs() - self.window_ms
-        for t in [int(k[0]) for k in self.times.keys()]:
-            if t <= edge:
-                self.times.removeKey((t,))
-        yield pd.DataFrame()
+        before = self._kept()
+        kept = before[bisect_right(before, edge) :]
+        if kept:
+            if kept != before:
+                self.times.update((kept,))
+        elif before:
+            self.times.clear()
+        yield from ()
 
     def close(self) -> None:
         pass
