@@ -364,3 +364,21 @@ def test_rule_changes_apply_without_a_restart(spark, tmp_path):
     save(10_000)
     as_stream(spark, tmp_path, [transactions(spark, [{"id": "c", "amount": 50_000}])])
     assert run() == ["b", "c"]
+
+
+def test_the_live_list_merges_only_changes_to_its_own_alerts(spark, tmp_path, monkeypatch):
+    reached, merge = [], cases.apply_status_events
+
+    def watched(alerts, events):
+        reached.append(events.count())
+        return merge(alerts, events)
+
+    monkeypatch.setattr(jobs.cases, "apply_status_events", watched)
+    rows = history(spark, [{} for _ in range(300)])
+    changes = rows.select("alert_id", F.lit(1).cast("long").alias("seq"), F.lit("COMPLETED").alias("status"), F.expr("map('status', 'COMPLETED')").alias("change"))
+    for name, some in (("alerts", rows), ("changes", changes)):
+        some.write.parquet(f"{tmp_path}/{name}")
+    alerts, changes = (spark.readStream.schema(some.schema).parquet(f"{tmp_path}/{name}") for name, some in (("alerts", rows), ("changes", changes)))
+    assert jobs.to_live_list(alerts, changes, f"{tmp_path}/out", f"{tmp_path}/c").awaitTermination(120)
+    got = jobs.read_recent(spark, f"{tmp_path}/out", rows.schema).collect()
+    assert reached == [100] and len(got) == 100 and {r.status for r in got} == {"COMPLETED"}

@@ -889,7 +889,7 @@ def stream_latency(spark, sf):
 def stream_live_list(spark, sf):
     """The newest alerts with the status events off the wire merged in, as one stream."""
     folder, (path, checkpoint) = shared_dir(spark, "live"), _folders(spark)
-    records.encode_status_events(_status_events(spark, sf), keep=("seq",)).coalesce(1).write.parquet(f"{folder}/changes.parquet")
+    records.encode_status_events(_status_events(spark, sf), keep=("seq",)).write.parquet(f"{folder}/changes.parquet")
     changes, _ = records.decode_status_events(tables.stream_table(spark, folder, "changes"))
     alerts = views.as_alert_history(views.as_transactions(_stream(spark, sf)))
     jobs.to_live_list(alerts, changes, path, checkpoint).awaitTermination()

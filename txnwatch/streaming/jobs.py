@@ -149,8 +149,13 @@ def to_live_list(alerts: DataFrame, changes: DataFrame, path: str, checkpoint: s
             old = spark.read.schema(layout).parquet(f"{path}/slot={(batch_id - 1) % 2}")
             # an alert that comes again keeps its state
             listed = old.unionByName(listed.join(old.select("alert_id"), "alert_id", "left_anti").select(old.columns))
-        newest = cases.recent(listed.dropDuplicates(["alert_id"]), arrival=arrival)
-        changed = cases.apply_status_events(newest, batch.filter("change IS NOT NULL").select("change.*"))
+        # the list is written first: of the changes only those to its few rows are aggregated
+        staged = f"{path}/_newest/slot={batch_id % 2}"
+        cases.recent(listed.dropDuplicates(["alert_id"]), arrival=arrival).coalesce(1).write.mode("overwrite").parquet(staged)
+        newest = spark.read.schema(layout).parquet(staged)
+        named = F.broadcast(newest.select("alert_id"))
+        changes = batch.filter("change IS NOT NULL").select("change.*").join(named, "alert_id", "left_semi")
+        changed = cases.apply_status_events(newest, changes)
         changed.withColumn("_batch", F.lit(batch_id)).coalesce(1).write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
 
     return each_batch(both, merge, checkpoint, **trigger)
