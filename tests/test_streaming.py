@@ -382,3 +382,22 @@ def test_the_live_list_merges_only_changes_to_its_own_alerts(spark, tmp_path, mo
     assert jobs.to_live_list(alerts, changes, f"{tmp_path}/out", f"{tmp_path}/c").awaitTermination(120)
     got = jobs.read_recent(spark, f"{tmp_path}/out", rows.schema).collect()
     assert reached == [100] and len(got) == 100 and {r.status for r in got} == {"COMPLETED"}
+
+
+def test_tasks_of_a_batch_of_cases_follow_its_rows(spark, tmp_path, monkeypatch):
+    dealt, fold = [], cases.apply_commands
+
+    def watched(alerts, commands, *more):
+        dealt.append(int(alerts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        return fold(alerts, commands, *more)
+
+    monkeypatch.setattr(upkeep, "TASK_ROWS", 100, raising=False)
+    monkeypatch.setattr(upkeep.cases, "apply_commands", watched)
+    every = history(spark, [{} for _ in range(300)])
+    log = commands(spark, [{"alert_id": f"a{i:04d}", "status": "IN_PROGRESS"} for i in range(300)])
+    alerts, given = as_stream(spark, tmp_path / "alerts", [every]), as_stream(spark, tmp_path / "commands", [log])
+    assert upkeep.case_states(alerts, given, f"{tmp_path}/out", f"{tmp_path}/c").awaitTermination(120)
+    want = cases.status_events(every, log)
+    got = upkeep.current(spark, want.schema, f"{tmp_path}/out")
+    assert dealt == [6] and got.count() == 300 and got.exceptAll(want).count() == 0
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "2"

@@ -92,6 +92,10 @@ class Ledger:
         """A whole table as of the newest version, with ``_part`` and ``_version``."""
         return Batch(self, 0, self.pieces(self.last())).read(name, schema)
 
+    def rows(self, name: str) -> int:
+        """Rows of a whole table as of the newest version."""
+        return sum(p.rows for p in self.pieces(self.last()) if p.name == name and p.gone is None)
+
     def _write(self, version: int, pieces: list[Piece]) -> None:
         rows = [(version, *astuple(piece)) for piece in pieces] + [(version, "", 0, 0, "", 0, None)]
         self.spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("overwrite").parquet(

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from txnwatch import schemas as S
 from txnwatch.functions.times import floor_to
 from txnwatch.operators import cases, rules, trailing
+from txnwatch.session import session_settings
 from txnwatch.sources.ledger import PART, VERSION, Batch, Ledger, bucket, unseen
 
 INTERVAL = "60 seconds"
@@ -32,6 +33,20 @@ KEY, AT = "_key", "_at"
 """In tables whose rows replace one another: what names a row, and the batch that wrote it."""
 
 
+TASK_ROWS = 100_000
+"""Rows of a task of a shuffle, about; results don't depend on it."""
+
+
+def _tasks(spark: SparkSession, rows: int) -> int:
+    """Shuffle partitions for so many rows, the session's number at least."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
+
+
+def _dealt(spark: SparkSession, rows: int):
+    """A micro-batch has no adaptive execution: its partitions follow its rows, so a task's memory doesn't."""
+    return session_settings(spark, {"spark.sql.shuffle.partitions": str(_tasks(spark, rows))})
+
+
 def each_batch(stream: DataFrame, handle, checkpoint: str, available_now: bool = True, interval: str = INTERVAL):
     """Runs ``handle(batch, batch_id)``: once over what is there, or without end."""
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
@@ -93,7 +108,8 @@ def current(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
     """The table that a job maintains; ``schema`` without the part."""
     book = Ledger(spark, path)
     whole = book.read("result", schema).drop(PART, VERSION)
-    return whole.unionByName(latest(book.read("replaced", _keyed(schema))).drop(PART, VERSION))
+    replaced = book.read("replaced", _keyed(schema)).repartition(_tasks(spark, book.rows("replaced")), KEY)
+    return whole.unionByName(latest(replaced).drop(PART, VERSION))
 
 
 def set_aside(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
@@ -222,47 +238,51 @@ def case_states(alerts: DataFrame, commands: DataFrame, path: str, checkpoint: s
     def refresh(batch: DataFrame, batch_id: int) -> None:
         book = Ledger(batch.sparkSession, path).begin(batch_id)
         arrived = _stored(book, batch)
-        given = arrived.filter("command IS NOT NULL").select("alert_id", "command.*").select(commands.columns)
-        given = given.filter(cases.accepted(require_assignee)).dropDuplicates(["alert_id", "ts", "seq"])
-        depth = book.deepen(
-            given.count(),
-            {"commands": (given.schema, "alert_id"), "opened": (begun, "alert_id"), "states": (carried, "alert_id"),
-             "replaced": (_keyed(_events_schema(begun, given.schema)), "alert_id")},
-        )
-        place = bucket(F.col("alert_id"), depth)
-        touched = [r[0] for r in arrived.select(place.alias("part")).distinct().collect()]
-        known = _stored(book, latest(book.read("states", carried, touched)), "known")
-        opened = arrived.filter("opening IS NOT NULL").select("alert_id", "opening.*").dropDuplicates(["alert_id"])
-        opened = opened.join(known, "alert_id", "left_anti")
-        earlier = book.read("commands", given.schema, touched).drop(PART, VERSION)
-
-        first = given.groupBy("alert_id").agg(F.min(last).alias("_first"))
-        met = known.join(first, "alert_id")
-        in_order = met.filter(F.col("ts").isNull() | (F.col("_first") > last)).drop("_first", "ts", "seq")
-        behind = met.filter(F.col("ts").isNotNull() & (F.col("_first") <= last)).select("alert_id")
-        restarted = book.read("opened", begun, touched).drop(PART, VERSION).join(behind, "alert_id", "left_semi")
-        restarted = restarted.unionByName(opened)
-        again = earlier.unionByName(given).join(restarted.select("alert_id"), "alert_id", "left_semi")
-        again = again.dropDuplicates(["alert_id", "ts", "seq"])
-        work = _stored(book, given.join(in_order, "alert_id", "left_semi").unionByName(again), "work")
-        starts = _stored(book, in_order.select(*opening).unionByName(restarted.select(*opening)), "starts")
-
-        events = cases.status_events(starts, work, require_assignee)
-        key = F.concat_ws("|", "alert_id", F.unix_micros("ts"), "seq")
-        at = F.lit(batch_id).cast("long")
-        states = cases.apply_commands(starts, work, require_assignee).join(
-            work.groupBy("alert_id").agg(F.max(last).alias("_last")), "alert_id", "left"
-        ).select(*opening, F.col("_last.ts").alias("ts"), F.col("_last.seq").alias("seq"))
-        book.append("replaced", events.withColumns({KEY: key, AT: at, PART: place}))
-        book.append("states", states.withColumns({KEY: F.col("alert_id"), AT: at, PART: place}))
-        book.append("commands", given.withColumn(PART, place))
-        book.append("opened", opened.withColumn(PART, place))
-        newest = lambda rows: latest(rows.drop(VERSION), keep=True)
-        book.compact("replaced", _keyed(events.schema), newest)
-        book.compact("states", carried, newest)
-        book.compact("commands", given.schema)
-        book.compact("opened", begun)
-        book.commit()
+        spark, n = batch.sparkSession, arrived.count()
+        with _dealt(spark, n):
+            given = arrived.filter("command IS NOT NULL").select("alert_id", "command.*").select(commands.columns)
+            given = given.filter(cases.accepted(require_assignee)).dropDuplicates(["alert_id", "ts", "seq"])
+            depth = book.deepen(
+                given.count(),
+                {"commands": (given.schema, "alert_id"), "opened": (begun, "alert_id"), "states": (carried, "alert_id"),
+                 "replaced": (_keyed(_events_schema(begun, given.schema)), "alert_id")},
+            )
+            place = bucket(F.col("alert_id"), depth)
+            touched = [r[0] for r in arrived.select(place.alias("part")).distinct().collect()]
+        met_rows = sum(p.rows for name in ("commands", "opened", "states") for p in book.of(name, touched))
+        with _dealt(spark, n + met_rows):
+            known = _stored(book, latest(book.read("states", carried, touched)), "known")
+            opened = arrived.filter("opening IS NOT NULL").select("alert_id", "opening.*").dropDuplicates(["alert_id"])
+            opened = opened.join(known, "alert_id", "left_anti")
+            earlier = book.read("commands", given.schema, touched).drop(PART, VERSION)
+
+            first = given.groupBy("alert_id").agg(F.min(last).alias("_first"))
+            met = known.join(first, "alert_id")
+            in_order = met.filter(F.col("ts").isNull() | (F.col("_first") > last)).drop("_first", "ts", "seq")
+            behind = met.filter(F.col("ts").isNotNull() & (F.col("_first") <= last)).select("alert_id")
+            restarted = book.read("opened", begun, touched).drop(PART, VERSION).join(behind, "alert_id", "left_semi")
+            restarted = restarted.unionByName(opened)
+            again = earlier.unionByName(given).join(restarted.select("alert_id"), "alert_id", "left_semi")
+            again = again.dropDuplicates(["alert_id", "ts", "seq"])
+            work = _stored(book, given.join(in_order, "alert_id", "left_semi").unionByName(again), "work")
+            starts = _stored(book, in_order.select(*opening).unionByName(restarted.select(*opening)), "starts")
+
+            events = cases.status_events(starts, work, require_assignee)
+            key = F.concat_ws("|", "alert_id", F.unix_micros("ts"), "seq")
+            at = F.lit(batch_id).cast("long")
+            states = cases.apply_commands(starts, work, require_assignee).join(
+                work.groupBy("alert_id").agg(F.max(last).alias("_last")), "alert_id", "left"
+            ).select(*opening, F.col("_last.ts").alias("ts"), F.col("_last.seq").alias("seq"))
+            book.append("replaced", events.withColumns({KEY: key, AT: at, PART: place}))
+            book.append("states", states.withColumns({KEY: F.col("alert_id"), AT: at, PART: place}))
+            book.append("commands", given.withColumn(PART, place))
+            book.append("opened", opened.withColumn(PART, place))
+            newest = lambda rows: latest(rows.drop(VERSION), keep=True)
+            book.compact("replaced", _keyed(events.schema), newest)
+            book.compact("states", carried, newest)
+            book.compact("commands", given.schema)
+            book.compact("opened", begun)
+            book.commit()
 
     return each_batch(both, refresh, checkpoint, **trigger)
 
