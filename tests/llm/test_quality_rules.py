@@ -98,3 +98,11 @@ def test_sketches_merge(spark, docs):
         for r in Q.sketches(rows.filter(f"_row.doc_id % 2 = {part}")).collect():
             halves[tuple(r[:4])] += r[4]
     assert halves == whole
+
+
+def test_kept_texts_are_measured_by_one_worker(docs):
+    """A filter on the counts that is pushed below them would measure every text again, by a second worker of the task."""
+    kept = Q.keep_good(docs([(i, prose(i, 60 + i), "en", "a") for i in range(40)]))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert kept.count() > 0

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnwatch.llm.common import text_list, written
+from txnwatch.llm.common import give_back, text_list, then_given_back, written
 
 BLOCK_BYTES = 16 << 20
 BUCKETS = 16
@@ -203,7 +203,7 @@ def _lists(special: list[str], buckets: int, block_bytes: int):
                     rows.append((bucket, block, total, *_packed([words[i] for i in some])))
             yield _batch(rows, WORDS)
 
-    return run
+    return lambda batches: then_given_back(run(batches))
 
 
 def _positions(special: list[str], buckets: int, block_bytes: int):
@@ -214,7 +214,7 @@ def _positions(special: list[str], buckets: int, block_bytes: int):
             of = _bucket_of(words, buckets)
             yield _batch([(block, _word_sum(words), ids, lengths, _squeezed(flat), _squeezed(of))], POSITIONS)
 
-    return run
+    return lambda batches: then_given_back(run(batches))
 
 
 ARROW = {
@@ -323,7 +323,7 @@ class Encodings:
 def _encoder(spec: str):
     loaded = []
 
-    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not loaded:  # once for all buckets of a task
             loaded.append(Vocabulary(spec))
         number, encodings = WordList(), Encodings(loaded[0])
@@ -352,11 +352,14 @@ def _encoder(spec: str):
                     rows, held = [], 0
         yield _batch(rows, ENCODED)
 
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return then_given_back(results(batches))
+
     return run
 
 
 def _assembler(full: bool, n_pieces: int):
-    def run(key, blocks: pa.Table, encoded: pa.Table) -> pa.Table:
+    def result(blocks: pa.Table, encoded: pa.Table) -> pa.Table:
         schema, rows = FULL if full else RESULT, []
         if not blocks.num_rows:
             raise RuntimeError("a block of words without its documents: read docs from files first")
@@ -389,6 +392,11 @@ def _assembler(full: bool, n_pieces: int):
             rows.append((*row, own, text) if full else row)
         return pa.Table.from_batches([_batch(rows, schema)])
 
+    def run(key, blocks: pa.Table, encoded: pa.Table) -> pa.Table:
+        found = result(blocks, encoded)
+        give_back()
+        return found
+
     return run
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from pyspark.sql import types as T
 
-from txnwatch.llm.common import ROW, byte_list, packed, unpacked, written
+from txnwatch.llm.common import ROW, each_bytes, give_back, packed, unpacked, written
 from txnwatch.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -65,7 +65,9 @@ def fingerprint(text: bytes, width: int = SHINGLE_WORDS) -> int:
 
 @F.arrow_udf(T.LongType())
 def fingerprints(texts: pa.Array) -> pa.Array:
-    return pa.array([fingerprint(t) for t in byte_list(texts)], pa.int64())
+    found = pa.array([fingerprint(t) for t in each_bytes(texts)], pa.int64())
+    give_back()
+    return found
 
 
 def _distance(a: Column, b: Column) -> Column:
