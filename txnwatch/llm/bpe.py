@@ -2,7 +2,8 @@
 
 Texts are cut into words: before every space that follows a character which isn't white space,
 where the tokenizer's own pattern always cuts too and what follows doesn't depend on what came
-before. A block of documents keeps its texts as positions in the block's word list. The lists
+before. Cutting, numbering and joining words are array operations on a block's bytes, without an
+object for each word. A block of documents keeps its texts as positions in the block's word list. The lists
 are dealt out by word into buckets; a bucket encodes each of its distinct words once and decodes
 the ids by a join with the vocabulary's table of ids and pieces, which every task makes once.
 The results go back to the blocks, where ids and decoded bytes are put together by position.
@@ -27,18 +28,20 @@ import hashlib
 import json
 import os
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import count, islice
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnwatch.llm.common import give_back, text_list, then_given_back, written
+from txnwatch.llm.common import give_back, then_given_back, written
 
 BLOCK_BYTES = 16 << 20
 BUCKETS = 16
@@ -47,7 +50,10 @@ KEPT_BYTES = 512
 RESULT_BYTES = 8 << 20
 MAX_PIECES = 2_000_000
 ENCODED_AT_A_TIME = 4096
-HIDDEN_CUT = re.compile(r"\s ")
+JOINED = 64
+WORDS_AT_A_TIME = 1 << 18
+SPACE = 0x20
+WHITE = [c.encode() for c in map(chr, range(0x3001)) if c.isspace()]
 
 WORDS = "bucket int, block string, word_sum bigint, words binary, sizes binary"
 POSITIONS = "block string, word_sum bigint, doc_ids array<bigint>, lengths array<int>, positions binary, buckets binary"
@@ -116,91 +122,135 @@ def _numbers(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _packed(strings: list[bytes]) -> tuple[bytes, bytes]:
-    sizes = np.fromiter(map(len, strings), np.uint32, len(strings))
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(strings)), _squeezed(sizes)
+def _packed(strings: pa.LargeBinaryArray) -> tuple[bytes, bytes]:
+    data, ends = _bytes_of(strings)
+    return zstandard.ZstdCompressor(level=3).compress(data), _squeezed(np.diff(ends))
+
+
+def _unzipped(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
 
 
 def _strings(data: bytes, sizes: bytes) -> list[bytes]:
-    joined, ends = zstandard.ZstdDecompressor().decompress(data), np.cumsum(_numbers(sizes)).tolist()
-    return [joined[a:b] for a, b in zip([0, *ends], ends)]
+    return _sliced(zstandard.ZstdDecompressor().decompress(data), _ends(_numbers(sizes)))
+
+
+def _sliced(data: bytes, ends: np.ndarray) -> list[bytes]:
+    ends = ends.tolist()
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
+# --- strings as bytes in a row --------------------------------------------------------------
+def _bytes_of(strings: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes in a row, and where each string ends in them, after a zero."""
+    _, ends, data = strings.buffers()
+    if not len(strings):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    ends = np.frombuffer(ends, np.int64)[strings.offset : strings.offset + len(strings) + 1]
+    own = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data else np.zeros(0, np.uint8)
+    return own, ends - ends[0]
+
+
+def _strings_in(data: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    ends = np.ascontiguousarray(ends, np.int64)
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, buffers)
+
+
+def _ends(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes, dtype=np.int64)])
+
+
+WHITE_BYTE = np.isin(np.arange(256), [w[0] for w in WHITE if len(w) == 1])
+WHITE_LONG = {n: [int.from_bytes(w, "big") for w in WHITE if len(w) == n] for n in (2, 3)}
+
+
+def _white_before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character that ends before each place is white space, as ``str.isspace`` has it."""
+    last = data[at - 1]
+    white = WHITE_BYTE[last]
+    long = np.flatnonzero(last >= 0x80)
+    code, places = last[long].astype(np.int64), at[long]
+    for n in (2, 3):
+        code |= data[np.maximum(places - n, 0)].astype(np.int64) << 8 * (n - 1)
+        white[long] |= np.isin(code, WHITE_LONG[n]) & (places >= n)
+    return white
 
 
 # --- cutting ------------------------------------------------------------------------------
+def cut(texts: pa.LargeBinaryArray, special: list[str]) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """The words of all texts in a row, with their leading spaces, and how many each text has."""
+    data, ends = _bytes_of(texts)
+    begins = np.zeros(len(data) + 1, bool)
+    spaces = np.flatnonzero(data[1:] == SPACE) + 1
+    begins[spaces[~_white_before(data, spaces)]] = True
+    begins[ends] = True
+    if special:
+        pattern = re.compile(b"|".join(re.escape(s.encode()) for s in special))
+        has = np.zeros(len(texts), bool)
+        for s in special:
+            has |= pc.match_substring(texts, s.encode()).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(has).tolist():
+            for found in pattern.finditer(data[ends[i] : ends[i + 1]]):
+                start, end = (ends[i] + found.span()).tolist()
+                begins[start : end + 1] = False
+                begins[[start, end]] = True
+    starts = np.flatnonzero(begins[:-1])
+    return _strings_in(data, np.append(starts, len(data))), np.diff(np.searchsorted(starts, ends))
+
+
 def words_of(text: str) -> list[str]:
     """The words of a text without special tokens. All but the first have lost a leading space."""
-    parts = text.split(" ")
-    if HIDDEN_CUT.search(text) is None and not text.startswith(" "):
-        return parts
-    # no cut at a space after white space: put back together
-    words = [parts[0]]
-    for part in parts[1:]:
-        before = words[-1]
-        if (before[-1:].isspace() if before else True):
-            words[-1] = f"{before} {part}"
-        else:
-            words.append(part)
-    return words
-
-
-class WordList(dict):
-    """Numbers words as they come. First words, which have no leading space, are tuples."""
-
-    def __missing__(self, word):
-        number = self[word] = len(self)
-        return number
-
-    def positions(self, text: str, special: re.Pattern | None) -> np.ndarray:
-        found = []
-        for part in special.split(text) if special else (text,):
-            if special and special.fullmatch(part):
-                found.append(self[(part,)])
-            elif part:
-                first, *rest = words_of(part)
-                found.append(self[(first,)])
-                found.extend(map(self.__getitem__, rest))
-        return np.array(found, np.uint32)
-
-    def as_bytes(self) -> list[bytes]:
-        return [w[0].encode() if isinstance(w, tuple) else b" " + w.encode() for w in self]
+    first, *rest = cut(pa.array([text.encode()], pa.large_binary()), [])[0].to_pylist()
+    return [first.decode(), *[w[1:].decode() for w in rest]]
 
 
 def _blocks(batches: Iterable[pa.RecordBatch], special: list[str], block_bytes: int):
-    """Per block: its name, ids and positions of its documents, and its word list."""
-    pattern = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+    """Per block: its name, the ids of its documents, their numbers of words, the words' positions, and its word list."""
     part, count = TaskContext.get().partitionId(), 0
-    ids, texts, size, words = [], [], 0, WordList()
+    ids, texts, size = [], [], 0
+
+    def block():
+        words, lengths = cut(pa.concat_arrays(texts), special)
+        words = words.dictionary_encode()
+        return f"{part}-{count}", pa.concat_arrays(ids).to_pylist(), lengths, words.indices.to_numpy(), words.dictionary
+
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), text_list(batch.column(1))):
-            has = pattern if pattern and any(s in text for s in special) else None
-            ids.append(doc_id)
-            texts.append(words.positions(text, has))
-            size += len(text)
+        column, start = pc.fill_null(batch.column(1), "").cast(pa.large_binary()), 0
+        for i, n in enumerate(pc.binary_length(column).to_pylist(), 1):
+            size += n
+            if size >= block_bytes or i == batch.num_rows:
+                ids.append(batch.column(0).slice(start, i - start))
+                texts.append(column.slice(start, i - start))
+                start = i
             if size >= block_bytes:
-                yield f"{part}-{count}", ids, texts, words.as_bytes()
-                ids, texts, size, words, count = [], [], 0, WordList(), count + 1
+                yield block()
+                ids, texts, size, count = [], [], 0, count + 1
     if ids:
-        yield f"{part}-{count}", ids, texts, words.as_bytes()
+        yield block()
 
 
-def _bucket_of(words: list[bytes], buckets: int) -> np.ndarray:
-    return np.fromiter((crc32(w) % buckets for w in words), np.uint32, len(words))
+def _bucket_of(words: pa.LargeBinaryArray, buckets: int) -> np.ndarray:
+    data, ends = _bytes_of(words)
+    return np.fromiter(map(crc32, _sliced(data.tobytes(), ends)), np.uint32, len(words)) % np.uint32(buckets)
 
 
-def _word_sum(words: list[bytes]) -> int:
-    return crc32(b"\0".join(words))
+def _word_sum(words: pa.LargeBinaryArray) -> int:
+    data, ends = _bytes_of(words)
+    return crc32(ends, crc32(data))
 
 
 def _lists(special: list[str], buckets: int, block_bytes: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, _, _, words in _blocks(batches, special, block_bytes):
+        for block, _, _, _, words in _blocks(batches, special, block_bytes):
             of, total, rows = _bucket_of(words, buckets), _word_sum(words), []
             order = np.argsort(of, kind="stable")
-            cuts = np.searchsorted(of[order], np.arange(buckets + 1))
+            cuts = np.searchsorted(of[order], np.arange(buckets + 1)).tolist()
+            words = words.take(pa.array(order))
             for bucket in range(buckets):
-                some = order[cuts[bucket] : cuts[bucket + 1]].tolist()
-                if some:
-                    rows.append((bucket, block, total, *_packed([words[i] for i in some])))
+                some = words.slice(cuts[bucket], cuts[bucket + 1] - cuts[bucket])
+                if len(some):
+                    rows.append((bucket, block, total, *_packed(some)))
             yield _batch(rows, WORDS)
 
     return lambda batches: then_given_back(run(batches))
@@ -208,11 +258,9 @@ def _lists(special: list[str], buckets: int, block_bytes: int):
 
 def _positions(special: list[str], buckets: int, block_bytes: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, ids, texts, words in _blocks(batches, special, block_bytes):
-            lengths = [len(t) for t in texts]
-            flat = np.concatenate(texts) if texts else np.zeros(0, np.uint32)
+        for block, ids, lengths, positions, words in _blocks(batches, special, block_bytes):
             of = _bucket_of(words, buckets)
-            yield _batch([(block, _word_sum(words), ids, lengths, _squeezed(flat), _squeezed(of))], POSITIONS)
+            yield _batch([(block, _word_sum(words), ids, lengths, _squeezed(positions), _squeezed(of))], POSITIONS)
 
     return lambda batches: then_given_back(run(batches))
 
@@ -249,26 +297,26 @@ def _encoded(tokenizer, words: list[bytes], piece_sizes: np.ndarray) -> tuple[np
     A word that starts with a space and ends without white space is encoded the same next to
     others like it, so these are joined; the bytes its ids stand for tell where a word ends.
     """
-    texts = [w.decode() for w in words]
-    joined = np.fromiter((t[:1] == " " and not t[-1:].isspace() and t[1:2] != " " for t in texts), bool, len(texts))
+    data, ends = np.frombuffer(b"".join(words), np.uint8), _ends(np.fromiter(map(len, words), np.int64, len(words)))
+    # the byte after a lone space is the next word's, but a lone space also ends with white space
+    joined = (data[ends[:-1]] == SPACE) & (data[np.minimum(ends[:-1] + 1, len(data) - 1)] != SPACE) & ~_white_before(data, ends[1:])
     order = np.concatenate([np.flatnonzero(joined), np.flatnonzero(~joined)])
     together = np.flatnonzero(joined).tolist()
     inputs = []
-    for start in range(0, len(together), ENCODED_AT_A_TIME):
-        some = together[start : start + ENCODED_AT_A_TIME]
-        inputs.append("".join([texts[i] for i in some]))
-    alone = [texts[i] for i in np.flatnonzero(~joined).tolist()]
+    for start in range(0, len(together), JOINED):
+        inputs.append(b"".join(map(words.__getitem__, together[start : start + JOINED])).decode())
+    alone = [words[i].decode() for i in np.flatnonzero(~joined).tolist()]
     ids = []
-    for some in (inputs, alone):
-        for start in range(0, len(some), ENCODED_AT_A_TIME):
-            ids += [np.array(e.ids, np.int64) for e in tokenizer.encode_batch_fast(some[start : start + ENCODED_AT_A_TIME], add_special_tokens=False)]
+    for some, most in ((inputs, ENCODED_AT_A_TIME // JOINED), (alone, ENCODED_AT_A_TIME)):
+        for start in range(0, len(some), most):
+            ids += [np.array(e.ids, np.int64) for e in tokenizer.encode_batch_fast(some[start : start + most], add_special_tokens=False)]
     flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-    sizes = np.fromiter(map(len, words), np.int64, len(words))[order]
+    sizes = np.diff(ends)[order]
     reached = np.cumsum(piece_sizes[flat])
-    ends = np.searchsorted(reached, np.cumsum(sizes)) + 1
-    if len(words) and (reached[ends - 1] != np.cumsum(sizes)).any():
+    last = np.searchsorted(reached, np.cumsum(sizes)) + 1
+    if len(words) and (reached[last - 1] != np.cumsum(sizes)).any():
         raise RuntimeError("ids that don't end where a word does")
-    counts = np.diff(ends, prepend=0)
+    counts = np.diff(last, prepend=0)
     back = np.empty(len(order), np.int64)
     back[order] = np.arange(len(order))
     return _gather(flat, _starts(counts)[back], counts[back]), counts[back]
@@ -326,14 +374,14 @@ def _encoder(spec: str):
     def results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not loaded:  # once for all buckets of a task
             loaded.append(Vocabulary(spec))
-        number, encodings = WordList(), Encodings(loaded[0])
+        number, encodings = defaultdict(count().__next__), Encodings(loaded[0])  # numbers words as they come
         rows, held = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {name: batch[name][i].as_py() for name in batch.schema.names}
                 words, known = _strings(row["words"], row["sizes"]), len(number)
                 long = [w for w in words if len(w) > KEPT_BYTES]
-                numbers = [number[w] if len(w) <= KEPT_BYTES else -1 for w in words]
+                numbers = [number[w] if len(w) <= KEPT_BYTES else -1 for w in words] if long else [*map(number.__getitem__, words)]
                 new = list(islice(reversed(number), len(number) - known))[::-1]
                 if new:
                     encodings.add(new)
@@ -358,7 +406,23 @@ def _encoder(spec: str):
     return run
 
 
+def _joined(strings: pa.LargeBinaryArray, at: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
+    """Each document's strings put together: those at ``at``, up to its end in ``ends``.
+
+    About ``WORDS_AT_A_TIME`` are put together at a time, or those of one longer document.
+    """
+    stretch = ends[:-1] // WORDS_AT_A_TIME
+    cuts = [0, *(np.flatnonzero(np.diff(stretch)) + 1).tolist(), len(stretch)]
+    for a, b in zip(cuts, cuts[1:]):
+        data, places = _bytes_of(strings.take(pa.array(at[ends[a] : ends[b]])))
+        places = places[ends[a : b + 1] - ends[a]].tolist()
+        for i, j in zip(places, places[1:]):
+            yield data[i:j]
+
+
 def _assembler(full: bool, n_pieces: int):
+    names = pa.array([b"%d," % i for i in range(n_pieces)], pa.large_binary())
+
     def result(blocks: pa.Table, encoded: pa.Table) -> pa.Table:
         schema, rows = FULL if full else RESULT, []
         if not blocks.num_rows:
@@ -371,25 +435,25 @@ def _assembler(full: bool, n_pieces: int):
         ids, n_ids = join("ids"), join("n_ids")
         if len(n_ids) != len(of):
             raise RuntimeError("words of a block are missing: read docs from files first")
-        # the lists come by bucket; back to the places they have in the block's word list
-        place = np.empty(len(of), np.int64)
+        # the lists come by bucket: where each word of the block's list is among them
+        place = np.empty(len(of), np.int32)
         place[np.argsort(of, kind="stable")] = np.arange(len(of))
-        first, n_ids = _starts(n_ids)[place], n_ids[place]
-        strings = [s for r in parts for s in _strings(r["pieces"], r["n_bytes"])]
-        texts = [strings[i] for i in place.tolist()]
-        names = [str(i).encode() for i in range(n_pieces)]
-        positions, start = _numbers(blocks["positions"][0].as_py()), 0
-        for doc_id, length in zip(blocks["doc_ids"][0].as_py(), blocks["lengths"][0].as_py()):
-            at = positions[start : start + length]
-            start += length
-            own = _gather(ids, first[at], n_ids[at]).tolist()
-            text = b"".join(map(texts.__getitem__, at.tolist())).decode("utf-8", "replace")
+        at = place[_numbers(blocks["positions"][0].as_py())]
+        ends = _ends(np.array(blocks["lengths"][0].as_py(), np.int64))
+        # every id's digits and a comma, joined by word, then by document
+        digits, digit_ends = _bytes_of(names.take(pa.array(ids)))
+        id_texts = _joined(_strings_in(digits, digit_ends[_ends(n_ids)]), at, ends)
+        pieces = np.concatenate([np.zeros(0, np.uint8), *[_unzipped(r["pieces"]) for r in parts]])
+        texts = _joined(_strings_in(pieces, _ends(join("n_bytes"))), at, ends)
+        first = _starts(n_ids)
+        for i, (doc_id, id_text, text) in enumerate(zip(blocks["doc_ids"][0].as_py(), id_texts, texts)):
+            text = text.tobytes().decode("utf-8", "replace")
+            own = at[ends[i] : ends[i + 1]]
             row = (
-                doc_id, len(own),
-                hashlib.sha256(b",".join(map(names.__getitem__, own))).hexdigest(),
-                hashlib.sha256(text.encode()).hexdigest(),
+                doc_id, int(n_ids[own].sum()),
+                hashlib.sha256(id_text[:-1]).hexdigest(), hashlib.sha256(text.encode()).hexdigest(),
             )
-            rows.append((*row, own, text) if full else row)
+            rows.append((*row, _gather(ids, first[own], n_ids[own]).tolist(), text) if full else row)
         return pa.Table.from_batches([_batch(rows, schema)])
 
     def run(key, blocks: pa.Table, encoded: pa.Table) -> pa.Table:
