@@ -1,4 +1,5 @@
 import cProfile
+import gc
 import hashlib
 import random
 import re
@@ -9,10 +10,19 @@ import pytest
 
 from txnwatch.llm import bpe as B
 from txnwatch.llm.catalog import vocabulary_path
+from txnwatch.llm.common import give_back
 
 PARTS = ["a", "the", " ", "  ", "\n", "\t", "'s", "é", "1", "!", "<|endoftext|>", "日本", "\x1c", "\r", "_", "😀", "\x00", "'", "ll", "́", "\xa0", "²"]
 
 
+@pytest.fixture(scope="module", autouse=True)
+def memory_given_back():
+    """Steps run in this process would leave free memory, and a later test measures that."""
+    yield
+    gc.collect()
+    give_back()
+
+
 @pytest.fixture(scope="module")
 def library():
     from tokenizers import Tokenizer
